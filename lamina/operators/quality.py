@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,20 +14,29 @@ class CheckFailed(ValueError):
     """A data check found violations."""
 
 
-def _counts(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
-    parts = [
-        df.agg(F.count("*").alias(name)).select(F.lit(table).alias("table_name"), name)
-        for table, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def row_parity(source: Mapping[str, DataFrame], target: Mapping[str, DataFrame]) -> DataFrame:
-    """Row counts of each table on both sides and whether they agree."""
+    """Row counts of each table on both sides and whether they agree.
+
+    All tables are counted in one aggregation: each task hands on one partial count per table.
+    """
     if source.keys() != target.keys():
         raise ValueError(f"tables differ: {sorted(source.keys() ^ target.keys())}")
-    both = _counts(source, "src_cnt").join(_counts(target, "dst_cnt"), "table_name")
-    return both.withColumn("ok", F.col("src_cnt") == F.col("dst_cnt"))
+    spark = next(iter(source.values())).sparkSession
+    # One line per table without a side, so that empty tables show up with zero.
+    names = pa.table({"table_name": list(source), "side": pa.nulls(len(source), pa.string())})
+    parts = [spark.createDataFrame(names)]
+    for side, tables in (("src", source), ("dst", target)):
+        for table, df in tables.items():
+            parts.append(df.select(F.lit(table).alias("table_name"), F.lit(side).alias("side")))
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("table_name")
+        .agg(
+            F.count_if(F.col("side") == "src").alias("src_cnt"),
+            F.count_if(F.col("side") == "dst").alias("dst_cnt"),
+        )
+        .withColumn("ok", F.col("src_cnt") == F.col("dst_cnt"))
+    )
 
 
 def not_empty(tables: Mapping[str, DataFrame]) -> DataFrame:
