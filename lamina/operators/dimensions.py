@@ -11,22 +11,19 @@ from pyspark.sql import functions as F
 
 def project(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Select ``{new name: SQL expression}``."""
-    return df.select(*[F.expr(expression).alias(name) for name, expression in columns.items()])
+    return df.selectExpr(*[f"{expression} as {name}" for name, expression in columns.items()])
 
 
 def versioned_dim(raw: DataFrame, columns: Mapping[str, str], end: str) -> DataFrame:
     """Distinct versions of a record; the version whose ``end`` is open is current."""
-    return project(raw, columns).distinct().withColumn("is_current_flag", F.col(end).isNull())
+    versions = project(raw, columns).distinct()
+    return versions.selectExpr("*", f"{end} is null as is_current_flag")
 
 
 def snapshot_dim(raw: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Distinct records of one snapshot, all of them current and open-ended."""
-    return (
-        project(raw, columns)
-        .distinct()
-        .withColumn("valid_to", F.lit(None).cast("date"))
-        .withColumn("is_current_flag", F.lit(True))
-    )
+    records = project(raw, columns).distinct()
+    return records.selectExpr("*", "cast(null as date) as valid_to", "true as is_current_flag")
 
 
 def catalog_dim(sources: Sequence[DataFrame], code: Sequence[str], label: str | None = None) -> DataFrame:

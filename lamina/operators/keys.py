@@ -25,7 +25,7 @@ def tag_rows(stored: DataFrame) -> DataFrame:
     Apply it directly above the scan of a written table: file splits are read in the
     same order by every attempt of a task, so a row keeps its number on a retry.
     """
-    return stored.withColumn(ROW, F.monotonically_increasing_id())
+    return stored.selectExpr("*", f"monotonically_increasing_id() as {ROW}")
 
 
 def dense_key(
@@ -37,42 +37,43 @@ def dense_key(
 ) -> DataFrame:
     """``key`` = 1..N in the order of ``order_by`` (SQL expressions, NULLs last), then ``keep``.
 
-    Equal positions are settled by ``ties`` (default: every column) and then by the row
+    Equal positions are settled by ``ties`` (default: all of ``keep``) and then by the row
     number of ``tag_rows``, which is dropped. ``keep`` defaults to every column. The rows are range-partitioned on
     that whole list, so a value that fills a third of the table, or a third of the table
     being copies of one row, still spreads over many tasks. Each slice is numbered while
     it is written to a staged table; the only thing the driver sees is one count per slice.
     """
-    ordering = [F.expr(e) for e in order_by]
-    ordering += [F.col(c) for c in (df.columns if ties is None else ties) if c != ROW]
-    if ROW in df.columns:
-        ordering.append(F.col(ROW))
-    kept = [c for c in df.columns if c != ROW] if keep is None else list(keep)
+    columns = df.columns
+    kept = [c for c in columns if c != ROW] if keep is None else list(keep)
+    ordering = [*order_by, *(kept if ties is None else ties)]
+    if ROW in columns:
+        ordering.append(ROW)
+    nulls_last = ", ".join(f"{expression} asc nulls last" for expression in ordering)
 
     last_slice = Observation()
     numbered = (
-        df.orderBy(*[c.asc_nulls_last() for c in ordering])
-        .select(*kept, F.monotonically_increasing_id().alias(_POS))
-        .observe(last_slice, F.max(F.shiftright(_POS, _SLICE_SHIFT)).alias("id"))
+        df.sparkSession.sql(f"select * from {{df}} order by {nulls_last}", df=df)
+        .selectExpr(*kept, f"monotonically_increasing_id() as {_POS}")
+        .observe(last_slice, F.expr(f"max({_POS} >> {_SLICE_SHIFT}) as id"))
     )
     staged = stage(numbered, f"key-{key}")
-    within = F.col(_POS).bitwiseAND(F.lit(_POS_MASK)) + 1
+    within = f"({_POS} & {_POS_MASK}) + 1"
     if not last_slice.get["id"]:
-        return staged.select(within.alias(key), *kept)
+        return staged.selectExpr(f"{within} as {key}", *kept)
 
     before = F.broadcast(_rows_before(staged))
     return (
-        staged.withColumn(_SLICE, F.shiftright(_POS, _SLICE_SHIFT))
+        staged.selectExpr("*", f"{_POS} >> {_SLICE_SHIFT} as {_SLICE}")
         .join(before, _SLICE)
-        .select((within + F.col(_BEFORE)).alias(key), *kept)
+        .selectExpr(f"{within} + {_BEFORE} as {key}", *kept)
     )
 
 
 def _rows_before(staged: DataFrame) -> DataFrame:
     """Rows in earlier slices, per slice: one line for each task that wrote the table."""
     counts = (
-        staged.groupBy(F.shiftright(_POS, _SLICE_SHIFT).alias(_SLICE))
-        .agg(F.count("*").alias("n"))
+        staged.groupBy(F.expr(f"{_POS} >> {_SLICE_SHIFT} as {_SLICE}"))
+        .agg(F.expr("count(*) as n"))
         .orderBy(_SLICE)
         .collect()
     )

@@ -32,12 +32,12 @@ def lookup(
     if current:
         dim = dim.where("is_current_flag")
     keys = {column: f"_key_{i}" for i, column in enumerate(on.values())}
-    side = dim.select(
-        *[F.col(column).alias(name) for column, name in keys.items()],
-        *[F.col(column).alias(name) for name, column in take.items()],
+    side = dim.selectExpr(
+        *[f"{column} as {name}" for column, name in keys.items()],
+        *[f"{column} as {name}" for name, column in take.items()],
     )
-    matches = [F.col(left) == F.col(keys[right]) for left, right in on.items()]
-    joined = df.join(side, matches, "inner" if orphans == "drop" else "left")
+    matches = " and ".join(f"{left} = {keys[right]}" for left, right in on.items())
+    joined = df.join(side, F.expr(matches), "inner" if orphans == "drop" else "left")
     if orphans == "fail":
         for name in take:
             missing = F.raise_error(F.lit(f"no {name} for this row")).cast(joined.schema[name].dataType)

@@ -7,12 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.functions.flags import is_positive
-
 
 def with_flags(df: DataFrame, flags: Mapping[str, str]) -> DataFrame:
     """Add ``{flag: measure}`` columns that say whether the measure is above zero."""
-    return df.withColumns({flag: is_positive(F.col(measure)) for flag, measure in flags.items()})
+    return df.selectExpr(
+        "*", *[f"coalesce({measure} > 0, false) as {flag}" for flag, measure in flags.items()]
+    )
 
 
 def trend(df: DataFrame, entity: str, time: str, value: str, previous: str, delta: str) -> DataFrame:

@@ -17,16 +17,16 @@ def entity_metrics(
     ``activity`` pairs a table with ``{metric: SQL aggregate}``. Each table is aggregated
     before it meets the base, and all of them hash on the entity alone.
     """
+    kept = base.columns
+    names = [name for _, metrics in activity for name in metrics]
     for table, metrics in activity:
         found = (
-            table.where(F.col(entity).isNotNull())
+            table.where(f"{entity} is not null")
             .groupBy(entity)
-            .agg(*[F.expr(expression).alias(name) for name, expression in metrics.items()])
+            .agg(*[F.expr(f"{expression} as {name}") for name, expression in metrics.items()])
         )
-        base = base.join(found, entity, "left").withColumns(
-            {name: F.coalesce(F.col(name), F.lit(0)) for name in metrics}
-        )
-    return base
+        base = base.join(found, entity, "left")
+    return base.selectExpr(*kept, *[f"coalesce({name}, 0) as {name}" for name in names])
 
 
 @dataclass(frozen=True)
@@ -45,20 +45,14 @@ def factors_long(events: DataFrame, entity: str, factors: Sequence[Factor]) -> D
     Events without an entity form a group of their own.
     """
     counts = events.groupBy(entity).agg(
-        *[F.count_if(F.expr(f.where)).alias(f.code) for f in factors]
+        *[F.expr(f"count_if({f.where}) as {f.code}") for f in factors]
     )
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit(f.code).alias("risk_factor_code"),
-                F.lit(f.name).alias("risk_factor_name"),
-                F.col(f.code).cast("decimal(18,4)").alias("factor_value_num"),
-                F.lit(f.domain).alias("risk_domain"),
-            )
-            for f in factors
-        ]
+    lines = ", ".join(
+        f"named_struct('risk_factor_code', '{f.code}', 'risk_factor_name', '{f.name}', "
+        f"'factor_value_num', cast({f.code} as decimal(18,4)), 'risk_domain', '{f.domain}')"
+        for f in factors
     )
-    return counts.select(entity, F.inline(lines)).where("factor_value_num > 0")
+    return counts.selectExpr(entity, f"inline(array({lines}))").where("factor_value_num > 0")
 
 
 def factors_wide(long: DataFrame, entity: str, columns: Mapping[str, str]) -> DataFrame:
@@ -67,8 +61,8 @@ def factors_wide(long: DataFrame, entity: str, columns: Mapping[str, str]) -> Da
         long.groupBy(entity)
         .pivot("risk_factor_code", list(columns))
         .agg(F.sum("factor_value_num"))
-        .select(
+        .selectExpr(
             entity,
-            *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(name) for c, name in columns.items()],
+            *[f"cast(coalesce({c}, 0) as bigint) as {name}" for c, name in columns.items()],
         )
     )

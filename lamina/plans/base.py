@@ -41,14 +41,13 @@ class Run:
 
     def stamp(self, df: DataFrame, table: str) -> DataFrame:
         """Add the run's columns to the rows of a calculated table."""
-        moment = F.lit(self.calculated[table]).cast("timestamp_ntz")
-        return df.withColumns(
-            {
-                "report_date": F.lit(self.report_date).cast("date"),
-                "calculation_dttm": moment,
-                "load_dttm": moment,
-                "batch_id": F.lit(self.batches[table.split(".")[0]]),
-            }
+        moment = f"timestamp_ntz'{self.calculated[table]}'"
+        return df.selectExpr(
+            "*",
+            f"date'{self.report_date}' as report_date",
+            f"{moment} as calculation_dttm",
+            f"{moment} as load_dttm",
+            f"'{self.batches[table.split('.')[0]]}' as batch_id",
         )
 
 
@@ -121,17 +120,20 @@ class Warehouse:
         if name not in self._rows:
             plan = self._plans[name]
             built = plan.rows(self)
-            stored = [f for f in table_schema(name) if f.name != plan.key and f.name in built.columns]
-            names = {f.name for f in stored}
-            helpers = [f for f in built.schema if f.name in (*plan.order, ROW) and f.name not in names]
-            self._rows[name] = conform(built, T.StructType(stored + helpers))
+            columns = built.columns
+            stored = T.StructType(
+                [f for f in table_schema(name) if f.name in columns and f.name != plan.key]
+            )
+            order_only = set(columns).intersection((*plan.order, ROW)).difference(stored.names)
+            self._rows[name] = conform(built, stored, helpers=sorted(order_only))
         return self._rows[name]
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             plan = self._plans[name]
             rows = self.rows(name)
-            stored = [c for c in table_schema(name).fieldNames() if c in rows.columns]
+            columns = rows.columns
+            stored = [c for c in table_schema(name).names if c in columns]
             ties = [c for c in stored if c not in plan.order]
             keyed = dense_key(rows, plan.key, plan.order, ties, keep=stored)
             if plan.finish is not None:

@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 AUDIT = "source_system s!, load_dttm t!, batch_id s!"
@@ -415,15 +414,13 @@ def required(schema: T.StructType) -> list[str]:
     return [field.name for field in schema if not field.nullable]
 
 
-def _cast(field: T.StructField) -> Column:
-    return F.col(field.name).cast(field.dataType).alias(field.name)
+def conform(
+    df: DataFrame, schema: T.StructType, text: Sequence[str] = (), helpers: Sequence[str] = ()
+) -> DataFrame:
+    """The schema's columns by name, in its order and types, then ``helpers`` as they are.
 
-
-def conform(df: DataFrame, schema: T.StructType, text: Sequence[str] = ()) -> DataFrame:
-    """The schema's columns by name, in its order and types; ``text`` columns become strings."""
-    return df.select(
-        *[
-            F.col(field.name).cast("string").alias(field.name) if field.name in text else _cast(field)
-            for field in schema
-        ]
-    )
+    ``text`` columns become strings instead of their declared type.
+    """
+    types = {f.name: "string" if f.name in text else f.dataType.simpleString() for f in schema}
+    casts = [f"cast({name} as {type_}) as {name}" for name, type_ in types.items()]
+    return df.selectExpr(*casts, *helpers)
