@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lamina.operators.staging import stage
 
 ROW = "_row"
+_TIE = "_tie"
 _POS = "_pos"
 _SLICE = "_slice"
 _BEFORE = "_before"
@@ -29,30 +30,26 @@ def tag_rows(stored: DataFrame) -> DataFrame:
 
 
 def dense_key(
-    df: DataFrame,
-    key: str,
-    order_by: Sequence[str],
-    ties: Sequence[str] | None = None,
-    keep: Sequence[str] | None = None,
+    df: DataFrame, key: str, order_by: Sequence[str], keep: Sequence[str] | None = None
 ) -> DataFrame:
     """``key`` = 1..N in the order of ``order_by`` (SQL expressions, NULLs last), then ``keep``.
 
-    Equal positions are settled by ``ties`` (default: all of ``keep``) and then by the row
-    number of ``tag_rows``, which is dropped. ``keep`` defaults to every column. The rows are range-partitioned on
-    that whole list, so a value that fills a third of the table, or a third of the table
-    being copies of one row, still spreads over many tasks. Each slice is numbered while
-    it is written to a staged table; the only thing the driver sees is one count per slice.
+    Rows that ``order_by`` leaves equal follow a hash of their kept values, then the row
+    number of ``tag_rows``, which is dropped. ``keep`` defaults to every column. The rows are
+    range-partitioned on that whole list, so a value that fills a third of the table, or a
+    third of the table being copies of one row, still spreads over many tasks; the list stays
+    narrow because the driver samples it to place the ranges. Each slice is numbered while it
+    is written to a staged table; beyond the sample the driver sees one count per slice.
     """
     columns = df.columns
     kept = [c for c in columns if c != ROW] if keep is None else list(keep)
-    ordering = [*order_by, *(kept if ties is None else ties)]
-    if ROW in columns:
-        ordering.append(ROW)
+    ordering = [*order_by, _TIE, *([ROW] if ROW in columns else [])]
     nulls_last = ", ".join(f"{expression} asc nulls last" for expression in ordering)
 
     last_slice = Observation()
+    tied = df.selectExpr("*", f"xxhash64({', '.join(kept)}) as {_TIE}")
     numbered = (
-        df.sparkSession.sql(f"select * from {{df}} order by {nulls_last}", df=df)
+        df.sparkSession.sql(f"select * from {{df}} order by {nulls_last}", df=tied)
         .selectExpr(*kept, f"monotonically_increasing_id() as {_POS}")
         .observe(last_slice, F.expr(f"max({_POS} >> {_SLICE_SHIFT}) as id"))
     )

@@ -27,39 +27,35 @@ def row_parity(source: Mapping[str, DataFrame], target: Mapping[str, DataFrame])
     parts = [spark.createDataFrame(names)]
     for side, tables in (("src", source), ("dst", target)):
         for table, df in tables.items():
-            parts.append(df.select(F.lit(table).alias("table_name"), F.lit(side).alias("side")))
+            parts.append(df.selectExpr(f"'{table}' as table_name", f"'{side}' as side"))
     return (
         reduce(DataFrame.unionByName, parts)
         .groupBy("table_name")
-        .agg(
-            F.count_if(F.col("side") == "src").alias("src_cnt"),
-            F.count_if(F.col("side") == "dst").alias("dst_cnt"),
-        )
-        .withColumn("ok", F.col("src_cnt") == F.col("dst_cnt"))
+        .agg(F.expr("count_if(side = 'src') as src_cnt"), F.expr("count_if(side = 'dst') as dst_cnt"))
+        .selectExpr("*", "src_cnt = dst_cnt as ok")
     )
 
 
 def not_empty(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Whether each table has at least one row; reading stops at the first."""
-    parts = [
-        df.limit(1).agg((F.count("*") > 0).alias("ok")).select(F.lit(table).alias("table_name"), "ok")
-        for table, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """Whether each table has at least one row.
+
+    Runs at once, table by table, because that way reading stops at the first row found.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    filled = [not df.isEmpty() for df in tables.values()]
+    return spark.createDataFrame(pa.table({"table_name": list(tables), "ok": filled}))
 
 
 def required_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULL count of each required column, all columns in one pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    lines = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_cnt")) for c in columns]
-    )
-    return counts.select(F.inline(lines)).withColumn("ok", F.col("null_cnt") == 0)
+    counts = df.agg(*[F.expr(f"count_if({c} is null) as {c}") for c in columns])
+    lines = ", ".join(f"named_struct('column_name', '{c}', 'null_cnt', {c})" for c in columns)
+    return counts.selectExpr(f"inline(array({lines}))").selectExpr("*", "null_cnt = 0 as ok")
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Lookup keys held by more than one row, with their row count. NULL keys never match, so they never count."""
-    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+    known = " and ".join(f"{c} is not null" for c in key)
     return df.where(known).groupBy(*key).agg(F.count("*").alias("row_cnt")).where("row_cnt > 1")
 
 

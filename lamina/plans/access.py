@@ -257,13 +257,17 @@ TABLES = {
     "access.dim_access_role": Table(_roles, "access_role_id", ("system_code", "role_code")),
     "access.fct_employee_account": Table(_accounts, "employee_account_id", ("source_account_id",)),
     "access.fct_employee_role_assignment": Table(
-        _role_assignments, "employee_role_assignment_id", ("source_role_assignment_id",)
+        _role_assignments,
+        "employee_role_assignment_id",
+        ("source_role_assignment_id", "assigned_at"),
     ),
     "access.fct_employee_login_event": Table(
-        _logins, "employee_login_event_id", ("source_login_event_id",)
+        _logins, "employee_login_event_id", ("source_login_event_id", "login_dttm")
     ),
     "access.fct_employee_access_signal": Table(
-        _signals, "employee_access_signal_id", ("signal_source_type", "source_event_id")
+        _signals,
+        "employee_access_signal_id",
+        ("signal_source_type", "source_event_id", "signal_dttm", "signal_value_num"),
     ),
     "access.fct_employee_access_snapshot": Table(
         _snapshot, "employee_access_snapshot_id", ("employee_id",)

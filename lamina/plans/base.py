@@ -81,7 +81,11 @@ class Scoring:
 
 @dataclass(frozen=True)
 class Table:
-    """A detail table: its rows, the surrogate key over them, and a step that needs the key."""
+    """A detail table: its rows, the surrogate key over them, and a step that needs the key.
+
+    ``order`` may go on past the natural key with a few columns that tell apart records
+    sharing one, such as the versions of a department or two payments under one number.
+    """
 
     rows: Callable[[Warehouse], DataFrame]
     key: str
@@ -134,8 +138,7 @@ class Warehouse:
             rows = self.rows(name)
             columns = rows.columns
             stored = [c for c in table_schema(name).names if c in columns]
-            ties = [c for c in stored if c not in plan.order]
-            keyed = dense_key(rows, plan.key, plan.order, ties, keep=stored)
+            keyed = dense_key(rows, plan.key, plan.order, keep=stored)
             if plan.finish is not None:
                 keyed = plan.finish(keyed)
             self._tables[name] = conform(keyed, table_schema(name))

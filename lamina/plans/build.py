@@ -36,11 +36,6 @@ def stored_raw(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
     return lambda table: read_table(spark, f"{folder}/{table}", raw_schema(table))
 
 
-def _layout_key(table: str) -> str | None:
-    names = table_schema(table).fieldNames()
-    return "employee_id" if "employee_id" in names else None
-
-
 def check_required(raw: Callable[[str], DataFrame], subject: str) -> None:
     """Refuse raw tables with NULLs in required columns."""
     for table in raw_tables(subject):
@@ -55,9 +50,12 @@ def build_all(
     run_id: str,
     subjects: Iterable[str] = SUBJECTS,
     run: Run | None = None,
+    layouts: Mapping[str, str] | None = None,
 ) -> Warehouse:
     """Build, check and publish subject areas, in dependency order, as one run.
 
+    ``layouts`` names, for tables that deserve one more shuffle, the column to lay them out by.
+
     Surrogate keys change between runs, so tables of one run only fit each other; subject
     areas that share dimensions belong in the same run.
     """
@@ -68,7 +66,7 @@ def build_all(
     def keep(name: str, df: DataFrame, layer: str) -> DataFrame:
         subject, table = name.split(".")
         path = f"{folder}/{subject}/{layer}/{table}"
-        write_table(df, path, _layout_key(name))
+        write_table(df, path, (layouts or {}).get(name))
         return read_table(spark, path, table_schema(name))
 
     for subject in chosen:

@@ -260,7 +260,7 @@ TABLES = {
     ),
     "finance.dim_finance_vendor": Table(_vendors, "finance_vendor_id", ("vendor_src_id",)),
     "finance.fct_employee_expense": Table(
-        _expenses, "employee_expense_id", ("source_expense_id",)
+        _expenses, "employee_expense_id", ("source_expense_id", "expense_date", "amount_rub")
     ),
     "finance.fct_employee_card_transaction": Table(
         _cards, "employee_card_transaction_id", ("source_card_txn_id",)
@@ -269,7 +269,9 @@ TABLES = {
         _advances, "employee_advance_report_id", ("source_advance_report_id",)
     ),
     "finance.fct_employee_finance_signal": Table(
-        _signals, "employee_finance_signal_id", ("signal_source_type", "source_event_id")
+        _signals,
+        "employee_finance_signal_id",
+        ("signal_source_type", "source_event_id", "signal_dttm", "signal_value_num"),
     ),
     "finance.fct_employee_finance_snapshot": Table(
         _snapshot, "employee_finance_snapshot_id", ("employee_id",)

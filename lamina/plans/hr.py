@@ -201,19 +201,14 @@ def _snapshot(wh: Warehouse) -> DataFrame:
     return wh.run.stamp(INSTABILITY.apply(metrics), "hr.fct_employee_hr_snapshot")
 
 
-def with_employee(
-    wh: Warehouse, facts: DataFrame, attributes: Sequence[str], position_name: str, department: Mapping[str, str]
+def people(
+    wh: Warehouse, attributes: Sequence[str], position_name: str, department: Mapping[str, str]
 ) -> DataFrame:
-    """Facts by ``employee_id`` with attributes of the employee, position and department."""
+    """Current employees with attributes of their position and department, one row each."""
     keys = {"_position_id": "current_position_id", "_department_id": "department_id"}
+    employees = wh.table("hr.dim_hr_employee").where("is_current_flag")
     return wh.resolve(
-        facts.withColumnRenamed("employee_id", "_employee_id"),
-        Lookup(
-            "hr.dim_hr_employee",
-            on={"_employee_id": "employee_id"},
-            take={**same("employee_id", *attributes), **keys},
-            current=True,
-        ),
+        project(employees, {**same("employee_id", *attributes), **keys}),
         Lookup(
             "hr.dim_position",
             on={"_position_id": "position_id"},
@@ -228,74 +223,82 @@ def with_employee(
     )
 
 
-def last_time(signals: DataFrame, moment: str) -> DataFrame:
-    """Time of each employee's latest signal."""
-    return (
+def with_person(facts: DataFrame, profile: DataFrame) -> DataFrame:
+    """Facts left-joined to one profile row per employee; the profile's ``employee_id`` is kept."""
+    keyed = facts.withColumnRenamed("employee_id", "_employee_id")
+    return keyed.join(profile, F.expr("_employee_id = employee_id"), "left")
+
+
+def with_last_time(snapshot: DataFrame, signals: DataFrame, moment: str) -> DataFrame:
+    """Snapshot with the time of each employee's latest signal."""
+    latest = (
         signals.where("employee_id is not null")
-        .groupBy(F.col("employee_id").alias("_signal_employee_id"))
+        .groupBy("employee_id")
         .agg(F.max(moment).alias("last_signal_dttm"))
     )
+    return snapshot.join(latest, "employee_id", "left")
 
 
 def control_report(
     wh: Warehouse, snapshot: DataFrame, signals: DataFrame, flags: Mapping[str, str]
 ) -> DataFrame:
     """Snapshot with employee attributes, exceedance flags and the last signal time."""
-    # Both employee-keyed joins come first, so they share one partitioning.
-    latest = last_time(signals, "signal_dttm")
-    with_latest = snapshot.join(
-        latest, F.col("employee_id") == F.col("_signal_employee_id"), "left"
-    ).drop("_signal_employee_id")
-    attributes = ("employee_src_id", "employee_number", "tab_num", "full_name", "employment_status")
-    department = same("department_id", "department_src_id", "department_name")
-    profile = with_employee(
+    profile = people(
         wh,
-        with_latest,
-        attributes,
+        ("employee_src_id", "employee_number", "tab_num", "full_name", "employment_status"),
         "position_name",
-        {**department, **same("block_name", "function_name", "region_name")},
+        same(
+            *("department_id", "department_src_id", "department_name"),
+            *("block_name", "function_name", "region_name"),
+        ),
     )
-    return with_flags(profile, flags)
+    return with_flags(with_person(with_last_time(snapshot, signals, "signal_dttm"), profile), flags)
 
 
 def signal_report(wh: Warehouse, signals: DataFrame, snapshot: DataFrame, position_name: str) -> DataFrame:
-    """Signals with employee attributes and the report date of the employee's snapshots."""
-    dates = snapshot.select(F.col("employee_id").alias("_snapshot_employee_id"), "report_date")
-    dated = signals.join(dates, F.col("employee_id") == F.col("_snapshot_employee_id"), "left")
-    return with_employee(
+    """Signals with employee attributes and the report date of the employee's snapshots.
+
+    Profile and report dates are joined first, one row per employee and date. The signals,
+    of which one employee may own a large part, then meet them in a single join, where
+    adaptive execution is free to split that employee's partition.
+    """
+    profile = people(
         wh,
-        dated,
         ("employee_src_id", "full_name"),
         position_name,
         same("department_name", "block_name", "function_name", "region_name"),
     )
+    dates = snapshot.selectExpr("employee_id as _dated_id", "report_date")
+    dated = dates.join(profile, F.expr("_dated_id = employee_id"), "full")
+    keyed = dated.selectExpr("coalesce(_dated_id, employee_id) as _person_id", "* except (_dated_id)")
+    facts = signals.withColumnRenamed("employee_id", "_employee_id")
+    return facts.join(keyed, F.expr("_employee_id = _person_id"), "left")
 
 
 def _profile_report(wh: Warehouse) -> DataFrame:
-    latest = last_time(wh.rows("hr.fct_employee_activity_signal"), "detected_at")
-    snapshot = (
-        wh.rows("hr.fct_employee_hr_snapshot")
-        .drop("current_position_id")
-        .join(latest, F.col("employee_id") == F.col("_signal_employee_id"), "left")
-        .drop("_signal_employee_id")
-    )
-    attributes = (
-        *("employee_src_id", "employee_number", "tab_num", "full_name", "birth_date", "gender_code"),
-        *("employment_status", "hire_date", "dismissal_date", "current_position_id"),
-        *("current_position_code", "grade_code", "manager_employee_src_id", "work_format"),
-        "location_name",
-    )
-    department = same(
-        *("department_id", "department_src_id", "department_name", "parent_department_id"),
-        *("block_name", "function_name", "region_name", "org_level"),
+    signals = wh.rows("hr.fct_employee_activity_signal")
+    # The position shown is the employee's, not the one noted in the snapshot.
+    snapshot = wh.rows("hr.fct_employee_hr_snapshot").drop("current_position_id")
+    profile = people(
+        wh,
+        (
+            *("employee_src_id", "employee_number", "tab_num", "full_name", "birth_date", "gender_code"),
+            *("employment_status", "hire_date", "dismissal_date", "current_position_id"),
+            *("current_position_code", "grade_code", "manager_employee_src_id", "work_format"),
+            "location_name",
+        ),
+        "current_position_name",
+        same(
+            *("department_id", "department_src_id", "department_name", "parent_department_id"),
+            *("block_name", "function_name", "region_name", "org_level"),
+        ),
     )
-    profile = with_employee(wh, snapshot, attributes, "current_position_name", department)
     flags = {
         "has_absence_flag": "absence_event_cnt",
         "has_overtime_flag": "overtime_hours_total",
         "has_dismissal_signal_flag": "dismissal_signal_cnt",
     }
-    return with_flags(profile, flags)
+    return with_flags(with_person(with_last_time(snapshot, signals, "detected_at"), profile), flags)
 
 
 def _instability_signals(wh: Warehouse) -> DataFrame:
@@ -317,11 +320,17 @@ TABLES = {
     "hr.dim_position": Table(_positions, "position_id", ("position_code",)),
     "hr.dim_hr_employee": Table(_employees, "employee_id", ("employee_src_id",)),
     "hr.fct_employee_position_history": Table(
-        _position_history, "employee_position_history_id", ("src_position_event_id",)
+        _position_history,
+        "employee_position_history_id",
+        ("src_position_event_id", "effective_from"),
+    ),
+    "hr.fct_employee_absence": Table(
+        _absences, "employee_absence_id", ("src_absence_event_id", "start_date", "duration_days")
     ),
-    "hr.fct_employee_absence": Table(_absences, "employee_absence_id", ("src_absence_event_id",)),
     "hr.fct_employee_activity_signal": Table(
-        _signals, "employee_activity_signal_id", ("signal_source_type", "source_event_id")
+        _signals,
+        "employee_activity_signal_id",
+        ("signal_source_type", "source_event_id", "detected_at", "signal_value_num"),
     ),
     "hr.fct_employee_hr_snapshot": Table(_snapshot, "employee_hr_snapshot_id", ("employee_id",)),
 }

@@ -323,14 +323,16 @@ def _risk_trend(wh: Warehouse) -> DataFrame:
 
 TABLES = {
     "risk.dim_department": Table(
-        _departments, "department_id", ("department_src_id",), _department_parents
+        _departments, "department_id", ("department_src_id", "valid_from"), _department_parents
     ),
     "risk.dim_employee": Table(_employees, "employee_id", ("employee_src_id",)),
     "risk.dim_risk_event_type": Table(
-        _event_types, "risk_event_type_id", ("source_system_name", "source_event_code")
+        _event_types,
+        "risk_event_type_id",
+        ("source_system_name", "source_event_code", "source_event_name", "default_severity_level"),
     ),
     "risk.fct_risk_event": Table(
-        _events, "risk_event_id", ("event_source_system", "source_event_id")
+        _events, "risk_event_id", ("event_source_system", "source_event_id", "event_detected_dttm")
     ),
     "risk.fct_employee_risk_factor": Table(
         _factors, "employee_risk_factor_id", ("employee_id", "risk_factor_code")

@@ -58,7 +58,7 @@ CTES: dict[str, str] = {
     """,
     "who": "select employee_id, employee_src_id from dim_employee_hr where is_current_flag",
     "fct_position_history": """
-        select key(src_position_event_id) as employee_position_history_id, who.employee_id,
+        select key(src_position_event_id, h.effective_from) as employee_position_history_id, who.employee_id,
             p.position_id, d.department_id, event_type_code, event_type_name,
             salary_change_flag is not distinct from 'Y' as salary_change_flag,
             h.effective_from, h.effective_to, h.load_dttm, h.batch_id
@@ -68,7 +68,7 @@ CTES: dict[str, str] = {
         left join (from dim_department_hr where is_current_flag) d using (department_src_id)
     """,
     "fct_absence": """
-        select key(src_absence_event_id) as employee_absence_id, who.employee_id,
+        select key(src_absence_event_id, start_date, duration_days) as employee_absence_id, who.employee_id,
             absence_type_code, absence_type_name, absence_reason_group, start_date, end_date,
             duration_days, approved_flag is not distinct from 'Y' as approved_flag,
             load_dttm, batch_id
@@ -89,7 +89,8 @@ CTES: dict[str, str] = {
         from hr_dismissal_signals_raw
     """,
     "signals_hr": """
-        select key(signal_source_type, source_event_id) as employee_activity_signal_id,
+        select key(signal_source_type, source_event_id, detected_at, signal_value_num)
+                as employee_activity_signal_id,
             who.employee_id, s.* exclude (employee_src_id)
         from hr_signal_rows s left join who using (employee_src_id)
     """,
@@ -168,9 +169,7 @@ CTES: dict[str, str] = {
         select distinct * exclude (snapshot_date), valid_to is null as is_current_flag
     """,
     "risk_dept_keyed": """
-        select key(department_src_id, department_name, parent_department_src_id, block_name,
-            function_name, region_name, org_level, valid_from, valid_to, is_current_flag,
-            source_system, load_dttm, batch_id) as department_id, *
+        select key(department_src_id, valid_from) as department_id, *
         from risk_dept_rows
     """,
     "dim_department_risk": """
@@ -234,12 +233,12 @@ CTES: dict[str, str] = {
         from risk_rows group by all
     """,
     "dim_risk_event_type": """
-        select key(source_system_name, source_event_code, source_event_name, risk_domain,
-            event_group_name, default_severity_level) as risk_event_type_id, *
+        select key(source_system_name, source_event_code, source_event_name,
+            default_severity_level) as risk_event_type_id, *
         from risk_types
     """,
     "fct_risk_event": """
-        select key(event_source_system, source_event_id) as risk_event_id, e.employee_id,
+        select key(event_source_system, source_event_id, event_detected_dttm) as risk_event_id, e.employee_id,
             t.risk_event_type_id,
             r.* exclude (source_event_code, source_event_name, risk_domain, event_group_name)
         from risk_rows r
@@ -356,9 +355,7 @@ CTES: dict[str, str] = {
         left join dim_system s on s.system_code = a.system_code
     """,
     "fct_role_assignment": """
-        select key(src_role_assignment_id, who.employee_id, acc.employee_account_id,
-                role.access_role_id, assigned_at, revoked_at, assignment_status, r.load_dttm,
-                r.batch_id) as employee_role_assignment_id,
+        select key(src_role_assignment_id, assigned_at) as employee_role_assignment_id,
             who.employee_id, acc.employee_account_id, role.access_role_id,
             src_role_assignment_id as source_role_assignment_id, assigned_at, revoked_at,
             assignment_status, r.load_dttm, r.batch_id
@@ -370,7 +367,7 @@ CTES: dict[str, str] = {
             and role.role_code = r.role_code
     """,
     "fct_login_event": """
-        select key(src_login_event_id) as employee_login_event_id, who.employee_id,
+        select key(src_login_event_id, login_dttm) as employee_login_event_id, who.employee_id,
             acc.employee_account_id, s.access_system_id as system_id,
             src_login_event_id as source_login_event_id, login_dttm, login_result, auth_method,
             ip_address, device_id, country_name, city_name,
@@ -429,9 +426,8 @@ CTES: dict[str, str] = {
             and (vpn_used_flag is null or vpn_used_flag = 'N'))
     """,
     "signals_access": """
-        select key(signal_source_type, source_event_id, who.employee_id, s.access_system_id,
-                signal_code, signal_name, signal_group, signal_value_num, signal_value_text,
-                signal_dttm, signal_status, r.load_dttm, r.batch_id) as employee_access_signal_id,
+        select key(signal_source_type, source_event_id, signal_dttm, signal_value_num)
+                as employee_access_signal_id,
             who.employee_id, s.access_system_id as system_id,
             r.* exclude (employee_src_id, system_code)
         from access_signal_rows r left join who on who.employee_src_id = r.employee_src_id
@@ -523,10 +519,7 @@ CTES: dict[str, str] = {
         from finance_vendor_payment_raw group by vendor_src_id
     """,
     "fct_expense": """
-        select key(src_expense_id, who.employee_id, x.employee_src_id, cost_center_id,
-                finance_vendor_id, expense_date, expense_type_code, expense_type_name,
-                expense_category, amount_rub, project_code, expense_status,
-                ifnull(reimbursable_flag = 'Y', false)) as employee_expense_id,
+        select key(src_expense_id, expense_date, amount_rub) as employee_expense_id,
             who.employee_id, x.employee_src_id, cost_center_id, finance_vendor_id,
             src_expense_id as source_expense_id, expense_date, expense_type_code,
             expense_type_name, expense_category, amount_rub, project_code, expense_status,
@@ -591,8 +584,7 @@ CTES: dict[str, str] = {
         from finance_vendor_payment_raw where urgent_flag = 'Y'
     """,
     "signals_finance": """
-        select key(signal_source_type, source_event_id, who.employee_id, signal_code, signal_name,
-                signal_group, signal_value_num, signal_value_text, signal_dttm, signal_status)
+        select key(signal_source_type, source_event_id, signal_dttm, signal_value_num)
                 as employee_finance_signal_id,
             who.employee_id, r.* exclude (employee_src_id)
         from finance_signal_rows r join who on who.employee_src_id = r.employee_src_id

@@ -188,7 +188,7 @@ def score_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = tag_rows(_read(spark, sf_dir, "lineitem"))
     names = ["l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return dense_key(lines, "line_id", names[:2], names[2:], keep=names)
+    return dense_key(lines, "line_id", names, keep=names)
 
 
 def login_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
