@@ -11,6 +11,7 @@ import re
 from testbed.bindings import BINDINGS, raw_sql
 
 # "key(...)" stands for a dense surrogate key in the given order, NULLs last.
+# Quotients are written as exact decimals: DuckDB divides decimals in binary floating point.
 CTES: dict[str, str] = {
     # ---- hr
     "hr_dept_rows": """
@@ -618,8 +619,9 @@ CTES: dict[str, str] = {
         with scored as (
             select *, 2.2 * suspicious_card_txn_cnt + 1.8 * overdue_advance_report_cnt
                 + 1.3 * manual_payroll_adj_cnt + 1.5 * urgent_vendor_payment_cnt
-                + rejected_advance_amount_rub / 50000 + suspicious_card_amount_rub / 70000
-                as points
+                + rejected_advance_amount_rub * 0.00002
+                + ((suspicious_card_amount_rub * 100)::hugeint * 1000000000000 // 7000000)
+                    ::decimal(26,0) * 0.000000000001 as points
             from finance_points
         )
         select key(employee_id) as employee_finance_snapshot_id, * exclude (points),
