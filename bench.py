@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lamina.operators.staging import new_path, release_staging
 from lamina.plans.build import build_all
 from lamina.session import build_session
-from lamina.sources.schemas import RAW
-from testbed.bindings import stored_raw_table
+from testbed.bindings import store_raw_layer, stored_raw_table
 from testbed.queries import QUERIES
 
 HEADLINE = (
@@ -43,7 +42,7 @@ def run(spark: SparkSession, sf_dir: str) -> dict[str, float]:
         work()
         seconds[name] = round(time.perf_counter() - start, 3)
 
-    timed("raw_load", lambda: [stored_raw_table(spark, sf_dir, table) for table in RAW])
+    timed("raw_load", lambda: store_raw_layer(spark, sf_dir))
     for name in HEADLINE:
         timed(name, lambda: consume(QUERIES[name](spark, sf_dir)))
     root = new_path(spark, "warehouse")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
+from threading import RLock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from lamina.functions.scoring import band, score
 from lamina.operators.keys import ROW, dense_key
 from lamina.operators.lookups import lookup
+from lamina.operators.parallel import side_by_side
 from lamina.sources.schemas import conform, table_schema
 
 # The constants of one build run.
@@ -93,34 +95,45 @@ class Table:
     finish: Callable[[DataFrame], DataFrame] | None = None
 
 
+Build = Callable[["Warehouse"], DataFrame]
+Store = Callable[[str, DataFrame], DataFrame]
+
+
 class Warehouse:
-    """Builds tables on demand from raw tables, each at most once.
+    """Builds tables on demand from raw tables, each once.
 
     ``raw`` gives a stored raw table by name. ``rows`` gives a table without paying for its
-    surrogate key; ``table`` gives it keyed and in its stored layout.
+    surrogate key; ``table`` gives it keyed and in its stored layout. With ``store``, every
+    table is handed to it when built, and later steps read what it returns.
     """
 
     def __init__(
         self,
         raw: Callable[[str], DataFrame],
         tables: Mapping[str, Table],
-        reports: Mapping[str, Callable[[Warehouse], DataFrame]],
+        reports: Mapping[str, Build],
         run: Run | None = None,
+        store: Store | None = None,
     ) -> None:
         self.raw = raw
         self.run = run or Run()
         self._plans = tables
         self._reports = reports
+        self._store = store
         self._rows: dict[str, DataFrame] = {}
         self._tables: dict[str, DataFrame] = {}
+        self._locks = {name: RLock() for name in tables}
 
     def adopt(self, name: str, stored: DataFrame) -> None:
         """Read a table from where it has been written instead of building it."""
         self._tables[name] = stored
 
     def rows(self, name: str) -> DataFrame:
-        if name in self._tables:
-            return self._tables[name]
+        if self._store is not None or name in self._tables:
+            return self.table(name)
+        return self._unkeyed(name)
+
+    def _unkeyed(self, name: str) -> DataFrame:
         if name not in self._rows:
             plan = self._plans[name]
             built = plan.rows(self)
@@ -133,22 +146,36 @@ class Warehouse:
         return self._rows[name]
 
     def table(self, name: str) -> DataFrame:
-        if name not in self._tables:
-            plan = self._plans[name]
-            rows = self.rows(name)
-            columns = rows.columns
-            stored = [c for c in table_schema(name).names if c in columns]
-            keyed = dense_key(rows, plan.key, plan.order, keep=stored)
-            if plan.finish is not None:
-                keyed = plan.finish(keyed)
-            self._tables[name] = conform(keyed, table_schema(name))
-        return self._tables[name]
+        with self._locks[name]:
+            if name not in self._tables:
+                built = self._keyed(name)
+                self._tables[name] = built if self._store is None else self._store(name, built)
+            return self._tables[name]
+
+    def _keyed(self, name: str) -> DataFrame:
+        plan = self._plans[name]
+        rows = self._unkeyed(name)
+        columns = rows.columns
+        stored = [c for c in table_schema(name).names if c in columns]
+        keyed = dense_key(rows, plan.key, plan.order, keep=stored)
+        if plan.finish is not None:
+            keyed = plan.finish(keyed)
+        return conform(keyed, table_schema(name))
+
+    def ensure(self, names: Iterable[str]) -> None:
+        """Build the named tables, side by side where several are missing.
+
+        A table waits for what it needs through the lock of that table, so shared dimensions
+        are still built once.
+        """
+        side_by_side(self.table, [n for n in dict.fromkeys(names) if n not in self._tables])
 
     def report(self, name: str) -> DataFrame:
         """A mart or view in its published layout."""
         return conform(self._reports[name](self), table_schema(name))
 
     def resolve(self, df: DataFrame, *lookups: Lookup) -> DataFrame:
+        self.ensure(step.table for step in lookups)
         for step in lookups:
             df = lookup(df, self.table(step.table), step.on, step.take, step.current, step.orphans)
         return df

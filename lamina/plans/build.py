@@ -11,9 +11,10 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lamina.operators.parallel import side_by_side
 from lamina.operators.quality import CheckFailed, not_empty, require, required_nulls, row_parity
 from lamina.plans import access, finance, hr, risk
-from lamina.plans.base import Run, Warehouse
+from lamina.plans.base import Run, Store, Warehouse
 from lamina.sources.files import export_raw, load_raw, read_table, write_table
 from lamina.sources.schemas import SUBJECTS, raw_schema, raw_tables, required, table_schema
 
@@ -26,9 +27,11 @@ MARTS = {name: plan for area in _AREAS.values() for name, plan in area.MARTS.ite
 VIEWS = {name: plan for area in _AREAS.values() for name, plan in area.VIEWS.items()}
 
 
-def warehouse(raw: Callable[[str], DataFrame], run: Run | None = None) -> Warehouse:
+def warehouse(
+    raw: Callable[[str], DataFrame], run: Run | None = None, store: Store | None = None
+) -> Warehouse:
     """A warehouse over stored raw tables; nothing is built until it is asked for."""
-    return Warehouse(raw, TABLES, {**MARTS, **VIEWS}, run)
+    return Warehouse(raw, TABLES, {**MARTS, **VIEWS}, run, store)
 
 
 def stored_raw(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
@@ -36,12 +39,21 @@ def stored_raw(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
     return lambda table: read_table(spark, f"{folder}/{table}", raw_schema(table))
 
 
+def _place(name: str) -> str:
+    """Folder of a table within its run: subject, layer, table."""
+    subject, table = name.split(".")
+    return f"{subject}/{'dm' if name in MARTS else 'dds'}/{table}"
+
+
 def check_required(raw: Callable[[str], DataFrame], subject: str) -> None:
     """Refuse raw tables with NULLs in required columns."""
-    for table in raw_tables(subject):
+
+    def check(table: str) -> None:
         nulls = required_nulls(raw(table), required(raw_schema(table)))
         require(nulls, f"{table} has NULLs in required columns")
 
+    side_by_side(check, raw_tables(subject))
+
 
 def build_all(
     spark: SparkSession,
@@ -60,27 +72,28 @@ def build_all(
     areas that share dimensions belong in the same run.
     """
     chosen = [subject for subject in SUBJECTS if subject in set(subjects)]
-    wh = warehouse(raw, run)
     folder = f"{root}/runs/{run_id}"
 
-    def keep(name: str, df: DataFrame, layer: str) -> DataFrame:
-        subject, table = name.split(".")
-        path = f"{folder}/{subject}/{layer}/{table}"
+    def store(name: str, df: DataFrame) -> DataFrame:
+        path = f"{folder}/{_place(name)}"
         write_table(df, path, (layouts or {}).get(name))
         return read_table(spark, path, table_schema(name))
 
-    for subject in chosen:
+    wh = warehouse(raw, run, store)
+
+    def build(subject: str) -> None:
         if subject in NEEDS_HR:
             if "hr" not in chosen:
                 raise CheckFailed(f"{subject} needs the hr dimensions of the same run")
             employees = {"hr.dim_hr_employee": wh.table("hr.dim_hr_employee")}
             require(not_empty(employees), f"{subject} needs hr employees")
         check_required(raw, subject)
-        area = _AREAS[subject]
-        for name in area.TABLES:
-            wh.adopt(name, keep(name, wh.table(name), "dds"))
-        marts = {name: keep(name, wh.report(name), "dm") for name in area.MARTS}
+        wh.ensure(_AREAS[subject].TABLES)
+        marts = {name: store(name, wh.report(name)) for name in _AREAS[subject].MARTS}
         require(not_empty(marts), f"{subject} marts are empty")
+
+    side_by_side(build, [subject for subject in chosen if subject == "hr"])
+    side_by_side(build, [subject for subject in chosen if subject != "hr"])
     publish(spark, root, run_id)
     return wh
 
@@ -101,9 +114,7 @@ def current_run(spark: SparkSession, root: str) -> str:
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A detail table or mart of the current run, named ``subject.table``."""
-    subject, table = name.split(".")
-    layer = "dm" if name in MARTS else "dds"
-    path = f"{root}/runs/{current_run(spark, root)}/{subject}/{layer}/{table}"
+    path = f"{root}/runs/{current_run(spark, root)}/{_place(name)}"
     return read_table(spark, path, table_schema(name))
 
 
@@ -127,16 +138,15 @@ def migrate(
     ``decode`` gives, per table, functions for columns that arrive as epoch integers. Returns
     the parity table; a count that differs raises instead.
     """
-    moved = {}
-    for table, df in source.items():
-        export_raw(df, f"{staging}/{table}")
-        moved[table] = load_raw(
-            spark,
-            f"{staging}/{table}",
-            f"{target}/{table}",
-            raw_schema(table),
-            (decode or {}).get(table),
+
+    def move(table: str) -> DataFrame:
+        files = f"{staging}/{table}"
+        export_raw(source[table], files)
+        return load_raw(
+            spark, files, f"{target}/{table}", raw_schema(table), (decode or {}).get(table)
         )
+
+    moved = dict(zip(source, side_by_side(move, source), strict=True))
     parity = row_parity(source, moved)
     require(parity, "row counts differ after migration")
     return parity

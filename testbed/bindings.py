@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lamina.operators.parallel import side_by_side
 from lamina.operators.staging import new_path
 from lamina.sources.files import read_table, write_table
 from lamina.sources.schemas import SUBJECTS, conform, raw_schema
@@ -65,3 +66,9 @@ def stored_raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
         write_table(bind(spark, sf_dir, table), path)
         _STORED[slot] = path
     return read_table(spark, _STORED[slot], raw_schema(table))
+
+
+def store_raw_layer(spark: SparkSession, sf_dir: str) -> None:
+    """Write all raw tables that this application has not written yet."""
+    _scans(spark, sf_dir)
+    side_by_side(lambda table: stored_raw_table(spark, sf_dir, table), BINDINGS)
