@@ -719,6 +719,14 @@ def _column_counts(table: str, columns: tuple[str, ...]) -> str:
     )
 
 
+def _row_counts(prefix: str) -> str:
+    return " union all ".join(
+        f"select '{t}' as table_name, count(*) as src_cnt, count(*) as dst_cnt, true as ok from {t}"
+        for t in BINDINGS
+        if t.startswith(prefix)
+    )
+
+
 _TWO_SEVERITIES = {
     "two_severities": """
         select 'ib_incidents' as source_system_name, incident_code as source_event_code,
@@ -842,11 +850,14 @@ _OTHER = {
     "src_csv_money": "select * from finance_advance_report_raw",
     "src_parquet_roundtrip": "select * from finance_vendor_payment_raw",
     "src_parquet_epochs": "select * from access_login_events_raw",
+    "src_parquet_epoch_range": """
+        select * replace (date_trunc('millisecond', detected_at) as detected_at)
+        from hr_dismissal_signals_raw
+    """,
+    "migration_parity": _row_counts("finance_"),
+    "published_mart_hr": "select * from mart_hr",
     "sink_full_refresh": "select * from fct_position_history",
-    "dq_row_parity": " union all ".join(
-        f"select '{table}' as table_name, count(*) as src_cnt, count(*) as dst_cnt, true as ok from {table}"
-        for table in BINDINGS
-    ),
+    "dq_row_parity": _row_counts(""),
     "dq_not_empty": " union all ".join(
         f"select '{table}' as table_name, count(*) > 0 as ok from {table}"
         for table in BINDINGS
@@ -866,6 +877,11 @@ _OTHER = {
         select source_system_name, source_event_code, count(*) as row_cnt
         from two_severities group by all having count(*) > 1
     """,
+    "lookup_cast_key": """
+        select o_orderkey, o_orderstatus, employee_account_id, employee_id
+        from orders left join fct_account
+            on try_cast(split_part(source_account_id, '-', 2) as bigint) = o_orderkey
+    """,
     "lookup_fanout": """
         select src_incident_id, incident_code, default_severity_level
         from risk_ib_incidents_raw left join two_severities on source_event_code = incident_code

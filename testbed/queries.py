@@ -23,7 +23,7 @@ from lamina.operators.quality import duplicate_keys, not_empty, required_nulls,
 from lamina.operators.staging import new_path
 from lamina.plans.access import ACCESS, LOGIN_METRICS
 from lamina.plans.base import Warehouse
-from lamina.plans.build import warehouse
+from lamina.plans.build import build_all, migrate, read_published, warehouse
 from lamina.plans.finance import FINANCE
 from lamina.plans.hr import INSTABILITY, LOAD
 from lamina.plans.risk import EVENT_SOURCES, RISK
@@ -266,6 +266,28 @@ def src_parquet_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_raw(spark, path, new_path(spark, "loaded"), raw_schema(table), decode)
 
 
+def src_parquet_epoch_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = "hr_dismissal_signals_raw"
+    path = new_path(spark, "parquet")
+    # Times leave as milliseconds and are told from seconds by their size.
+    epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+    millis = F.timestamp_diff("MILLISECOND", epoch, F.col("detected_at"))
+    export_raw(stored_raw_table(spark, sf_dir, table).withColumn("detected_at", millis), path)
+    decode = {"detected_at": decode_epoch_range}
+    return load_raw(spark, path, new_path(spark, "loaded"), raw_schema(table), decode)
+
+
+def migration_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = {table: stored_raw_table(spark, sf_dir, table) for table in raw_tables("finance")}
+    return migrate(spark, source, new_path(spark, "exported"), new_path(spark, "migrated"))
+
+
+def published_mart_hr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_path(spark, "warehouse")
+    build_all(spark, lambda t: stored_raw_table(spark, sf_dir, t), root, "run", subjects=["hr"])
+    return read_published(spark, root, "hr.employee_hr_profile_report")
+
+
 def sink_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table_schema("hr.fct_employee_position_history")
     facts = open_warehouse(spark, sf_dir).table("hr.fct_employee_position_history")
@@ -309,6 +331,14 @@ def dq_unique_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_keys(types, ["source_system_name", "source_event_code"])
 
 
+def lookup_cast_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    accounts = open_warehouse(spark, sf_dir).table("access.fct_employee_account")
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    account = "concat('ACC-', lpad(cast(o_orderkey as string), 9, '0'))"
+    take = {"employee_account_id": "employee_account_id", "employee_id": "employee_id"}
+    return lookup(orders, accounts, {account: "source_account_id"}, take)
+
+
 def lookup_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, types = _types_with_two_severities(spark, sf_dir)
     events = raw.select("src_incident_id", "incident_code")
@@ -333,10 +363,14 @@ QUERIES: dict[str, Query] = {
     "src_csv_money": src_csv_money,
     "src_parquet_roundtrip": src_parquet_roundtrip,
     "src_parquet_epochs": src_parquet_epochs,
+    "src_parquet_epoch_range": src_parquet_epoch_range,
+    "migration_parity": migration_parity,
+    "published_mart_hr": published_mart_hr,
     "sink_full_refresh": sink_full_refresh,
     "dq_row_parity": dq_row_parity,
     "dq_not_empty": dq_not_empty,
     "dq_required": dq_required,
     "dq_unique_key": dq_unique_key,
     "lookup_fanout": lookup_fanout,
+    "lookup_cast_key": lookup_cast_key,
 }
