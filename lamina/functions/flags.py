@@ -6,11 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def is_yes(flag: Column) -> Column:
+def yes_sql(flag: str) -> str:
     """True for exactly ``'Y'``; everything else, NULL included, is false."""
-    return F.coalesce(flag == "Y", F.lit(False))
+    return f"coalesce({flag} = 'Y', false)"
 
 
-def is_positive(measure: Column) -> Column:
+def is_yes(flag: str) -> Column:
+    return F.expr(yes_sql(flag))
+
+
+def positive_sql(measure: str) -> str:
     """True where the measure exceeds zero; NULL is false."""
-    return F.coalesce(measure > 0, F.lit(False))
+    return f"coalesce({measure} > 0, false)"
+
+
+def is_positive(measure: str) -> Column:
+    return F.expr(positive_sql(measure))

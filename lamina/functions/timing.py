@@ -1,4 +1,4 @@
-"""Durations in hours. Both functions give NULL while either end is open."""
+"""Durations in hours as decimal(18,4), NULL while either end is open."""
 
 from __future__ import annotations
 
@@ -6,13 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def hours_between(start: Column, end: Column) -> Column:
-    """Exact hours, sub-second parts included, as decimal(18,4)."""
-    micros = F.timestamp_diff("MICROSECOND", start, end).cast("decimal(20,0)")
-    return (micros / F.lit(3600000000).cast("decimal(10,0)")).cast("decimal(18,4)")
+def _hours(unit: str, start: str, end: str, per_hour: int) -> str:
+    units = f"cast(timestampdiff({unit}, {start}, {end}) as decimal(20,0))"
+    return f"cast({units} / {per_hour} as decimal(18,4))"
 
 
-def whole_second_hours(start: Column, end: Column) -> Column:
-    """Hours counted in completed seconds, as decimal(18,4)."""
-    seconds = F.timestamp_diff("SECOND", start, end).cast("decimal(20,0)")
-    return (seconds / F.lit(3600).cast("decimal(4,0)")).cast("decimal(18,4)")
+def hours_sql(start: str, end: str) -> str:
+    """Exact hours, sub-second parts included."""
+    return _hours("MICROSECOND", start, end, 3600000000)
+
+
+def hours_between(start: str, end: str) -> Column:
+    return F.expr(hours_sql(start, end))
+
+
+def whole_second_hours(start: str, end: str) -> Column:
+    """Hours counted in completed seconds."""
+    return F.expr(_hours("SECOND", start, end, 3600))

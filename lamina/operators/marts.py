@@ -7,11 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamina.functions.flags import positive_sql
+
 
 def with_flags(df: DataFrame, flags: Mapping[str, str]) -> DataFrame:
     """Add ``{flag: measure}`` columns that say whether the measure is above zero."""
     return df.selectExpr(
-        "*", *[f"coalesce({measure} > 0, false) as {flag}" for flag, measure in flags.items()]
+        "*", *[f"{positive_sql(measure)} as {flag}" for flag, measure in flags.items()]
     )
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,9 +22,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master").startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="lamina-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="lamina-")
 
 
 def staging_folder(spark: SparkSession) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from lamina.functions.timing import hours_sql
 from lamina.operators.dimensions import catalog_dim, project
 from lamina.operators.marts import restrict
 from lamina.operators.metrics import entity_metrics
@@ -75,8 +76,7 @@ SIGNALS = (
             "signal_code": "access_type_code",
             "signal_name": "access_type_name",
             "signal_group": "'PRIVILEGED_ACCESS'",
-            "signal_value_num": "cast(cast(timestampdiff(MICROSECOND, start_dttm, end_dttm) "
-            "as decimal(20,0)) / 3600000000 as decimal(18,4))",
+            "signal_value_num": hours_sql("start_dttm", "end_dttm"),
             "signal_value_text": "request_id",
             "signal_dttm": "start_dttm",
             "signal_status": "access_status",

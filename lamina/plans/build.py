@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.operators.parallel import side_by_side
@@ -131,7 +131,7 @@ def migrate(
     source: Mapping[str, DataFrame],
     staging: str,
     target: str,
-    decode: Mapping[str, Mapping[str, object]] | None = None,
+    decode: Mapping[str, Mapping[str, Callable[[str], Column]]] | None = None,
 ) -> DataFrame:
     """Move raw tables between stores through Parquet files and verify their row counts.
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lamina.functions.flags import yes_sql
 from lamina.operators.dimensions import catalog_dim, project, resolve_parent, snapshot_dim, versioned_dim
 from lamina.operators.marts import with_flags
 from lamina.operators.metrics import entity_metrics
@@ -54,7 +55,7 @@ def same(*names: str) -> dict[str, str]:
 
 def yes(*names: str) -> dict[str, str]:
     """Y/N text columns turned into booleans under their own names."""
-    return {name: f"coalesce({name} = 'Y', false)" for name in names}
+    return {name: yes_sql(name) for name in names}
 
 
 LOAD = same("load_dttm", "batch_id")

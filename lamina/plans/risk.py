@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lamina.functions.flags import yes_sql
 from lamina.operators.dimensions import catalog_dim, project, resolve_parent, snapshot_dim, versioned_dim
 from lamina.operators.marts import trend, with_flags
 from lamina.operators.metrics import Factor, factors_long, factors_wide
@@ -99,7 +100,7 @@ EVENT_SOURCES = (
         code="case_type_code",
         name="case_type_name",
         status="case_status",
-        flag="coalesce(risk_flag = 'Y', false)",
+        flag=yes_sql("risk_flag"),
         detected="registered_at",
         closed="resolved_at",
         decision_code="resolution_code",

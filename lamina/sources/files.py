@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,7 +118,7 @@ def load_raw(
     source: str,
     target: str,
     schema: T.StructType,
-    decode: Mapping[str, object] | None = None,
+    decode: Mapping[str, Callable[[str], Column]] | None = None,
 ) -> DataFrame:
     """Replace the target table by the Parquet files at ``source``; returns the target.
 
@@ -130,6 +130,6 @@ def load_raw(
     if odd:
         raise SchemaMismatch(f"{source}: columns on one side only: {sorted(odd)}")
     for column, function in (decode or {}).items():
-        files = files.withColumn(column, function(F.col(column)))
+        files = files.withColumn(column, function(column))
     write_table(conform(files, schema), target)
     return read_table(spark, target, schema)

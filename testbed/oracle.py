@@ -59,10 +59,11 @@ CTES: dict[str, str] = {
     """,
     "who": "select employee_id, employee_src_id from dim_employee_hr where is_current_flag",
     "fct_position_history": """
-        select key(src_position_event_id, h.effective_from) as employee_position_history_id, who.employee_id,
-            p.position_id, d.department_id, event_type_code, event_type_name,
-            salary_change_flag is not distinct from 'Y' as salary_change_flag,
-            h.effective_from, h.effective_to, h.load_dttm, h.batch_id
+        select key(src_position_event_id, h.effective_from) as employee_position_history_id,
+            who.employee_id, p.position_id, d.department_id,
+            h.* exclude (src_position_event_id, employee_src_id, position_code, position_name,
+                department_src_id, department_name, grade_code, source_system)
+                replace (salary_change_flag is not distinct from 'Y' as salary_change_flag)
         from hr_position_history_raw h
         left join who using (employee_src_id)
         left join dim_position p using (position_code)
@@ -70,10 +71,9 @@ CTES: dict[str, str] = {
     """,
     "fct_absence": """
         select key(src_absence_event_id, start_date, duration_days) as employee_absence_id, who.employee_id,
-            absence_type_code, absence_type_name, absence_reason_group, start_date, end_date,
-            duration_days, approved_flag is not distinct from 'Y' as approved_flag,
-            load_dttm, batch_id
-        from hr_absence_events_raw left join who using (employee_src_id)
+            a.* exclude (src_absence_event_id, employee_src_id, source_system)
+                replace (approved_flag is not distinct from 'Y' as approved_flag)
+        from hr_absence_events_raw a left join who using (employee_src_id)
     """,
     "hr_signal_rows": """
         select employee_src_id, 'overtime' as signal_source_type,
@@ -139,22 +139,17 @@ CTES: dict[str, str] = {
         left join dim_department_hr d on d.department_id = e.department_id and d.is_current_flag
     """,
     "mart_hr": """
-        select s.report_date, e.employee_id, e.employee_src_id, e.employee_number, e.tab_num,
-            e.full_name, e.birth_date, e.gender_code, e.employment_status, e.hire_date,
-            e.dismissal_date, e.current_position_id, e.current_position_code,
-            e.position_name as current_position_name, e.grade_code, e.dept_id as department_id,
-            e.dept_src_id as department_src_id, e.department_name, e.parent_department_id,
-            e.block_name, e.function_name, e.region_name, e.org_level, e.manager_employee_src_id,
-            e.work_format, e.location_name, s.absence_event_cnt, s.absence_days_total,
-            s.overtime_hours_total, s.dismissal_signal_cnt, s.active_signal_cnt,
-            s.instability_score, s.instability_level_code,
-            s.absence_event_cnt > 0 as has_absence_flag,
+        select s.* exclude (employee_hr_snapshot_id, employee_id, current_position_id,
+                current_department_id),
+            e.* exclude (department_id, department_src_id, position_name, dept_id, dept_src_id,
+                valid_from, valid_to, is_current_flag, source_system, load_dttm, batch_id),
+            e.position_name as current_position_name, e.dept_id as department_id,
+            e.dept_src_id as department_src_id, s.absence_event_cnt > 0 as has_absence_flag,
             s.overtime_hours_total > 0 as has_overtime_flag,
             s.dismissal_signal_cnt > 0 as has_dismissal_signal_flag,
             (select max(g.detected_at) from signals_hr g where g.employee_id = s.employee_id)
-                as last_signal_dttm,
-            s.calculation_dttm, s.load_dttm, s.batch_id
-        from snapshot_hr s left join hr_people e using (employee_id)
+                as last_signal_dttm
+        from snapshot_hr s left join hr_people e on e.employee_id = s.employee_id
     """,
     "view_hr_signals": """
         select s.report_date, e.employee_id, e.employee_src_id, e.full_name,
@@ -346,12 +341,11 @@ CTES: dict[str, str] = {
         group by s.access_system_id, r.system_code, r.role_code
     """,
     "fct_account": """
-        select key(src_account_id) as employee_account_id, who.employee_id, a.employee_src_id,
-            s.access_system_id as system_id, a.system_code, src_account_id as source_account_id,
-            account_login, account_type_code, account_type_name,
-            privileged_flag is not distinct from 'Y' as privileged_flag,
-            admin_flag is not distinct from 'Y' as admin_flag, account_status, created_at,
-            disabled_at, a.load_dttm, a.batch_id
+        select key(src_account_id) as employee_account_id, who.employee_id,
+            s.access_system_id as system_id, src_account_id as source_account_id,
+            a.* exclude (src_account_id, system_name, source_system)
+                replace (privileged_flag is not distinct from 'Y' as privileged_flag,
+                    admin_flag is not distinct from 'Y' as admin_flag)
         from access_system_accounts_raw a left join who on who.employee_src_id = a.employee_src_id
         left join dim_system s on s.system_code = a.system_code
     """,
@@ -370,9 +364,10 @@ CTES: dict[str, str] = {
     "fct_login_event": """
         select key(src_login_event_id, login_dttm) as employee_login_event_id, who.employee_id,
             acc.employee_account_id, s.access_system_id as system_id,
-            src_login_event_id as source_login_event_id, login_dttm, login_result, auth_method,
-            ip_address, device_id, country_name, city_name,
-            unusual_geo_flag is not distinct from 'Y' as unusual_geo_flag, l.load_dttm, l.batch_id
+            src_login_event_id as source_login_event_id,
+            l.* exclude (src_login_event_id, employee_src_id, src_account_id, system_code,
+                source_system)
+                replace (unusual_geo_flag is not distinct from 'Y' as unusual_geo_flag)
         from access_login_events_raw l
         left join who on who.employee_src_id = l.employee_src_id
         left join fct_account acc on acc.source_account_id = l.src_account_id
@@ -521,10 +516,11 @@ CTES: dict[str, str] = {
     """,
     "fct_expense": """
         select key(src_expense_id, expense_date, amount_rub) as employee_expense_id,
-            who.employee_id, x.employee_src_id, cost_center_id, finance_vendor_id,
-            src_expense_id as source_expense_id, expense_date, expense_type_code,
-            expense_type_name, expense_category, amount_rub, project_code, expense_status,
-            ifnull(reimbursable_flag = 'Y', false) as reimbursable_flag, x.load_dttm, x.batch_id
+            who.employee_id, c.cost_center_id, v.finance_vendor_id,
+            src_expense_id as source_expense_id,
+            x.* exclude (src_expense_id, currency_code, cost_center_code, vendor_src_id,
+                source_system)
+                replace (reimbursable_flag is not distinct from 'Y' as reimbursable_flag)
         from finance_employee_expense_raw x
         join who on who.employee_src_id = x.employee_src_id
         left join dim_cost_center c on c.cost_center_code = x.cost_center_code

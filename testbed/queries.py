@@ -98,7 +98,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def flag_yn(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "array('Y', 'N', null, 'y', '', ' Y')[cast(event_id % 6 as int)]"
     flagged = _read(spark, sf_dir, "events").select("event_id", F.expr(text).alias("flag_text"))
-    return flagged.withColumn("flag", is_yes(F.col("flag_text")))
+    return flagged.withColumn("flag", is_yes("flag_text"))
 
 
 def duration_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,8 +107,8 @@ def duration_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = _read(spark, sf_dir, "events").select("event_id", "ts", F.expr(end).alias("ended"))
     return spans.select(
         "event_id",
-        hours_between(F.col("ts"), F.col("ended")).alias("exact_hours"),
-        whole_second_hours(F.col("ts"), F.col("ended")).alias("second_hours"),
+        hours_between("ts", "ended").alias("exact_hours"),
+        whole_second_hours("ts", "ended").alias("second_hours"),
     )
 
 
@@ -131,7 +131,7 @@ def decode_epoch_digits(spark: SparkSession, sf_dir: str) -> DataFrame:
             when 8 then cast(us div 86400000000 as string)
         end"""
     values = _event_micros(spark, sf_dir).select("event_id", F.expr(text).alias("epoch_text"))
-    return values.withColumn("decoded", decode_epoch_ts(F.col("epoch_text")))
+    return values.withColumn("decoded", decode_epoch_ts("epoch_text"))
 
 
 def decode_epoch_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +148,7 @@ def decode_epoch_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
             when 8 then cast(us div 86400000000 as string)
         end"""
     values = _event_micros(spark, sf_dir).select("event_id", F.expr(text).alias("epoch_text"))
-    return values.withColumn("decoded", decode_epoch_date(F.col("epoch_text")))
+    return values.withColumn("decoded", decode_epoch_date("epoch_text"))
 
 
 def decode_epoch_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +163,7 @@ def decode_epoch_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
             when 6 then 32503679999999 + event_id % 3
         end"""
     values = _event_micros(spark, sf_dir).select("event_id", F.expr(number).alias("epoch_number"))
-    return values.withColumn("decoded", decode_epoch_range(F.col("epoch_number")))
+    return values.withColumn("decoded", decode_epoch_range("epoch_number"))
 
 
 def score_bands(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,16 +134,22 @@ def test_staging_lives_in_the_folder_the_session_names(spark):
     assert path.startswith(staging_folder(spark))
 
 
-def test_staging_needs_a_shared_folder_on_a_cluster():
-    class Conf:
-        def get(self, key, default=None):
-            return {"spark.master": "yarn"}.get(key, default)
+class BareSession:
+    """A session that names a master and nothing else."""
+
+    def __init__(self, master):
+        self.conf = {"spark.master": master}
 
-    class Session:
-        conf = Conf()
 
+def test_staging_needs_a_shared_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Session())
+        shared_folder(BareSession("yarn"))
+
+
+def test_a_local_session_gets_one_folder_of_its_own():
+    folder = shared_folder(BareSession("local[2]"))
+    assert folder == shared_folder(BareSession("local[2]"))
+    assert Path(folder).is_dir()
 
 
 def test_release_deletes_only_this_application(spark, monkeypatch, tmp_path):

@@ -14,6 +14,7 @@ from lamina.functions import (
     hours_between,
     is_positive,
     is_yes,
+    register_functions,
     whole_second_hours,
 )
 from lamina.plans.access import ACCESS
@@ -60,9 +61,9 @@ def test_epoch_decoding(spark, confs, zone):
         spark.createDataFrame(rows, "i int, v string")
         .select(
             "i",
-            decode_epoch_ts(F.col("v")).alias("ts"),
-            decode_epoch_date(F.col("v")).alias("d"),
-            decode_epoch_range(F.col("v").try_cast("bigint")).alias("r"),
+            decode_epoch_ts("v").alias("ts"),
+            decode_epoch_date("v").alias("d"),
+            decode_epoch_range("try_cast(v as bigint)").alias("r"),
         )
         .collect()
     )
@@ -72,17 +73,29 @@ def test_epoch_decoding(spark, confs, zone):
 
 def test_epoch_decoding_takes_integers_and_timestamps(spark):
     row = spark.sql("select 1704067200L as n, timestamp_ntz'2024-01-01 10:00:00' as t").select(
-        decode_epoch_ts(F.col("n")).alias("n"), decode_epoch_ts(F.col("t")).alias("t")
+        decode_epoch_ts("n").alias("n"), decode_epoch_ts("t").alias("t")
     )
     assert row.first() == (datetime(2024, 1, 1), datetime(2024, 1, 1, 10))
 
 
+def test_decoders_in_sql(spark):
+    register_functions(spark)
+    rows = [(i, value) for i, (value, *_) in enumerate(EPOCHS)]
+    spark.createDataFrame(rows, "i int, v string").createOrReplaceTempView("epochs")
+    found = spark.sql(
+        "select i, decode_epoch_ts(v), decode_epoch_date(v), decode_epoch_range(try_cast(v as bigint))"
+        " from epochs"
+    ).collect()
+    assert {row[0]: tuple(row)[1:] for row in found} == {i: tuple(r) for i, (_, *r) in enumerate(EPOCHS)}
+    spark.catalog.dropTempView("epochs")
+
+
 def test_flags(spark):
     rows = [(v,) for v in ("Y", "N", None, "y", "", " Y")]
-    flags = spark.createDataFrame(rows, "f string").select(is_yes(F.col("f")).alias("f")).collect()
+    flags = spark.createDataFrame(rows, "f string").select(is_yes("f").alias("f")).collect()
     assert [row["f"] for row in flags] == [True, False, False, False, False, False]
     counts = spark.createDataFrame([(1,), (0,), (None,)], "n int")
-    assert [r[0] for r in counts.select(is_positive(F.col("n"))).collect()] == [True, False, False]
+    assert [r[0] for r in counts.select(is_positive("n")).collect()] == [True, False, False]
 
 
 def test_durations(spark):
@@ -93,8 +106,8 @@ def test_durations(spark):
         (datetime(2024, 1, 1, 0, 0, 0, 900000), datetime(2024, 1, 1, 0, 0, 2, 100000)),
     ]
     spans = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
-    exact = [r[0] for r in spans.select(hours_between(F.col("a"), F.col("b"))).collect()]
-    whole = [r[0] for r in spans.select(whole_second_hours(F.col("a"), F.col("b"))).collect()]
+    exact = [r[0] for r in spans.select(hours_between("a", "b")).collect()]
+    whole = [r[0] for r in spans.select(whole_second_hours("a", "b")).collect()]
     assert exact == [Decimal("1.5000"), Decimal("0.1389"), None, Decimal("0.0003")]
     assert whole == [Decimal("1.5000"), Decimal("0.1389"), None, Decimal("0.0003")]
 
