@@ -44,12 +44,11 @@ def dense_key(
     columns = df.columns
     kept = [c for c in columns if c != ROW] if keep is None else list(keep)
     ordering = [*order_by, _TIE, *([ROW] if ROW in columns else [])]
-    nulls_last = ", ".join(f"{expression} asc nulls last" for expression in ordering)
 
     last_slice = Observation()
     tied = df.selectExpr("*", f"xxhash64({', '.join(kept)}) as {_TIE}")
     numbered = (
-        df.sparkSession.sql(f"select * from {{df}} order by {nulls_last}", df=tied)
+        tied.orderBy(*[F.expr(expression).asc_nulls_last() for expression in ordering])
         .selectExpr(*kept, f"monotonically_increasing_id() as {_POS}")
         .observe(last_slice, F.expr(f"max({_POS} >> {_SLICE_SHIFT}) as id"))
     )
