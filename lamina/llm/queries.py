@@ -7,7 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.llm import op4_bpe_automaton, op7_quality_rules, op9_chat_formatting
+from lamina.llm import (
+    op4_bpe_automaton,
+    op5_suffix_dedup,
+    op6_substring_dedup,
+    op7_quality_rules,
+    op9_chat_formatting,
+)
 from lamina.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +25,16 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_bpe_automaton.digest(read(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return op5_suffix_dedup.digest(op5_suffix_dedup.remove_repeats(docs))
+
+
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return op6_substring_dedup.digest(op6_substring_dedup.remove_repeats(docs))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = op7_quality_rules.quality_rules(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
@@ -39,6 +55,8 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
+    "op5_suffix": op5_suffix,
+    "op6_substring": op6_substring,
     "op7_quality": op7_quality,
     "op9_chat": op9_chat,
 }

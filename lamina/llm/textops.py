@@ -110,11 +110,25 @@ def _powers(n: int) -> np.ndarray:
     global _POWERS
     if len(_POWERS) < n:
         _POWERS = np.concatenate(
-            ([U64(1)], np.cumprod(np.full(max(n, 64) * 2, U64(_WORD_BASE), dtype=np.uint64)))
+            ([U64(1)], np.cumprod(np.full(max(n, 64) * 5 // 4, U64(_WORD_BASE), dtype=np.uint64)))
         )
     return _POWERS
 
 
+_INVERSE = np.ones(1, dtype=np.uint64)
+
+
+def _inverse_powers(n: int) -> np.ndarray:
+    """Powers 0..n-1 of the word base's inverse modulo 2**64, kept between calls."""
+    global _INVERSE
+    if len(_INVERSE) < n:
+        base = U64(pow(_WORD_BASE, -1, 2**64))
+        _INVERSE = np.concatenate(
+            ([U64(1)], np.cumprod(np.full(max(n, 64) * 5 // 4, base, dtype=np.uint64)))
+        )
+    return _INVERSE
+
+
 def windows(hashes: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
     """Hash of every run of ``size`` words; entry i covers words i..i+size-1 of the block."""
     n = len(hashes) - size + 1
@@ -134,29 +148,36 @@ def within_document(words: Words, size: int) -> np.ndarray:
     return words.doc[:n] == words.doc[size - 1 :] if n > 0 else np.empty(0, dtype=bool)
 
 
-def spans_covered(flags: np.ndarray, size: int) -> np.ndarray:
-    """Marks every item covered by a flagged window of ``size`` items starting at or before it."""
-    n = len(flags) + size - 1
-    steps = np.zeros(n + 1, dtype=np.int32)
-    at = np.flatnonzero(flags)
-    steps[at] += 1
-    np.add.at(steps, at + size, -1)
-    return np.cumsum(steps[:n]) > 0
-
-
-def gram_hashes(data: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Hashes of all byte strings of 8, 16, 32, ... up to ``size`` bytes, one level at a time."""
-    n = len(data) - 7
-    if n <= 0:
-        return
-    raw = np.ascontiguousarray(data)
-    level = mix(np.ndarray((n,), dtype="<u8", buffer=raw.data, strides=(1,)).astype(np.uint64))
-    length = 8
-    yield length, level
-    while length * 2 <= size and len(level) > length:
-        level = combine(level[:-length], level[length:])
-        length *= 2
-        yield length, level
+def covered(starts: np.ndarray, size: int, total: int) -> np.ndarray:
+    """Marks the items of ``total`` that lie in a window of ``size`` items from one of ``starts``."""
+    steps = np.zeros(total + 1, dtype=np.int32)
+    steps[starts] = 1
+    ends = np.zeros(total + 1, dtype=np.int32)
+    ends[starts + size] = 1
+    return np.cumsum(steps - ends)[:total] > 0
+
+
+class ByteSums:
+    """Prefix sums over a block from which the hash of any byte string of 8 bytes or more follows.
+
+    Every run of 8 bytes is mixed to 64 bits first; a string is the sum of its mixed runs times
+    powers of an odd base, so equal strings have equal hashes wherever they stand.
+    """
+
+    def __init__(self, data: np.ndarray):
+        n = max(len(data) - 7, 0)
+        self.sums = np.zeros(n + 1, dtype=np.uint64)
+        if n:
+            raw = np.ascontiguousarray(data)
+            runs = np.ndarray((n,), dtype="<u8", buffer=raw.data, strides=(1,))
+            np.cumsum(mix(runs) * _powers(n)[:n], out=self.sums[1:])
+
+    def hashes(self, at: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
+        """Hash of the ``size`` bytes from each position; every string must lie in the block."""
+        total = self.sums[at + (size - 7)] - self.sums[at]
+        if len(at):
+            total *= _inverse_powers(int(at.max()) + 1)[at]
+        return mix(total + U64(salt))
 
 
 def batches(rows: Iterator, most: int = 2_000_000) -> Iterator[list]:
