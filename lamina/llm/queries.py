@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lamina.llm import (
+    op1_context_tree,
     op4_bpe_automaton,
     op5_suffix_dedup,
     op6_substring_dedup,
@@ -21,6 +22,10 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_context_tree.score(read(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_bpe_automaton.digest(read(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -54,6 +59,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ctw": op1_ctw,
     "op4_bpe": op4_bpe,
     "op5_suffix": op5_suffix,
     "op6_substring": op6_substring,
