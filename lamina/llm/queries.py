@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lamina.llm import (
     op1_context_tree,
+    op3_toxicity,
     op4_bpe_automaton,
     op5_suffix_dedup,
     op6_substring_dedup,
@@ -26,6 +27,11 @@ def op1_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_context_tree.score(read(spark, sf_dir, "documents"))
 
 
+def op3_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return op3_toxicity.digest(op3_toxicity.detect(docs, op3_toxicity.train(docs, labels)))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_bpe_automaton.digest(read(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -60,6 +66,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ctw": op1_ctw,
+    "op3_toxic": op3_toxic,
     "op4_bpe": op4_bpe,
     "op5_suffix": op5_suffix,
     "op6_substring": op6_substring,
