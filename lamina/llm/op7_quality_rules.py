@@ -30,6 +30,8 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 #: Largest share of good documents that one rule may reject in a stratum, and the chance that any
 #: of the chosen cutoffs breaks that promise.
 MAX_FALSE_REJECTION, ERROR = 0.01, 0.05
+#: Most labels that are sent to every task instead of shuffling the documents.
+LABELS_SENT = 1_000_000
 #: Candidate cutoffs of each rule, mildest first. A document fails when its measure is above.
 CUTOFFS = {
     "symbol_share": (0.5, 0.3, 0.2, 0.1, 0.05, 0.02),
@@ -103,14 +105,15 @@ def repeat_words(words: Column) -> Column:
     return F.when(enough, let(let(hashes, windows), count)).otherwise(F.lit(0)).cast("long")
 
 
-def _dup_lines(text: Column) -> Column:
+def _line_counts(text: Column) -> Column:
+    """Lines with a word, and those equal to an earlier one."""
+
     def count(lines: Column) -> Column:
-        return F.size(lines) - F.size(F.array_distinct(lines))
+        again = F.size(lines) - F.size(F.array_distinct(lines))
+        return F.struct(F.size(lines).alias("n"), again.cast("long").alias("again"))
 
-    with_word = F.filter(
-        F.split(text, "\n", -1), lambda x: F.translate(x, SPACES, "") != ""
-    )
-    return let(with_word, count).cast("long")
+    with_word = F.filter(F.split(text, "\n", -1), lambda x: F.trim(x, F.lit(SPACES)) != "")
+    return let(with_word, count)
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -128,23 +131,22 @@ def measures(docs: DataFrame) -> DataFrame:
 
     chars = F.char_length(F.translate(text, SPACES, "")).cast("long")
     symbols = (F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, ""))).cast("long")
-    lines = F.size(F.filter(F.split(text, "\n", -1), lambda x: F.translate(x, SPACES, "") != ""))
-    counted = docs.withColumn("m_words", let(words_of(text), of))
+    counted = docs.select("*", let(words_of(text), of).alias("m_words"), _line_counts(text).alias("m_lines"))
     n = F.col("m_words.n_words")
     share = lambda part, whole: F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
     m = F.struct(
         n.alias("n_words"),
         chars.alias("word_chars"),
         symbols.alias("n_symbols"),
-        _dup_lines(text).alias("n_dup_lines"),
+        F.col("m_lines.again").alias("n_dup_lines"),
         F.col("m_words.n_repeat_words").alias("n_repeat_words"),
         share(symbols, chars).alias("symbol_share"),
         share(F.col("m_words.n_shouted"), n).alias("shout_share"),
-        share(_dup_lines(text), lines).alias("dup_line_share"),
+        share(F.col("m_lines.again"), F.col("m_lines.n")).alias("dup_line_share"),
         share(F.col("m_words.n_repeat_words"), n).alias("repeat_share"),
         share(chars, n).alias("mean_word_excess"),
     )
-    return counted.withColumn("m", m).drop("m_words")
+    return counted.withColumn("m", m).drop("m_words", "m_lines")
 
 
 def base_failed() -> Column:
@@ -201,7 +203,8 @@ def choose_cutoffs(measured: DataFrame, labels: DataFrame) -> DataFrame:
         .where("quality = 1")
         .select("doc_id")
     )
-    kept = measured.join(good, "doc_id", "left_semi").where(~base_failed())
+    # No filter on the measures: it would be moved below the join and computed for every text.
+    kept = measured.join(if_small(good, LABELS_SENT), "doc_id", "left_semi")
     tests = F.explode(
         F.array(
             *(
@@ -217,9 +220,12 @@ def choose_cutoffs(measured: DataFrame, labels: DataFrame) -> DataFrame:
         )
     )
     counts = (
-        kept.select(F.col("lang").alias("stratum"), tests.alias("t"))
+        kept.select(F.col("lang").alias("stratum"), (~base_failed()).alias("passed"), tests.alias("t"))
         .groupBy("stratum", "t.rule", "t.step", "t.cutoff")
-        .agg(F.count("*").alias("n_good"), F.count_if("t.rejected").alias("n_rejected"))
+        .agg(
+            F.count_if("passed").alias("n_good"),
+            F.count_if(F.col("passed") & F.col("t.rejected")).alias("n_rejected"),
+        )
     )
     every = F.collect_list(F.struct("stratum", "rule", "step", "cutoff", "n_good", "n_rejected"))
     pairs = F.array_distinct(F.transform("every", lambda t: F.struct(t["stratum"], t["rule"])))
@@ -271,7 +277,9 @@ def verdicts(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
 def calibrate(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The cutoffs learnt from the labelled documents, a few rows per language, computed once."""
     held = docs.select("doc_id", "lang", "text").join(
-        labels.where("quality is not null").select("doc_id").distinct(), "doc_id", "left_semi"
+        if_small(labels.where("quality = 1").select("doc_id").distinct(), LABELS_SENT),
+        "doc_id",
+        "left_semi",
     )
     return pin(choose_cutoffs(measures(held).select("doc_id", "lang", "m"), labels), "cutoffs")
 
