@@ -29,7 +29,7 @@ WINDOW = 5
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 #: Largest share of good documents that one rule may reject in a stratum, and the chance that any
 #: of the chosen cutoffs breaks that promise.
-MAX_FALSE_REJECTION, ERROR = 0.01, 0.05
+MAX_FALSE_REJECTION, ERROR = 0.005, 0.05
 #: Most labels that are sent to every task instead of shuffling the documents.
 LABELS_SENT = 1_000_000
 #: Candidate cutoffs of each rule, mildest first. A document fails when its measure is above.
