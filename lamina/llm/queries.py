@@ -15,6 +15,7 @@ from lamina.llm import (
     op6_substring_dedup,
     op7_quality_rules,
     op9_chat_formatting,
+    op10_language_id,
 )
 from lamina.llm.common import read
 
@@ -64,6 +65,11 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_chat_formatting.digest(op9_chat_formatting.format_chat(turns))
 
 
+def op10_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return op10_language_id.identify(docs, op10_language_id.train(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ctw": op1_ctw,
     "op3_toxic": op3_toxic,
@@ -72,4 +78,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring": op6_substring,
     "op7_quality": op7_quality,
     "op9_chat": op9_chat,
+    "op10_lang": op10_lang,
 }
