@@ -27,7 +27,7 @@ from lamina.llm.common import parts_for, text_bytes
 
 #: A bucket holds the text that one task works on. It grows with the root of the input, so that
 #: buckets times shards do not grow with its square, from the first bound to the second.
-BUCKET_BYTES = (8_000_000, 64_000_000)
+BUCKET_BYTES = (8_000_000, 32_000_000)
 SHARD_PRIME = 1_000_003
 KEYS = "shard int, bucket int, tag int, keys binary, marks binary"
 FLAGS = "bucket int, shard int, tag int, flags binary"

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm import exchange as x
 from lamina.llm.common import fold, pin
-from lamina.llm.textops import Block, batches
+from lamina.llm.textops import Block, Table, batches
 
 #: Bytes of context at the deepest level; context and byte must fit 63 bits.
 DEPTH = 5
@@ -74,9 +74,9 @@ def word_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words.hashes() >> np.uint64(2), words.first, words.counts
 
 
-def _add(held: dict[int, list], kind: int, keys: np.ndarray, counted: np.ndarray | None) -> None:
-    values, first, counts = np.unique(keys, return_index=True, return_counts=True)
-    held[kind].append((values, counts if counted is None else np.zeros_like(counts)))
+def _add(held: dict[int, list], kind: int, keys: np.ndarray, counted: bool) -> None:
+    values, counts = np.unique(keys, return_counts=True)
+    held[kind].append((values, counts if counted else np.zeros_like(counts)))
 
 
 def _merged(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -110,9 +110,9 @@ def count_strings(docs: DataFrame) -> DataFrame:
                 own = ((None, t) for t, o in zip(texts, out, strict=True) if o is apart)
                 for rows in batches(own):
                     block = [t for _, t in rows]
-                    _add(held, GRAM, grams(block)[0], held if apart else None)
+                    _add(held, GRAM, grams(block)[0], not apart)
                     if not apart:
-                        _add(held, WORD, word_keys(block)[0], None)
+                        _add(held, WORD, word_keys(block)[0], True)
             for kind in held:
                 if sum(len(k) for k, _ in held[kind]) > HELD:
                     merged = _merged(held[kind])
@@ -369,19 +369,16 @@ def score(docs: DataFrame) -> DataFrame:
 
     def finish(bucket: pa.Table, answers: dict) -> pa.Table:
         blocks = [[t for _, t in rows] for rows in batches((None, t) for t in x.bytes_of(bucket))]
-        known = {}
-        for kind, of in ((GRAM, grams), (WORD, word_keys)):
-            keys = x.distinct(np.concatenate([x.distinct(of(b)[0])[0] for b in blocks]))[0]
-            known[kind] = keys, x.answered(answers.get(kind), keys, shards)
-        known[WORD] = known[WORD][0], known[WORD][1].astype(np.int64)
+        read = [(grams(b), word_keys(b)) for b in blocks]
+        known = []
+        for kind in (GRAM, WORD):
+            keys = x.distinct(np.concatenate([x.distinct(r[kind][0])[0] for r in read]))[0]
+            known.append(Table(keys, x.answered(answers.get(kind), keys, shards)))
         floor = math.log10(total + distinct) if total + distinct else 0.0
         out: dict[str, list] = {n: [] for n in ("n_tokens", "n_known", "base_score", "score", "bits")}
-        for block in blocks:
-            keys, first = grams(block)
-            bits = known[GRAM][1][np.searchsorted(known[GRAM][0], keys)]
-            sums = np.add.reduceat(bits, first)
-            keys, _, counts = word_keys(block)
-            seen = known[WORD][1][np.searchsorted(known[WORD][0], keys)]
+        for block, ((strings, first), (words, _, counts)) in zip(blocks, read, strict=True):
+            sums = np.add.reduceat(known[GRAM](strings), first)
+            seen = known[WORD](words)
             doc = np.repeat(np.arange(len(block)), counts)
             n = len(block)
             hits = np.bincount(doc, weights=seen > 0, minlength=n).astype(np.int64)

@@ -142,6 +142,41 @@ def windows(hashes: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
     return mix(total + U64(salt))
 
 
+class Table:
+    """Distinct 64-bit keys spread over slots, so that most look-ups touch one of them.
+
+    Keys that share a slot move on to a further, smaller set of slots until every key has its own.
+    """
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.levels = []
+        salt = 1
+        while len(keys):
+            shift = U64(max(64 - 30, 63 - int(len(keys) - 1).bit_length()) if len(keys) > 1 else 62)
+            slots = np.zeros(1 << int(64 - int(shift)), dtype=np.int64)
+            at = ((keys ^ U64(salt)) * GOLDEN) >> shift
+            slots[at] = np.arange(1, len(keys) + 1)
+            self.levels.append((U64(salt), shift, slots, keys, values))
+            left = slots[at] != np.arange(1, len(keys) + 1)
+            keys, values, salt = keys[left], values[left], salt + 2
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """Values of the keys, 0 where the table has none."""
+        found = np.zeros(len(keys))
+        rest = None
+        for salt, shift, slots, own, values in self.levels:
+            asked = keys if rest is None else keys[rest]
+            at = slots[((asked ^ salt) * GOLDEN) >> shift] - 1
+            hit = own[at] == asked
+            if rest is None:
+                found = np.where(hit, values[at], 0.0)
+                rest = np.flatnonzero(~hit)
+            else:
+                found[rest[hit]] = values[at[hit]]
+                rest = rest[~hit]
+        return found
+
+
 def within_document(words: Words, size: int) -> np.ndarray:
     """Marks the windows of ``size`` words that stay inside one document."""
     n = len(words) - size + 1
