@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lamina.llm import (
     op1_context_tree,
+    op2_minhash,
     op3_toxicity,
     op4_bpe_automaton,
     op5_suffix_dedup,
@@ -28,6 +29,10 @@ def op1_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_context_tree.score(read(spark, sf_dir, "documents"))
 
 
+def op2_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op3_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     return op3_toxicity.digest(op3_toxicity.detect(docs, op3_toxicity.train(docs, labels)))
@@ -72,6 +77,7 @@ def op10_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ctw": op1_ctw,
+    "op2_near": op2_near,
     "op3_toxic": op3_toxic,
     "op4_bpe": op4_bpe,
     "op5_suffix": op5_suffix,
