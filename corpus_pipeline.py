@@ -1,18 +1,43 @@
-"""Corpus pipeline: documents through quality rules, near and exact duplicates, benchmarks, tokens."""
+"""Corpus pipeline: documents through quality rules, near and exact duplicates, benchmarks, tokens.
+
+Every stage but the last returns the columns of its input. Each works on all rows that the stage
+before kept, and what it decides takes effect: rejected documents, near-duplicates and contaminated
+documents go, repeated passages are cut out of the text. The last returns one row per document.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.llm import op4_bpe_automaton, op7_quality_rules
+from lamina.llm import (
+    op2_minhash,
+    op4_bpe_automaton,
+    op5_suffix_dedup,
+    op7_quality_rules,
+    op8_decontamination,
+)
 from lamina.llm.common import pin, read
 from lamina.llm.queries import TOKENIZER
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; the cutoffs come from the labels."""
-    judged = op7_quality_rules.quality_rules(docs, read(spark, sf_dir, "labels"))
-    return judged.where("kept").select(docs.columns)
+    return op7_quality_rules.accepted(docs, read(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return op2_minhash.one_of_each(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the byte strings that also stand elsewhere."""
+    return op5_suffix_dedup.cleaned(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark items."""
+    return op8_decontamination.decontaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,9 +47,12 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("decontamination", decontamination),
     ("tokens", tokens),
 ]
-#: Suffix ranks, signatures and tokens have no SQL form; the stages are tested one by one.
+#: Signatures, suffix ranks, tiles and tokens have no SQL form; brute force tests the stages.
 ORACLE_SQL = None
 
 

@@ -268,3 +268,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         component.alias("component_id"),
         component.eqNullSafe(F.col("doc_id")).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` without the near-duplicates: the smallest ``doc_id`` of each component stays, once.
+
+    Rows without a ``doc_id`` stay; of rows with equal id and text one stays.
+    """
+    found = pin(near_duplicates(docs), "near-duplicates")
+    gone = found.where("not kept").select("doc_id").distinct()
+    again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    left = docs.join(if_small(gone, IDS_SENT), "doc_id", "left_anti")
+    repeated = if_small(pin(again, "repeated-ids"), IDS_SENT)
+    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.common import fold, if_small, pin
-from lamina.llm.textops import Block, batches
+from lamina.llm.textops import PUNCTUATION, Block, batches
 
 FOLD = (3, 1)
 CELLS = 1 << 22
@@ -47,8 +47,6 @@ LEAST, MOST, STEPS = -8.0, 60.0, 4
 CUTOFF = 0.7
 #: Most labels that are sent to every task instead of shuffling the documents.
 LABELS_SENT = 1_000_000
-_EDGE = np.zeros(256, dtype=bool)
-_EDGE[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 
 
 @dataclass(frozen=True)
@@ -66,16 +64,7 @@ class Model:
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Cells of the tokens of lower-cased texts, their text, and their spans in the text's bytes."""
     block = Block(texts, lower=True)
-    words = block.words()
-    for _ in range(8):  # punctuation at the ends, at most eight signs deep
-        moved = (words.start < words.end) & _EDGE[block.data[np.minimum(words.start, len(block.data) - 1)]]
-        words.start = words.start + moved
-        moved = (words.start < words.end) & _EDGE[block.data[words.end - 1]]
-        words.end = words.end - moved
-        if not moved.any():
-            break
-    keep = words.start < words.end
-    words.start, words.end, words.doc = words.start[keep], words.end[keep], words.doc[keep]
+    words = block.words().trim(PUNCTUATION)
     cells = (words.hashes() >> np.uint64(42)).astype(np.int64)
     begin = block.starts[words.doc]
     return cells, words.doc, words.start - begin, words.end - begin

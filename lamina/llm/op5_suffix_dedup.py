@@ -83,8 +83,11 @@ def _joined(arrays: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(arrays) if arrays else np.empty(0, dtype=np.uint64)
 
 
-def repeated_spans(dealt: x.Deal) -> DataFrame:
-    """``rest, doc_id, n_bytes, spans, kept`` of every row: removed byte ranges and what is left."""
+def repeated_spans(dealt: x.Deal, whole_letters: bool = False) -> DataFrame:
+    """``rest, doc_id, n_bytes, spans, kept`` of every row: removed byte ranges and what is left.
+
+    With ``whole_letters``, bytes of a letter that a cut has split are left out of ``kept`` as well.
+    """
     rank_bits, suffix_bits = key_bits(dealt.total)
     shards = dealt.buckets
 
@@ -137,7 +140,8 @@ def repeated_spans(dealt: x.Deal) -> DataFrame:
                 for b, e in cuts:
                     keep.append(text[here:b])
                     here = e
-                kept.append(b"".join([*keep, text[here:]]))
+                left = b"".join([*keep, text[here:]])
+                kept.append(left.decode("utf-8", "ignore").encode() if whole_letters and cuts else left)
                 sizes.append(len(text))
         pair = pa.struct([("start", pa.int64()), ("end", pa.int64())])
         return pa.table(
@@ -174,9 +178,28 @@ def _among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return wanted[np.minimum(at, len(wanted) - 1)] == keys
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, whole_letters: bool = False) -> DataFrame:
     """Every row of ``docs`` (``doc_id``, ``text`` and any others) with its repeats taken out."""
-    return repeated_spans(x.deal(docs))
+    return repeated_spans(x.deal(docs), whole_letters)
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """``docs`` with the text that is left and, if there is one, ``n_chars`` counted anew.
+
+    Documents of which nothing is left are dropped; those that had no text stay.
+    """
+    left = remove_repeats(docs, whole_letters=True).where(
+        (F.octet_length("kept") > 0) | (F.col("n_bytes") == 0)
+    )
+    text = F.col("kept").cast("string")
+    changed = F.size("spans") > 0
+    columns = []
+    for field in docs.schema:
+        old = F.col("rest").getField(field.name) if field.name != "text" else text
+        if field.name == "n_chars":
+            old = F.when(changed, F.char_length(text).cast(field.dataType)).otherwise(old)
+        columns.append(old.alias(field.name))
+    return left.select(*columns)
 
 
 def digest(removed: DataFrame) -> DataFrame:

@@ -289,6 +289,13 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return verdicts(measures(docs), calibrate(docs, labels))
 
 
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with its columns only."""
+    verdict = F.struct("*").alias("doc")
+    judged = quality_rules(docs.select("doc_id", "lang", "text", verdict), labels)
+    return judged.where("kept").select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
+
+
 def digest(judged: DataFrame) -> DataFrame:
     """The columns of the query."""
     return judged.select(

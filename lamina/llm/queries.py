@@ -15,6 +15,7 @@ from lamina.llm import (
     op5_suffix_dedup,
     op6_substring_dedup,
     op7_quality_rules,
+    op8_decontamination,
     op9_chat_formatting,
     op10_language_id,
 )
@@ -54,11 +55,18 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = op7_quality_rules.quality_rules(
-        read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+        read(spark, sf_dir, "documents").select("doc_id", "lang", "text"),
+        read(spark, sf_dir, "labels"),
     )
     return op7_quality_rules.digest(judged)
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_decontamination.contaminated(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.sql(
@@ -83,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffix": op5_suffix,
     "op6_substring": op6_substring,
     "op7_quality": op7_quality,
+    "op8_decontaminate": op8_decontaminate,
     "op9_chat": op9_chat,
     "op10_lang": op10_lang,
 }

@@ -19,6 +19,9 @@ _BYTE_VALUES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.
 _WORD_BASE = 0xD1342543DE82EF95
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Punctuation and signs of ASCII, marked per byte.
+PUNCTUATION = np.zeros(256, dtype=bool)
+PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -84,6 +87,22 @@ class Words:
     def __len__(self) -> int:
         return len(self.start)
 
+    def trim(self, edge: np.ndarray) -> Words:
+        """Takes the bytes marked in ``edge`` off both ends of every word; empty words go."""
+        last = len(self.block.data) - 1
+        while len(self):
+            head = (self.start < self.end) & edge[self.block.data[np.minimum(self.start, last)]]
+            self.start = self.start + head
+            tail = (self.start < self.end) & edge[self.block.data[self.end - 1]]
+            self.end = self.end - tail
+            if not (head.any() or tail.any()):
+                break
+        keep = self.start < self.end
+        self.start, self.end, self.doc = self.start[keep], self.end[keep], self.doc[keep]
+        self.counts = np.bincount(self.doc, minlength=len(self.block))
+        self.first = np.concatenate(([0], np.cumsum(self.counts)))[:-1]
+        return self
+
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of every word."""
         if not len(self):
