@@ -11,31 +11,43 @@ from lamina.llm.common import pin
 def connected(edges: DataFrame) -> DataFrame:
     """``node, label`` of every node of ``edges`` (``a, b``): the smallest node reachable from it.
 
-    Every turn takes the smallest label among a node's neighbours, then the label of that label, so
-    that the turns grow with the logarithm of the longest path. Messages are combined before they
-    are shuffled, so a node with very many links costs no more than its links.
+    Every turn gives each node the smallest label around it and then that label's own, and draws the
+    links anew between labels. Links inside a label vanish, so the links left shrink fast, and the
+    turns grow with the logarithm of the longest path. Labels are combined before the shuffle, so a
+    node with very many links costs no more than its links.
     """
-    both = pin(
-        edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges"
+    links = pin(
+        edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links"
     )
-    labels = pin(
-        both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")),
-        "labels",
-    )
-    while True:
-        told = both.join(labels.withColumnRenamed("node", "a"), "a").select(
-            F.col("b").alias("node"), "label"
+    nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    labels = pin(nodes.select("node", F.col("node").alias("label")), "labels")
+    links = links.where("a <> b")
+    while not links.isEmpty():
+        near = (
+            links.select(F.col("b").alias("node"), F.col("a").alias("label"))
+            .groupBy("node")
+            .agg(F.min("label").alias("label"))  # a is the smaller end
+        )
+        near = pin(near, "near")
+        up = near.select(F.col("node").alias("label"), F.col("label").alias("higher"))
+        step = pin(
+            near.join(up, "label", "left").select("node", F.coalesce("higher", "label").alias("to")),
+            "step",
+        )
+        labels = pin(
+            labels.join(step.withColumnRenamed("node", "label"), "label", "left").select(
+                "node", F.coalesce("to", "label").alias("label")
+            ),
+            "labels",
         )
-        near = told.union(labels).groupBy("node").agg(F.min("label").alias("label"))
-        nearer = pin(near, "labels")
-        up = nearer.select(F.col("node").alias("label"), F.col("label").alias("higher"))
-        jumped = pin(
-            nearer.join(up, "label").select("node", F.least("label", "higher").alias("label")), "labels"
+        moved = lambda end: step.select(F.col("node").alias(end), F.col("to").alias(f"to_{end}"))  # noqa: E731,B023
+        left, right = F.coalesce("to_a", "a"), F.coalesce("to_b", "b")
+        links = pin(
+            links.join(moved("a"), "a", "left")
+            .join(moved("b"), "b", "left")
+            .select(F.least(left, right).alias("a"), F.greatest(left, right).alias("b"))
+            .where("a <> b")
+            .distinct(),
+            "links",
         )
-        changed = jumped.join(
-            labels.withColumnRenamed("label", "before"), "node"
-        ).where("label <> before")
-        done = changed.isEmpty()
-        labels = jumped
-        if done:
-            return labels
+    return labels

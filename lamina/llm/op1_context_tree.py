@@ -45,7 +45,7 @@ END = 0xFF
 GRAM, WORD = 0, 1
 FOLD = (7, 2)
 #: Distinct strings that a counting task holds before it passes its counts on.
-HELD = 4_000_000
+HELD = 1_500_000
 
 
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -237,13 +237,15 @@ def components(signed: DataFrame, docs: DataFrame) -> DataFrame:
                 .select("a", "b")
             )
         else:
-            rest = open_keys.select("key", "node", "component").join(drawn, "node")
+            rest = open_keys.select("key", "node", "component").join(
+                nodes.select("node", "n_shingles", "bands", *PLANES), "node"
+            )
             same = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
-            pairs = (
+            once = F.element_at(F.array_intersect("x.bands", "y.bands"), 1) == F.col("x.key")
+            pairs = (  # under the first key that both have
                 rest.alias("x")
-                .join(rest.alias("y"), same & _may_link("x", "y"))
+                .join(rest.alias("y"), same & _may_link("x", "y") & once)
                 .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-                .distinct()
             )
         pairs = pin(pairs, "pairs")
         if pairs.isEmpty():

@@ -234,7 +234,7 @@ class ByteSums:
         return mix(total + U64(salt))
 
 
-def batches(rows: Iterator, most: int = 2_000_000) -> Iterator[list]:
+def batches(rows: Iterator, most: int = 500_000) -> Iterator[list]:
     """Groups ``(key, bytes)`` rows into lists of about ``most`` bytes, one row at least."""
     held, size = [], 0
     for row in rows:
