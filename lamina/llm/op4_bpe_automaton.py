@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 #: Pre-split of byte-level tokenizers (fixed value, the public pattern).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words whose encoding a task remembers at a time.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 START = -1
 
 
@@ -90,14 +90,29 @@ class Automaton:
         return root
 
 
+class _Words(dict):
+    """Remembered words: a new one is encoded, and all are forgotten once there are too many."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        ids = self[word] = self.encode(word.encode("utf-8"))
+        return ids
+
+
 class Coder:
     """Encoder and decoder of one task: an automaton, its followed arcs and remembered words."""
 
     def __init__(self, automaton: Automaton):
         self.automaton = automaton
         self.last = len(automaton.taken) + len(automaton.rank)
-        self.arcs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.width = max(automaton.label, default=0) + 1
+        self.arcs: dict[int, bool] = {}
+        self.words = _Words(self.word)
         self.split = regex.compile(SPLIT)
         self.special = (
             regex.compile("|".join(map(regex.escape, sorted(automaton.added, key=len, reverse=True))))
@@ -105,57 +120,55 @@ class Coder:
             else None
         )
 
-    def _follows(self, state: int, token: int) -> bool:
-        key = (state, token)
-        if key not in self.arcs:
-            if len(self.arcs) > 2 * REMEMBERED:
-                self.arcs.clear()
-            self.arcs[key] = self.automaton.arc(state, token, self.last)
-        return self.arcs[key]
+    def _follow(self, state: int, token: int) -> bool:
+        """The arc's entry, filled in the first time it is followed."""
+        if len(self.arcs) > 4 * REMEMBERED:
+            self.arcs.clear()
+        found = self.arcs[state * self.width + token] = self.automaton.arc(state, token, self.last)
+        return found
 
     def word(self, letters: bytes) -> tuple[int, ...]:
         """Tokens of one pre-split word."""
-        n = len(letters)
+        n, width, known = len(letters), self.width, self.arcs.get
         state: list[int] = [START] * (n + 1)
         came = [0] * (n + 1)
+        root = self.automaton.trie
         for i in range(n):
-            node, now, j = self.automaton.trie, state[i], i
-            while j < n and (node := node.get(letters[j])) is not None:
+            now, node, j = state[i], root, i
+            row = now * width
+            while j < n:
+                node = node.get(letters[j])
+                if node is None:
+                    break
                 j += 1
-                token = node.get(-1)
-                if token is not None and self._follows(now, token):
-                    state[j], came[j] = token, i
+                if -1 in node:
+                    token = node[-1]
+                    follows = known(row + token)
+                    if follows is None:
+                        follows = self._follow(now, token)
+                    if follows:
+                        state[j], came[j] = token, i
         out = []
         while n:
             out.append(state[n])
             n = came[n]
         return tuple(reversed(out))
 
-    def _plain(self, text: str) -> Iterator[tuple[int, ...]]:
-        known = self.words
-        for word in self.split.findall(text):
-            ids = known.get(word)
-            if ids is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                ids = known[word] = self.word(word.encode("utf-8"))
-            yield ids
-
     def encode(self, text: str) -> list[int]:
-        if self.special is None:
-            return list(chain.from_iterable(self._plain(text)))
+        find, known = self.split.findall, self.words.__getitem__
+        if self.special is None or not (marks := list(self.special.finditer(text))):
+            return list(chain.from_iterable(map(known, find(text))))
         out: list[int] = []
         at = 0
-        for match in self.special.finditer(text):
-            out.extend(chain.from_iterable(self._plain(text[at : match.start()])))
+        for match in marks:
+            out.extend(chain.from_iterable(map(known, find(text[at : match.start()]))))
             out.append(self.automaton.added[match.group()])
             at = match.end()
-        out.extend(chain.from_iterable(self._plain(text[at:])))
+        out.extend(chain.from_iterable(map(known, find(text[at:]))))
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
-        label = self.automaton.label
-        return b"".join([label[i] for i in ids]).decode("utf-8", "replace")
+        return b"".join(map(self.automaton.label.__getitem__, ids)).decode("utf-8", "replace")
 
 
 def compile_file(path: str) -> Automaton:
@@ -235,12 +248,13 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared)
+        decimal = {i: str(i) for i in coder.automaton.label}.__getitem__
         for part in parts:
             counts, encoded, decoded = [], [], []
             for text in part.column("text").to_pylist():
                 ids = coder.encode(text or "")
                 counts.append(len(ids))
-                encoded.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                encoded.append(hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest())
                 decoded.append(hashlib.sha256(coder.decode(ids).encode("utf-8")).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(encoded), pa.array(decoded)],
