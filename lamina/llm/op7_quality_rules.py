@@ -168,6 +168,7 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
         + 0.5 * F.log(F.lit(2 * 3.141592653589793))
         + 1 / (12 * (x + 8))
         - 1 / (360 * F.pow(x + 8, 3))
+        + 1 / (1260 * F.pow(x + 8, 5))
         - reduce(lambda a, b: a + b, (F.log(x + i) for i in range(8)))
     )
     top = (
