@@ -8,7 +8,8 @@
    agree by chance, may reach the threshold; the kept ones are confirmed on their whole sets.
    Hubs connect a large group of copies in a few comparisons per node.
 3. What hubs leave apart is settled exactly: all candidate pairs whose nodes are still in different
-   components, estimated and confirmed likewise. No link between components is lost to a hub.
+   components, estimated and confirmed likewise, but for those that share too few shingles by a
+   bound that no link fails. No link between components is lost to a hub.
 
 A pair at the threshold shares no band with a chance of (1 - 0.75 ** ROWS) ** BANDS, 5e-6, and is
 estimated too low with one of about 1e-7.
@@ -38,6 +39,8 @@ HASHES = BANDS * ROWS
 #: Most differing bit groups of two signatures that are still confirmed: an estimate of one half.
 MOST_DIFFERENT = 48
 HUB_ROUNDS = 2
+#: Classes in which shared shingles are counted before pairs that hubs leave apart are formed.
+CLASSES = 64
 #: Most ids that are sent to every task instead of shuffling the documents.
 IDS_SENT = 1_000_000
 _RNG = np.random.default_rng(5)
@@ -171,14 +174,45 @@ def _may_link(a: str, b: str) -> Column:
     return (different <= MOST_DIFFERENT) & (100 * small >= PERCENT * large)
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of nodes whose whole sets reach the threshold."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _sets_of(needed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, shingles`` of the needed nodes, read from one document of each."""
     ids = nodes.join(needed, "node", "left_semi").select("doc_id")
     texts = docs.select("doc_id", "text").join(if_small(ids, IDS_SENT), "doc_id", "left_semi")
-    sets = pin(
+    return pin(
         full_sets(texts).dropDuplicates(["node"]).join(needed, "node", "left_semi"), "sets"
     )
+
+
+def _shared_counts(sets: DataFrame) -> DataFrame:
+    """``node, counts``: shingles that another of the sets holds too, counted in ``CLASSES`` classes.
+
+    Two sets cannot have more in common than the smaller count of each class, added up. Nodes
+    without such a shingle link with nothing and are left out.
+    """
+    each = sets.select("node", F.explode("shingles").alias("shingle"))
+    common = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
+    counted = (
+        each.join(common, "shingle", "left_semi")
+        .groupBy("node", F.pmod("shingle", F.lit(CLASSES)).cast("int").alias("class"))
+        .agg(F.count("*").cast("int").alias("n"))
+        .groupBy("node")
+        .agg(F.map_from_entries(F.collect_list(F.struct("class", "n"))).alias("found"))
+    )
+    every = F.sequence(F.lit(0), F.lit(CLASSES - 1))
+    counts = F.transform(every, lambda c: F.coalesce(F.element_at("found", c), F.lit(0)))
+    return counted.select("node", counts.alias("counts"))
+
+
+def _sets_allow(a: str, b: str) -> Column:
+    """Whether the counts of shared shingles leave room for the threshold; no link fails this."""
+    least = F.zip_with(f"{a}.counts", f"{b}.counts", lambda m, n: F.least(m, n))
+    most = F.aggregate(least, F.lit(0), lambda total, n: total + n)
+    sizes = F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles")
+    return 100 * most >= PERCENT * (sizes - most)
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of nodes whose whole sets reach the threshold."""
     side = lambda name: sets.select(F.col("node").alias(name), F.col("shingles").alias(f"set_{name}"))
     both = F.size(F.array_intersect("set_a", "set_b"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -237,20 +271,27 @@ def components(signed: DataFrame, docs: DataFrame) -> DataFrame:
                 .select("a", "b")
             )
         else:
-            rest = open_keys.select("key", "node", "component").join(
-                nodes.select("node", "n_shingles", "bands", *PLANES), "node"
+            open_nodes = pin(open_keys.select("node").distinct(), "open")
+            sets = _sets_of(open_nodes, drawn, docs)
+            rest = (
+                open_keys.select("key", "node", "component")
+                .join(nodes.select("node", "n_shingles", "bands", *PLANES), "node")
+                .join(_shared_counts(sets), "node")
             )
             same = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
             once = F.element_at(F.array_intersect("x.bands", "y.bands"), 1) == F.col("x.key")
             pairs = (  # under the first key that both have
                 rest.alias("x")
-                .join(rest.alias("y"), same & _may_link("x", "y") & once)
+                .join(rest.alias("y"), same & _may_link("x", "y") & _sets_allow("x", "y") & once)
                 .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
             )
         pairs = pin(pairs, "pairs")
         if pairs.isEmpty():
-            break
-        links = pin(_confirmed(pairs, drawn, docs), "links")
+            continue
+        if turn < HUB_ROUNDS:
+            named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+            sets = _sets_of(named, drawn, docs)
+        links = pin(_confirmed(pairs, sets), "links")
         component = _merge(component, links)
     return component
 
