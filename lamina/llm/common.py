@@ -14,8 +14,13 @@ from lamina.operators.staging import stage
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of rows that are sent to a Python worker at a time, so that long texts do not add up.
+ARROW_BYTES = 8_000_000
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One of the given tables. Python workers find this package where the driver did."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -8,9 +8,11 @@ bytes are spans of characters.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 U64 = np.uint64
 #: Multipliers of the public 64-bit finaliser of MurmurHash3 and of the golden ratio (fixed values).
@@ -234,8 +236,17 @@ class ByteSums:
         return mix(total + U64(salt))
 
 
+def tidy() -> None:
+    """Gives memory that is no longer used back to the system, as workers live through many tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def batches(rows: Iterator, most: int = 500_000) -> Iterator[list]:
     """Groups ``(key, bytes)`` rows into lists of about ``most`` bytes, one row at least."""
+    tidy()
     held, size = [], 0
     for row in rows:
         held.append(row)
