@@ -20,12 +20,30 @@ from testbed.bindings import store_raw_layer, stored_raw_table
 from testbed.queries import QUERIES
 
 HEADLINE = (
-    *("fct_position_history", "fct_risk_event", "fct_role_assignment", "fct_expense"),
-    *("signals_hr", "signals_access", "signals_finance", "factors_long"),
-    *("snapshot_hr", "snapshot_risk", "snapshot_access", "snapshot_finance"),
-    *("mart_hr", "mart_risk", "mart_access", "mart_finance"),
-    *("view_hr_signals", "view_risk_trend", "view_access_exceptions", "view_finance_signals"),
-    *("surrogate_key", "decode_epoch_digits", "dq_row_parity", "sink_full_refresh"),
+    "fct_position_history",
+    "fct_risk_event",
+    "fct_role_assignment",
+    "fct_expense",
+    "signals_hr",
+    "signals_access",
+    "signals_finance",
+    "factors_long",
+    "snapshot_hr",
+    "snapshot_risk",
+    "snapshot_access",
+    "snapshot_finance",
+    "mart_hr",
+    "mart_risk",
+    "mart_access",
+    "mart_finance",
+    "view_hr_signals",
+    "view_risk_trend",
+    "view_access_exceptions",
+    "view_finance_signals",
+    "surrogate_key",
+    "decode_epoch_digits",
+    "dq_row_parity",
+    "sink_full_refresh",
 )
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def project(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -29,11 +30,16 @@ def snapshot_dim(raw: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 def catalog_dim(sources: Sequence[DataFrame], code: Sequence[str], label: str | None = None) -> DataFrame:
     """One row per code out of several sources, every other column by its greatest value.
 
-    Copies of a code collapse on the map side, before anything is shuffled.
+    Copies of a code collapse on the map side, before anything is shuffled. The greatest text has
+    no hash buffer, so texts are first grouped by, which hashes every scanned row, and only the
+    few rows left are sorted for it.
     """
     together = reduce(DataFrame.unionByName, sources)
     rest = [c for c in together.columns if c not in code]
-    catalog = together.groupBy(*code).agg(*[F.max(c).alias(c) for c in rest])
+    texts = [f.name for f in together.schema if f.name in rest and isinstance(f.dataType, T.StringType)]
+    others = [F.max(c).alias(c) for c in rest if c not in texts]
+    variants = together.groupBy(*code, *texts).agg(F.count("*").alias("_rows"), *others)
+    catalog = variants.groupBy(*code).agg(*[F.max(c).alias(c) for c in rest])
     return catalog if label is None else catalog.withColumn("source_system", F.lit(label))
 
 

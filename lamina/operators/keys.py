@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.operators.staging import stage
@@ -30,12 +30,17 @@ def tag_rows(stored: DataFrame) -> DataFrame:
 
 
 def dense_key(
-    df: DataFrame, key: str, order_by: Sequence[str], keep: Sequence[str] | None = None
+    df: DataFrame,
+    key: str,
+    order_by: Sequence[str],
+    keep: Sequence[str] | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """``key`` = 1..N in the order of ``order_by`` (SQL expressions, NULLs last), then ``keep``.
 
-    Rows that ``order_by`` leaves equal follow a hash of their kept values, then the row
-    number of ``tag_rows``, which is dropped. ``keep`` defaults to every column. The rows are
+    Rows that ``order_by`` leaves equal follow hashes of their kept values, then the row
+    number of ``tag_rows``, which is dropped. ``slices`` is the number of tasks that sort; left
+    out, it is the session's shuffle partitions, of which adaptive execution merges small ones. ``keep`` defaults to every column. The rows are
     range-partitioned on that whole list, so a value that fills a third of the table, or a
     third of the table being copies of one row, still spreads over many tasks; the list stays
     narrow because the driver samples it to place the ranges. Each slice is numbered while it
@@ -45,18 +50,17 @@ def dense_key(
     kept = [c for c in columns if c != ROW] if keep is None else list(keep)
     ordering = [*order_by, _TIE, *([ROW] if ROW in columns else [])]
 
-    last_slice = Observation()
-    tied = df.selectExpr("*", f"xxhash64({', '.join(kept)}) as {_TIE}")
-    numbered = (
-        tied.orderBy(*[F.expr(expression).asc_nulls_last() for expression in ordering])
-        .selectExpr(*kept, f"monotonically_increasing_id() as {_POS}")
-        .observe(last_slice, F.expr(f"max({_POS} >> {_SLICE_SHIFT}) as id"))
-    )
+    # A hash skips NULLs, so each column goes in with its NULL mark.
+    marked = ", ".join(f"{c}, {c} is null" for c in kept)
+    tied = df.selectExpr("*", f"struct(xxhash64({marked}), hash({marked})) as {_TIE}")
+    sort = [F.expr(expression).asc_nulls_last() for expression in ordering]
+    if slices is None:
+        in_order = tied.orderBy(*sort)
+    else:
+        in_order = tied.repartitionByRange(slices, *sort).sortWithinPartitions(*sort)
+    numbered = in_order.selectExpr(*kept, f"monotonically_increasing_id() as {_POS}")
     staged = stage(numbered, f"key-{key}")
     within = f"({_POS} & {_POS_MASK}) + 1"
-    if not last_slice.get["id"]:
-        return staged.selectExpr(f"{within} as {key}", *kept)
-
     before = F.broadcast(_rows_before(staged))
     return (
         staged.selectExpr("*", f"{_POS} >> {_SLICE_SHIFT} as {_SLICE}")
@@ -70,9 +74,9 @@ def _rows_before(staged: DataFrame) -> DataFrame:
     counts = (
         staged.groupBy(F.expr(f"{_POS} >> {_SLICE_SHIFT} as {_SLICE}"))
         .agg(F.expr("count(*) as n"))
-        .orderBy(_SLICE)
         .collect()
     )
+    counts.sort(key=lambda row: row[_SLICE])
     before, total = [], 0
     for row in counts:
         before.append(total)

@@ -9,29 +9,45 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Violating lines that an error quotes.
+SHOWN = 20
+
 
 class CheckFailed(ValueError):
     """A data check found violations."""
 
 
-def row_parity(source: Mapping[str, DataFrame], target: Mapping[str, DataFrame]) -> DataFrame:
+def row_parity(
+    source: Mapping[str, DataFrame | int], target: Mapping[str, DataFrame]
+) -> DataFrame:
     """Row counts of each table on both sides and whether they agree.
 
     All tables are counted in one aggregation: each task hands on one partial count per table.
+    A source may also be a count taken while its rows were read for something else.
     """
     if source.keys() != target.keys():
         raise ValueError(f"tables differ: {sorted(source.keys() ^ target.keys())}")
-    spark = next(iter(source.values())).sparkSession
+    spark = next(iter(target.values())).sparkSession
     # One line per table without a side, so that empty tables show up with zero.
-    names = pa.table({"table_name": list(source), "side": pa.nulls(len(source), pa.string())})
+    counted = [n if isinstance(n, int) else 0 for n in source.values()]
+    names = pa.table(
+        {
+            "table_name": list(source),
+            "side": pa.nulls(len(source), pa.string()),
+            "known": pa.array(counted, pa.int64()),
+        }
+    )
     parts = [spark.createDataFrame(names)]
     for side, tables in (("src", source), ("dst", target)):
         for table, df in tables.items():
-            parts.append(df.selectExpr(f"'{table}' as table_name", f"'{side}' as side"))
+            if not isinstance(df, int):
+                parts.append(
+                    df.selectExpr(f"'{table}' as table_name", f"'{side}' as side", "0L as known")
+                )
     return (
         reduce(DataFrame.unionByName, parts)
         .groupBy("table_name")
-        .agg(F.expr("count_if(side = 'src') as src_cnt"), F.expr("count_if(side = 'dst') as dst_cnt"))
+        .agg(F.expr("count_if(side = 'src') + sum(known) as src_cnt"), F.expr("count_if(side = 'dst') as dst_cnt"))
         .selectExpr("*", "src_cnt = dst_cnt as ok")
     )
 
@@ -60,7 +76,9 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def require(check: DataFrame, what: str) -> None:
-    """Raise with the violating lines of a check that carries an ``ok`` column."""
-    bad = [str(row.asDict()) for row in check.where("not ok").collect()]
-    if bad:
-        raise CheckFailed(f"{what}: " + "; ".join(bad))
+    """Raise with the count and the first lines that violate a check with an ``ok`` column."""
+    broken = check.where("not ok")
+    shown = broken.limit(SHOWN).collect()
+    if shown:
+        lines = "; ".join(str(row.asDict()) for row in shown)
+        raise CheckFailed(f"{what}: {lines}; {broken.count()} in all")

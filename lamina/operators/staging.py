@@ -1,14 +1,13 @@
 """Intermediate tables in the folder the cluster shares.
 
 A staged table cuts lineage and pins values that must not change when a lost task
-runs again. The folder is the session's ``spark.checkpoint.dir``.
+runs again. The folder is the one the session names for checkpoints: its
+``spark.checkpoint.dir``, or what ``SparkContext.setCheckpointDir`` was given.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,18 +15,11 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder named by the session; a local session without one gets its own."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master").startswith("local"):
+    """The shared folder that the session names; a session that names none is refused."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    return _local_folder()
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="lamina-")
+    return folder.rstrip("/")
 
 
 def staging_folder(spark: SparkSession) -> str:
@@ -48,9 +40,26 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_staging(spark: SparkSession) -> bool:
-    """Delete this application's staged tables once nothing reads them any more."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(staging_folder(spark))
+def delete(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of the shared store.
+
+    Spark's Python API has no call for it, so this asks the Hadoop file system that Spark's own
+    readers and writers use for the path.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return files.delete(folder, True)
+
+
+def release_inputs(df: DataFrame, label: str) -> None:
+    """Delete the staged tables with this label that ``df`` reads, once its rows are stored."""
+    spark = df.sparkSession
+    start = f"/lamina/{spark.sparkContext.applicationId}/{label}"
+    folders = {file.rpartition("/")[0] for file in df.inputFiles() if start in file}
+    for folder in folders:
+        delete(spark, folder)
+
+
+def release_staging(spark: SparkSession) -> bool:
+    """Delete this application's staged tables once nothing reads them any more."""
+    return delete(spark, staging_folder(spark))

@@ -114,7 +114,7 @@ SIGNALS = (
             **LOAD,
         },
         where=f"external_transfer_flag = 'Y' or (file_classification in {SENSITIVE} "
-        "and 'Y' in (download_flag, upload_flag))",
+        "and (download_flag = 'Y' or upload_flag = 'Y'))",
     ),
     Rule(
         "access_network_activity_raw",

@@ -6,16 +6,18 @@ checks pass, so readers see either the previous run or a complete new one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.operators.parallel import side_by_side
 from lamina.operators.quality import CheckFailed, not_empty, require, required_nulls, row_parity
+from lamina.operators.staging import release_inputs
 from lamina.plans import access, finance, hr, risk
 from lamina.plans.base import Run, Store, Warehouse
-from lamina.sources.files import export_raw, load_raw, read_table, write_table
+from lamina.sources.files import epoch_decoders, export_raw, load_raw, read_table, write_table
 from lamina.sources.schemas import SUBJECTS, raw_schema, raw_tables, required, table_schema
 
 _AREAS = {"hr": hr, "risk": risk, "access": access, "finance": finance}
@@ -67,16 +69,19 @@ def build_all(
     """Build, check and publish subject areas, in dependency order, as one run.
 
     ``layouts`` names, for tables that deserve one more shuffle, the column to lay them out by.
+    Every attempt writes a folder of its own, so a build that fails under the name of a published
+    run leaves that run as it is.
 
     Surrogate keys change between runs, so tables of one run only fit each other; subject
     areas that share dimensions belong in the same run.
     """
     chosen = [subject for subject in SUBJECTS if subject in set(subjects)]
-    folder = f"{root}/runs/{run_id}"
+    folder = f"runs/{run_id}/{uuid.uuid4().hex}"
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        path = f"{folder}/{_place(name)}"
+        path = f"{root}/{folder}/{_place(name)}"
         write_table(df, path, (layouts or {}).get(name))
+        release_inputs(df, "key-")
         return read_table(spark, path, table_schema(name))
 
     wh = warehouse(raw, run, store)
@@ -94,27 +99,34 @@ def build_all(
 
     side_by_side(build, [subject for subject in chosen if subject == "hr"])
     side_by_side(build, [subject for subject in chosen if subject != "hr"])
-    publish(spark, root, run_id)
+    publish(spark, root, run_id, folder)
     return wh
 
 
-def publish(spark: SparkSession, root: str, run_id: str) -> None:
+def publish(spark: SparkSession, root: str, run_id: str, folder: str) -> None:
     """Make a finished run the current one by appending it to the list of published runs."""
     line = spark.range(1).select(
-        F.lit(run_id).alias("run_id"), F.current_timestamp().alias("published_at")
+        F.lit(run_id).alias("run_id"),
+        F.lit(folder).alias("folder"),
+        F.current_timestamp().alias("published_at"),
     )
     line.coalesce(1).write.mode("append").parquet(f"{root}/published")
 
 
+def _last_published(spark: SparkSession, root: str) -> Row:
+    runs = spark.read.parquet(f"{root}/published")
+    last = F.max_by(F.struct("run_id", "folder"), "published_at")
+    return runs.agg(last.alias("last")).first()["last"]
+
+
 def current_run(spark: SparkSession, root: str) -> str:
     """The run published last."""
-    runs = spark.read.parquet(f"{root}/published")
-    return runs.agg(F.max_by("run_id", "published_at").alias("run_id")).first()["run_id"]
+    return _last_published(spark, root)["run_id"]
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A detail table or mart of the current run, named ``subject.table``."""
-    path = f"{root}/runs/{current_run(spark, root)}/{_place(name)}"
+    path = f"{root}/{_last_published(spark, root)['folder']}/{_place(name)}"
     return read_table(spark, path, table_schema(name))
 
 
@@ -135,18 +147,20 @@ def migrate(
 ) -> DataFrame:
     """Move raw tables between stores through Parquet files and verify their row counts.
 
-    ``decode`` gives, per table, functions for columns that arrive as epoch integers. Returns
+    Times and dates that arrive as epoch integers are decoded; ``decode`` replaces, per table,
+    the functions of ``epoch_decoders``. Source rows are counted while they are exported. Returns
     the parity table; a count that differs raises instead.
     """
+    exported: dict[str, Observation] = {}
 
     def move(table: str) -> DataFrame:
         files = f"{staging}/{table}"
-        export_raw(source[table], files)
-        return load_raw(
-            spark, files, f"{target}/{table}", raw_schema(table), (decode or {}).get(table)
-        )
+        exported[table] = Observation()
+        export_raw(source[table].observe(exported[table], F.count("*").alias("n")), files)
+        functions = {**epoch_decoders(table), **(decode or {}).get(table, {})}
+        return load_raw(spark, files, f"{target}/{table}", raw_schema(table), functions)
 
     moved = dict(zip(source, side_by_side(move, source), strict=True))
-    parity = row_parity(source, moved)
+    parity = row_parity({table: exported[table].get["n"] for table in source}, moved)
     require(parity, "row counts differ after migration")
     return parity

@@ -249,8 +249,12 @@ def control_report(
         ("employee_src_id", "employee_number", "tab_num", "full_name", "employment_status"),
         "position_name",
         same(
-            *("department_id", "department_src_id", "department_name"),
-            *("block_name", "function_name", "region_name"),
+            "department_id",
+            "department_src_id",
+            "department_name",
+            "block_name",
+            "function_name",
+            "region_name",
         ),
     )
     return with_flags(with_person(with_last_time(snapshot, signals, "signal_dttm"), profile), flags)
@@ -283,15 +287,32 @@ def _profile_report(wh: Warehouse) -> DataFrame:
     profile = people(
         wh,
         (
-            *("employee_src_id", "employee_number", "tab_num", "full_name", "birth_date", "gender_code"),
-            *("employment_status", "hire_date", "dismissal_date", "current_position_id"),
-            *("current_position_code", "grade_code", "manager_employee_src_id", "work_format"),
+            "employee_src_id",
+            "employee_number",
+            "tab_num",
+            "full_name",
+            "birth_date",
+            "gender_code",
+            "employment_status",
+            "hire_date",
+            "dismissal_date",
+            "current_position_id",
+            "current_position_code",
+            "grade_code",
+            "manager_employee_src_id",
+            "work_format",
             "location_name",
         ),
         "current_position_name",
         same(
-            *("department_id", "department_src_id", "department_name", "parent_department_id"),
-            *("block_name", "function_name", "region_name", "org_level"),
+            "department_id",
+            "department_src_id",
+            "department_name",
+            "parent_department_id",
+            "block_name",
+            "function_name",
+            "region_name",
+            "org_level",
         ),
     )
     flags = {

@@ -192,8 +192,15 @@ EVENT_TYPE = Lookup(
 
 def _departments(wh: Warehouse) -> DataFrame:
     columns = same(
-        *("department_src_id", "department_name", "parent_department_src_id", "block_name"),
-        *("function_name", "region_name", "org_level", "valid_from", "valid_to"),
+        "department_src_id",
+        "department_name",
+        "parent_department_src_id",
+        "block_name",
+        "function_name",
+        "region_name",
+        "org_level",
+        "valid_from",
+        "valid_to",
     )
     return versioned_dim(wh.raw("risk_org_structure_raw"), {**columns, **AUDIT}, end="valid_to")
 
@@ -291,12 +298,25 @@ def _operational_report(wh: Warehouse) -> DataFrame:
         wh,
         snapshot.na.fill(0, list(critical)),
         same(
-            *("employee_src_id", "employee_number", "tab_num", "full_name", "position_name"),
-            *("employment_status", "hire_date", "dismissal_date"),
+            "employee_src_id",
+            "employee_number",
+            "tab_num",
+            "full_name",
+            "position_name",
+            "employment_status",
+            "hire_date",
+            "dismissal_date",
         ),
         same(
-            *("department_id", "department_src_id", "department_name", "parent_department_id"),
-            *("parent_department_src_id", "block_name", "function_name", "region_name", "org_level"),
+            "department_id",
+            "department_src_id",
+            "department_name",
+            "parent_department_id",
+            "parent_department_src_id",
+            "block_name",
+            "function_name",
+            "region_name",
+            "org_level",
         ),
     )
     flags = {
@@ -310,7 +330,9 @@ def _operational_report(wh: Warehouse) -> DataFrame:
 def _risk_trend(wh: Warehouse) -> DataFrame:
     moved = trend(
         wh.rows("risk.fct_employee_risk_snapshot"),
-        *("employee_id", "report_date", "risk_score_value"),
+        "employee_id",
+        "report_date",
+        "risk_score_value",
         previous="prev_risk_score_value",
         delta="risk_score_delta",
     )

@@ -41,12 +41,10 @@ def build_session(
     if master is not None:
         builder = (
             builder.master(master)
-            .config("spark.driver.memory", "16g")
+            .config("spark.driver.memory", "8g")
             .config("spark.ui.enabled", "false")
             .config("spark.ui.showConsoleProgress", "false")
         )
     for key, value in {**settings(shuffle_partitions), **(extra or {})}.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return builder.getOrCreate()

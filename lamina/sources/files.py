@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.sources.schemas import conform
+from lamina.functions import decode_epoch_date, decode_epoch_range, decode_epoch_ts
+from lamina.sources.schemas import conform, raw_schema
 
 # The text formats of the raw CSV files.
 DATE_FORMAT = "yyyy-MM-dd"
@@ -110,7 +111,19 @@ def export_raw(df: DataFrame, path: str) -> None:
 
 
 class SchemaMismatch(ValueError):
-    """Files hold other columns than the target table."""
+    """Files hold other columns or types than the target table."""
+
+
+# Subjects whose times arrive as seconds or milliseconds, told apart by their size; the others
+# tell seconds, milli-, micro- and nanoseconds apart by their digits.
+BY_RANGE = ("hr", "finance")
+
+
+def epoch_decoders(table: str) -> dict[str, Callable[[str], Column]]:
+    """For each time and date column of a raw table, the decoder of its epoch integers."""
+    times = decode_epoch_range if table.split("_")[0] in BY_RANGE else decode_epoch_ts
+    kinds = {T.TimestampNTZType(): times, T.DateType(): decode_epoch_date}
+    return {f.name: kinds[f.dataType] for f in raw_schema(table) if f.dataType in kinds}
 
 
 def load_raw(
@@ -122,14 +135,23 @@ def load_raw(
 ) -> DataFrame:
     """Replace the target table by the Parquet files at ``source``; returns the target.
 
-    Unknown and missing columns are refused. ``decode`` maps a column to a function over it
-    that runs before the cast, e.g. ``decode_epoch_ts`` for times that arrive as integers.
+    Unknown and missing columns are refused, and so are columns of another type, but for integers
+    that ``decode`` has a function for: e.g. ``decode_epoch_ts`` for times that arrive so.
     """
     files = spark.read.parquet(source)
     odd = set(files.columns) ^ set(schema.fieldNames())
     if odd:
         raise SchemaMismatch(f"{source}: columns on one side only: {sorted(odd)}")
-    for column, function in (decode or {}).items():
-        files = files.withColumn(column, function(column))
+    wanted = {f.name: f.dataType for f in schema}
+    differ = {f.name: f.dataType for f in files.schema if f.dataType != wanted[f.name]}
+    decoded = {
+        c: function(c)
+        for c, function in (decode or {}).items()
+        if isinstance(differ.get(c), T.LongType | T.IntegerType)
+    }
+    refused = [f"{c} is {t.simpleString()}" for c, t in sorted(differ.items()) if c not in decoded]
+    if refused:
+        raise SchemaMismatch(f"{source}: other types than the table's: {', '.join(refused)}")
+    files = files.withColumns(decoded) if decoded else files
     write_table(conform(files, schema), target)
     return read_table(spark, target, schema)

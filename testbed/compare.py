@@ -11,8 +11,20 @@ import duckdb
 from pyspark.sql import DataFrame
 
 ORACLE_TABLES = (
-    *("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"),
-    *("documents", "embeddings", "pages", "benchmark", "labels", "conversations"),
+    "region",
+    "nation",
+    "customer",
+    "supplier",
+    "part",
+    "orders",
+    "lineitem",
+    "events",
+    "documents",
+    "embeddings",
+    "pages",
+    "benchmark",
+    "labels",
+    "conversations",
 )
 
 

@@ -393,7 +393,7 @@ CTES: dict[str, str] = {
             'AUTH' as signal_group, ip_address as signal_value_text, login_dttm as signal_dttm,
             login_result as signal_status, load_dttm, batch_id
         from access_login_events_raw
-        where unusual_geo_flag = 'Y' or (login_result is not null and login_result not in ('SUCCESS'))
+        where unusual_geo_flag = 'Y' or login_result <> 'SUCCESS'
         union all by name
         select employee_src_id, system_code, 'file_operation' as signal_source_type,
             src_file_event_id as source_event_id,
@@ -404,7 +404,7 @@ CTES: dict[str, str] = {
             'DATA_ACCESS' as signal_group, object_path as signal_value_text,
             operation_dttm as signal_dttm, 'ACTIVE' as signal_status, load_dttm, batch_id
         from access_file_operations_raw
-        where external_transfer_flag = 'Y' or (ends_with(file_classification, 'CONFIDENTIAL')
+        where external_transfer_flag = 'Y' or (file_classification in ('CONFIDENTIAL', 'STRICTLY_CONFIDENTIAL')
             and (download_flag = 'Y' or upload_flag = 'Y'))
         union all by name
         select employee_src_id, system_code, 'network_activity' as signal_source_type,
@@ -431,7 +431,7 @@ CTES: dict[str, str] = {
     """,
     "login_counts": """
         select employee_id,
-            count_if(login_result is not null and login_result not in ('SUCCESS'))::bigint
+            count_if(login_result <> 'SUCCESS')::bigint
                 as failed_login_cnt,
             count_if(unusual_geo_flag)::bigint as unusual_geo_login_cnt
         from fct_login_event group by employee_id
@@ -463,7 +463,7 @@ CTES: dict[str, str] = {
     """,
     "snapshot_access": """
         with scored as (
-            select *, 2 * (privileged_account_cnt + external_transfer_cnt)
+            select *, 2.0 * privileged_account_cnt + 2.0 * external_transfer_cnt
                 + 2.5 * privileged_access_cnt + 0.2 * failed_login_cnt
                 + 1.5 * unusual_geo_login_cnt + 1.2 * blocked_network_cnt as points
             from access_points
@@ -490,7 +490,7 @@ CTES: dict[str, str] = {
             g.* exclude (employee_access_signal_id, employee_id, system_id, load_dttm, batch_id)
         from signals_access g left join hr_people e using (employee_id)
         left join snapshot_access s using (employee_id)
-        where signal_source_type <> 'login_event'
+        where signal_source_type in ('privileged_access', 'file_operation', 'network_activity')
     """,
     # ---- finance
     "dim_cost_center": """
@@ -615,7 +615,7 @@ CTES: dict[str, str] = {
         with scored as (
             select *, 2.2 * suspicious_card_txn_cnt + 1.8 * overdue_advance_report_cnt
                 + 1.3 * manual_payroll_adj_cnt + 1.5 * urgent_vendor_payment_cnt
-                + rejected_advance_amount_rub * 0.00002
+                + cast(rejected_advance_amount_rub * 100 as bigint) / 50000 / 100
                 + ((suspicious_card_amount_rub * 100)::hugeint * 1000000000000 // 7000000)
                     ::decimal(26,0) * 0.000000000001 as points
             from finance_points
@@ -653,8 +653,12 @@ _SIGNAL_PERSON = """e.employee_src_id, e.full_name, e.position_name, e.departmen
 _FACTOR_COLUMNS = ", ".join(
     f"ifnull(sum(if(risk_factor_code = '{code}', factor_value_num, 0)), 0)::bigint as {code.lower()}"
     for code in (
-        *("OPEN_EVENT_CNT", "CRITICAL_EVENT_CNT", "IB_EVENT_CNT"),
-        *("SECURITY_EVENT_CNT", "COMPLIANCE_EVENT_CNT", "NONWORK_SIGNAL_CNT"),
+        "OPEN_EVENT_CNT",
+        "CRITICAL_EVENT_CNT",
+        "IB_EVENT_CNT",
+        "SECURITY_EVENT_CNT",
+        "COMPLIANCE_EVENT_CNT",
+        "NONWORK_SIGNAL_CNT",
     )
 )
 
@@ -821,6 +825,16 @@ _OTHER = {
             l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey
         from lineitem
     """,
+    "surrogate_key_many_slices": """
+        select key(l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey) as line_id,
+            l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey
+        from lineitem
+    """,
+    "surrogate_key_cast": """
+        select key(l_orderkey::varchar, l_linenumber::varchar, l_partkey::varchar, l_suppkey::varchar)
+            as line_id, l_orderkey, l_linenumber, l_partkey, l_suppkey
+        from lineitem
+    """,
     "schema_conform": """
         select * replace (overdue_days::varchar as overdue_days) from finance_advance_report_raw
     """,
@@ -851,6 +865,26 @@ _OTHER = {
         from hr_dismissal_signals_raw
     """,
     "migration_parity": _row_counts("finance_"),
+    "migration_parity_hr": _row_counts("hr_"),
+    "migration_parity_risk": _row_counts("risk_"),
+    "migration_parity_access": _row_counts("access_"),
+    "migration_parity_finance": _row_counts("finance_"),
+    "migrated_hr": "select * from hr_absence_events_raw",
+    "migrated_risk": "select * from risk_security_incidents_raw",
+    "migrated_access": "select * from access_file_operations_raw",
+    "migrated_finance": "select * from finance_employee_expense_raw",
+    "published_mart_risk": "select * from mart_risk",
+    "published_mart_access": "select * from mart_access",
+    "published_mart_finance": "select * from mart_finance",
+    "sql_decode_epoch_ts": _BY_WAY_OF_EVENTS["decode_epoch_digits"],
+    "sql_decode_epoch_date": _BY_WAY_OF_EVENTS["decode_epoch_date"],
+    "sql_decode_epoch_range": _BY_WAY_OF_EVENTS["decode_epoch_range"],
+    "dq_row_parity_lost": """
+        select table_name, src_cnt, if(table_name = 'risk_ib_incidents_raw', 0, dst_cnt) as dst_cnt,
+            if(table_name = 'risk_ib_incidents_raw', src_cnt = 0, ok) as ok
+        from (%s)
+    """
+    % _row_counts("risk_"),
     "published_mart_hr": "select * from mart_hr",
     "sink_full_refresh": "select * from fct_position_history",
     "dq_row_parity": _row_counts(""),
@@ -864,9 +898,16 @@ _OTHER = {
     "dq_required": _column_counts(
         "finance_vendor_payment_raw",
         (
-            *("src_vendor_payment_id", "vendor_src_id", "vendor_name", "payment_date"),
-            *("payment_amount_rub", "source_system", "load_dttm", "batch_id"),
-            *("employee_src_id", "urgent_flag"),
+            "src_vendor_payment_id",
+            "vendor_src_id",
+            "vendor_name",
+            "payment_date",
+            "payment_amount_rub",
+            "source_system",
+            "load_dttm",
+            "batch_id",
+            "employee_src_id",
+            "urgent_flag",
         ),
     ),
     "dq_unique_key": """

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lamina.functions import (
     band,
@@ -14,6 +15,7 @@ from lamina.functions import (
     decode_epoch_ts,
     hours_between,
     is_yes,
+    register_functions,
     whole_second_hours,
 )
 from lamina.operators.dimensions import catalog_dim
@@ -23,7 +25,7 @@ from lamina.operators.quality import duplicate_keys, not_empty, required_nulls,
 from lamina.operators.staging import new_path
 from lamina.plans.access import ACCESS, LOGIN_METRICS
 from lamina.plans.base import Warehouse
-from lamina.plans.build import build_all, migrate, read_published, warehouse
+from lamina.plans.build import build_all, migrate, read_published, stored_raw, warehouse
 from lamina.plans.finance import FINANCE
 from lamina.plans.hr import INSTABILITY, LOAD
 from lamina.plans.risk import EVENT_SOURCES, RISK
@@ -191,6 +193,19 @@ def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dense_key(lines, "line_id", names, keep=names)
 
 
+def surrogate_key_many_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = tag_rows(_read(spark, sf_dir, "lineitem"))
+    names = ["l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return dense_key(lines, "line_id", names, keep=names, slices=32)
+
+
+def surrogate_key_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = tag_rows(_read(spark, sf_dir, "lineitem"))
+    names = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    order = [f"cast({name} as string)" for name in names]
+    return dense_key(lines, "line_id", order, keep=names)
+
+
 def login_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     logins = open_warehouse(spark, sf_dir).rows("access.fct_employee_login_event")
     return logins.groupBy("employee_id").agg(
@@ -266,6 +281,57 @@ def src_parquet_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_raw(spark, path, new_path(spark, "loaded"), raw_schema(table), decode)
 
 
+def _as_epochs(df: DataFrame, unit: str) -> DataFrame:
+    """Times as integers of ``unit`` since the epoch and dates as day numbers."""
+    epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+    numbers = {}
+    for field in df.schema:
+        if isinstance(field.dataType, T.TimestampNTZType):
+            numbers[field.name] = F.timestamp_diff(unit, epoch, F.col(field.name))
+        elif isinstance(field.dataType, T.DateType):
+            numbers[field.name] = F.unix_date(field.name)
+    return df.withColumns(numbers)
+
+
+# Unit in which the times of a subject leave, and one of its tables whose values are compared.
+MIGRATED = {
+    "hr": ("MILLISECOND", "hr_absence_events_raw"),
+    "risk": ("MICROSECOND", "risk_security_incidents_raw"),
+    "access": ("MICROSECOND", "access_file_operations_raw"),
+    "finance": ("MILLISECOND", "finance_employee_expense_raw"),
+}
+
+
+def _parity(subject: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        unit = MIGRATED[subject][0]
+        tables = raw_tables(subject)
+        source = {t: _as_epochs(stored_raw_table(spark, sf_dir, t), unit) for t in tables}
+        return migrate(spark, source, new_path(spark, "exported"), new_path(spark, "migrated"))
+
+    return run
+
+
+def _migrated(subject: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        unit, table = MIGRATED[subject]
+        source = {table: _as_epochs(stored_raw_table(spark, sf_dir, table), unit)}
+        target = new_path(spark, "migrated")
+        migrate(spark, source, new_path(spark, "exported"), target)
+        return stored_raw(spark, target)(table)
+
+    return run
+
+
+def _decoded_in_sql(function: str, column: str, values: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        register_functions(spark)
+        given = values(spark, sf_dir).select("event_id", column)
+        return spark.sql(f"select *, {function}({column}) as decoded from {{given}}", given=given)
+
+    return run
+
+
 def src_parquet_epoch_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = "hr_dismissal_signals_raw"
     path = new_path(spark, "parquet")
@@ -282,6 +348,23 @@ def migration_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return migrate(spark, source, new_path(spark, "exported"), new_path(spark, "migrated"))
 
 
+_PUBLISHED: dict[tuple[str, str], str] = {}
+
+
+def _published(name: str) -> Query:
+    """A mart of one full build, which all these queries of an application share."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        slot = (spark.sparkContext.applicationId, sf_dir)
+        if slot not in _PUBLISHED:
+            root = new_path(spark, "warehouse")
+            build_all(spark, lambda t: stored_raw_table(spark, sf_dir, t), root, "all")
+            _PUBLISHED[slot] = root
+        return read_published(spark, _PUBLISHED[slot], name)
+
+    return run
+
+
 def published_mart_hr(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_path(spark, "warehouse")
     build_all(spark, lambda t: stored_raw_table(spark, sf_dir, t), root, "run", subjects=["hr"])
@@ -305,6 +388,12 @@ def dq_row_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_parity(source, {table: stored_raw_table(spark, sf_dir, table) for table in RAW})
 
 
+def dq_row_parity_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = {table: stored_raw_table(spark, sf_dir, table) for table in raw_tables("risk")}
+    lost = {table: df.where("load_dttm is null") for table, df in source.items()}
+    return row_parity(source, {**source, "risk_ib_incidents_raw": lost["risk_ib_incidents_raw"]})
+
+
 def dq_not_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {table: stored_raw_table(spark, sf_dir, table) for table in raw_tables("access")}
     untyped = tables["access_login_events_raw"].where("auth_method is null")
@@ -356,7 +445,14 @@ QUERIES: dict[str, Query] = {
     "decode_epoch_date": decode_epoch_dates,
     "decode_epoch_range": decode_epoch_ranges,
     "score_bands": score_bands,
+    "sql_decode_epoch_ts": _decoded_in_sql("decode_epoch_ts", "epoch_text", decode_epoch_digits),
+    "sql_decode_epoch_date": _decoded_in_sql("decode_epoch_date", "epoch_text", decode_epoch_dates),
+    "sql_decode_epoch_range": _decoded_in_sql(
+        "decode_epoch_range", "epoch_number", decode_epoch_ranges
+    ),
     "surrogate_key": surrogate_key,
+    "surrogate_key_many_slices": surrogate_key_many_slices,
+    "surrogate_key_cast": surrogate_key_cast,
     "login_counts": login_counts,
     "schema_conform": schema_conform,
     "src_csv_roundtrip": src_csv_roundtrip,
@@ -365,9 +461,15 @@ QUERIES: dict[str, Query] = {
     "src_parquet_epochs": src_parquet_epochs,
     "src_parquet_epoch_range": src_parquet_epoch_range,
     "migration_parity": migration_parity,
+    **{f"migration_parity_{subject}": _parity(subject) for subject in MIGRATED},
+    **{f"migrated_{subject}": _migrated(subject) for subject in MIGRATED},
     "published_mart_hr": published_mart_hr,
+    "published_mart_risk": _published("risk.employee_operational_risk_report"),
+    "published_mart_access": _published("access.employee_access_control_report"),
+    "published_mart_finance": _published("finance.employee_finance_control_report"),
     "sink_full_refresh": sink_full_refresh,
     "dq_row_parity": dq_row_parity,
+    "dq_row_parity_lost": dq_row_parity_lost,
     "dq_not_empty": dq_not_empty,
     "dq_required": dq_required,
     "dq_unique_key": dq_unique_key,

@@ -26,7 +26,8 @@ select 'DEPT-'||cast(n_nationkey as string)||'-'||cast(v as string) as src_depar
  case when v = 1 then n_name else n_name||' (arch)' end as department_name, case when n_nationkey >= 5 then 'D'||lpad(cast(n_regionkey as string),4,'0') end as parent_department_src_id,
  r_name as block_name, 'F'||cast(n_nationkey % 4 as string) as function_name, r_name as region_name, case when n_nationkey < 5 then 1 else 2 end as org_level,
  cast(null as string) as manager_src_id, case when v = 1 then date '2024-01-01' else date '2023-01-01' end as effective_from, case when v = 1 then null else date '2023-12-31' end as effective_to
-from nation join region on n_regionkey = r_regionkey cross join (values (1),(2),(3)) as x(v) where v = 1 or (v = 2 and n_nationkey % 4 = 0) or (v = 3 and n_nationkey % 8 = 0)
+from (select *, 1 as v from nation union all select *, 2 as v from nation where n_nationkey % 4 = 0 union all select *, 3 as v from nation where n_nationkey % 8 = 0) n
+ join region on n_regionkey = r_regionkey
 
 -- hr_absence_events_raw
 select 'ABS-'||cast(l_orderkey as string)||'-'||cast(l_linenumber as string)||'-'||cast(l_partkey as string)||'-'||cast(l_suppkey as string) as src_absence_event_id,
@@ -34,44 +35,44 @@ select 'ABS-'||cast(l_orderkey as string)||'-'||cast(l_linenumber as string)||'-
  'Type '||cast(l_linenumber as string) as absence_type_name, 'G'||cast(l_linenumber % 3 as string) as absence_reason_group, cast(l_shipdate as date) as start_date,
  cast(l_shipdate as date) + cast(l_quantity as int) as end_date, case when l_partkey % 13 = 0 then null else cast(l_quantity as int) end as duration_days,
  case when l_linestatus = 'F' then 'Y' when l_partkey % 7 = 0 then null else 'N' end as approved_flag
-from lineitem join orders on l_orderkey = o_orderkey where l_returnflag = 'R' and l_partkey % 20 = 0
+from lineitem join orders on l_orderkey = o_orderkey where l_returnflag = 'R'
 
 -- hr_overtime_events_raw
-select 'OT-'||lpad(cast(event_id as string),8,'0') as src_overtime_event_id, 'E'||lpad(cast(event_id % 1500 as string),7,'0') as employee_src_id, cast(ts as date) as overtime_date,
+select 'OT-'||lpad(cast(event_id as string),8,'0') as src_overtime_event_id, 'E'||lpad(cast(event_id % (select count(*) from customer) as string),7,'0') as employee_src_id, cast(ts as date) as overtime_date,
  cast(value as decimal(10,2)) as overtime_hours, 'R'||cast(event_id % 4 as string) as overtime_reason_code, 'Reason '||cast(event_id % 4 as string) as overtime_reason_name,
  case when event_id % 11 = 0 then null when event_id % 7 = 0 then 'N' else 'Y' end as approved_flag
 from events where event_type = 'click'
 
 -- hr_dismissal_signals_raw
-select 'DS-'||lpad(cast(event_id as string),8,'0') as src_signal_id, case when event_id % 53 = 0 then 'E9999999' else 'E'||lpad(cast(event_id % 1500 as string),7,'0') end as employee_src_id,
+select 'DS-'||lpad(cast(event_id as string),8,'0') as src_signal_id, case when event_id % 53 = 0 then 'E9999999' else 'E'||lpad(cast(event_id % (select count(*) from customer) as string),7,'0') end as employee_src_id,
  'SIG_'||cast(event_id % 5 as string) as signal_code, 'Signal '||cast(event_id % 5 as string) as signal_name, 'G'||cast(event_id % 3 as string) as signal_group,
  cast(value as decimal(18,4)) as signal_value_num, props as signal_value_text, ts as detected_at,
  case when event_id % 17 = 0 then null when event_id % 5 = 3 then 'CLOSED' when event_id % 5 = 4 then 'PENDING' else 'ACTIVE' end as signal_status
 from events where event_type = 'error'
 
 -- risk_ib_incidents_raw
-select 'IB-'||lpad(cast(event_id as string),8,'0') as src_incident_id, case when event_id % 53 = 0 then 'E9999999' else 'E'||lpad(cast(event_id % 1500 as string),7,'0') end as employee_src_id,
+select 'IB-'||lpad(cast(event_id as string),8,'0') as src_incident_id, case when event_id % 53 = 0 then 'E9999999' else 'E'||lpad(cast(event_id % (select count(*) from customer) as string),7,'0') end as employee_src_id,
  'IB_'||cast(event_id % 5 as string) as incident_code, 'Incident '||cast(event_id % 5 as string) as incident_name,
  case event_id % 5 when 0 then 'CRITICAL' when 1 then 'HIGH' when 2 then 'MEDIUM' when 3 then 'LOW' end as severity_level, case when event_id % 7 = 0 then 'OPEN' else 'CLOSED' end as incident_status,
  ts as detected_at, case when event_id % 7 = 0 then null else ts + interval '36' hour end as closed_at, 'CH'||cast(event_id % 4 as string) as channel_name
 from events where event_type = 'error'
 
 -- risk_security_incidents_raw
-select 'SEC-'||lpad(cast(event_id as string),8,'0') as src_case_id, 'E'||lpad(cast(event_id % 1500 as string),7,'0') as employee_src_id, 'SEC_'||cast(event_id % 4 as string) as case_type_code,
+select 'SEC-'||lpad(cast(event_id as string),8,'0') as src_case_id, 'E'||lpad(cast(event_id % (select count(*) from customer) as string),7,'0') as employee_src_id, 'SEC_'||cast(event_id % 4 as string) as case_type_code,
  'Case '||cast(event_id % 4 as string) as case_type_name, case when event_id % 19 = 0 then null when event_id % 3 = 0 then 'N' else 'Y' end as risk_flag,
  case when event_id % 4 = 0 then 'OPEN' else 'CLOSED' end as case_status, ts as registered_at, case when event_id % 4 = 0 then null else ts + interval '48' hour end as resolved_at,
  case when event_id % 4 = 0 then null when event_id % 3 = 0 then 'REJECTED' else 'CONFIRMED' end as resolution_code, case when event_id % 4 = 0 then null else 'Resolution' end as resolution_name
 from events where event_type = 'view'
 
 -- risk_compliance_incidents_raw
-select 'CMP-'||lpad(cast(event_id as string),8,'0') as src_violation_id, 'E'||lpad(cast(event_id % 1500 as string),7,'0') as employee_src_id, 'CMP_'||cast(event_id % 4 as string) as violation_code,
+select 'CMP-'||lpad(cast(event_id as string),8,'0') as src_violation_id, 'E'||lpad(cast(event_id % (select count(*) from customer) as string),7,'0') as employee_src_id, 'CMP_'||cast(event_id % 4 as string) as violation_code,
  'Violation '||cast(event_id % 4 as string) as violation_name, 'AREA'||cast(event_id % 4 as string) as control_area,
  case event_id % 4 when 0 then 'CRITICAL' when 1 then 'MEDIUM' when 2 then 'LOW' else 'HIGH' end as materiality_level, case when event_id % 10 < 3 then 'OPEN' else 'CLOSED' end as violation_status,
  ts as detected_at, case when event_id % 10 < 3 then null else ts + interval '72' hour end as decision_at, case when event_id % 10 < 3 then null else 'Decision '||cast(event_id % 3 as string) end as decision_text
 from events where event_type = 'purchase'
 
 -- risk_nonwork_activity_raw
-select 'NWA-'||lpad(cast(event_id as string),8,'0') as src_activity_id, 'E'||lpad(cast(event_id % 1500 as string),7,'0') as employee_src_id, 'NW_'||cast(event_id % 4 as string) as activity_type_code,
+select 'NWA-'||lpad(cast(event_id as string),8,'0') as src_activity_id, 'E'||lpad(cast(event_id % (select count(*) from customer) as string),7,'0') as employee_src_id, 'NW_'||cast(event_id % 4 as string) as activity_type_code,
  'Activity '||cast(event_id % 4 as string) as activity_type_name, 'G'||cast(event_id % 4 as string) as activity_group, case when event_id % 4 = 0 then 'CLOSED' else 'ACTIVE' end as activity_status,
  ts as detected_at, cast(ts as date) as valid_from, case when event_id % 4 = 0 then cast(ts as date) + 30 end as valid_to, props as comment_text
 from events where event_type = 'signup'
@@ -89,21 +90,21 @@ select 'D'||lpad(cast(n_nationkey as string),4,'0') as department_src_id, case w
  case when n_nationkey >= 5 then 'D'||lpad(cast(n_regionkey + 1 as string),4,'0') end as parent_department_src_id, r_name as block_name, 'F'||cast(n_nationkey % 4 as string) as function_name,
  r_name as region_name, case when n_nationkey < 5 then 1 else 2 end as org_level, case when v = 1 then date '2024-01-01' else date '2023-01-01' end as valid_from,
  case when v = 1 then null else date '2023-12-31' end as valid_to, date '2024-12-31' as snapshot_date
-from nation join region on n_regionkey = r_regionkey cross join (values (1),(2)) as x(v) where v = 1 or n_nationkey % 4 = 0
+from (select *, 1 as v from nation union all select *, 2 as v from nation where n_nationkey % 4 = 0) n join region on n_regionkey = r_regionkey
 
 -- access_system_accounts_raw
 select 'ACC-'||lpad(cast(o_orderkey as string),9,'0') as src_account_id, 'E'||lpad(cast(o_custkey as string),7,'0') as employee_src_id, 'S'||substr(o_orderpriority,1,1) as system_code,
  'System '||substr(o_orderpriority,1,1) as system_name, 'login_'||cast(o_orderkey as string) as account_login, 'T'||substr(o_orderpriority,1,1) as account_type_code, o_orderpriority as account_type_name,
  case o_orderstatus when 'F' then 'Y' when 'O' then 'N' end as privileged_flag, case when o_orderkey % 10 = 0 then 'Y' else 'N' end as admin_flag,
  case when o_orderkey % 25 = 0 then 'DISABLED' else 'ACTIVE' end as account_status, o_orderdate as created_at, case when o_orderkey % 25 = 0 then o_orderdate + interval '240' hour end as disabled_at
-from orders where o_orderkey % 3 = 0
+from orders
 
 -- access_role_assignments_raw
 select 'ROLE-'||cast(l_orderkey as string)||'-'||cast(l_linenumber as string)||'-'||cast(l_partkey as string)||'-'||cast(l_suppkey as string) as src_role_assignment_id,
  'E'||lpad(cast(o_custkey as string),7,'0') as employee_src_id, 'ACC-'||lpad(cast(l_orderkey as string),9,'0') as src_account_id, 'S'||substr(o_orderpriority,1,1) as system_code,
  'R_'||l_returnflag||l_linestatus as role_code, 'Role '||l_returnflag||l_linestatus as role_name, case l_returnflag when 'A' then 'PRIVILEGED' when 'N' then 'BASE' end as role_group,
  l_shipdate as assigned_at, case when l_partkey % 12 = 0 then l_shipdate + interval '720' hour end as revoked_at, case when l_partkey % 12 = 0 then 'REVOKED' else 'ACTIVE' end as assignment_status
-from lineitem join orders on l_orderkey = o_orderkey where l_orderkey % 3 = 0
+from lineitem join orders on l_orderkey = o_orderkey
 
 -- access_privileged_access_raw
 select 'PRIV-'||cast(l_orderkey as string)||'-'||cast(l_linenumber as string)||'-'||cast(l_partkey as string)||'-'||cast(l_suppkey as string) as src_priv_event_id,
@@ -111,18 +112,18 @@ select 'PRIV-'||cast(l_orderkey as string)||'-'||cast(l_linenumber as string)||'
  'PA_'||cast(l_linenumber % 3 as string) as access_type_code, 'Access '||cast(l_linenumber % 3 as string) as access_type_name, 'REQ-'||cast(l_partkey as string) as request_id,
  case when l_partkey % 8 = 0 then 'N' else 'Y' end as approved_flag, l_shipdate as start_dttm,
  case l_linenumber % 3 when 0 then null when 1 then l_shipdate + interval '90' minute else l_shipdate + interval '500' second end as end_dttm, case when l_partkey % 5 = 0 then 'ACTIVE' else 'CLOSED' end as access_status
-from lineitem join orders on l_orderkey = o_orderkey where l_orderkey % 30 = 0
+from lineitem join orders on l_orderkey = o_orderkey
 
 -- access_login_events_raw
-select 'LOGIN-'||lpad(cast(event_id as string),8,'0') as src_login_event_id, case when event_id % 53 = 0 then 'E9999999' else 'E'||lpad(cast(event_id % 1500 as string),7,'0') end as employee_src_id,
- 'ACC-'||lpad(cast(k as string),9,'0') as src_account_id, 'S'||cast(event_id % 6 + 1 as string) as system_code, ts as login_dttm,
+select 'LOGIN-'||lpad(cast(event_id as string),8,'0') as src_login_event_id, case when event_id % 53 = 0 then 'E9999999' else 'E'||lpad(cast(o_custkey as string),7,'0') end as employee_src_id,
+ 'ACC-'||lpad(cast(o_orderkey as string),9,'0') as src_account_id, 'S'||cast(event_id % 6 + 1 as string) as system_code, ts as login_dttm,
  case when event_id % 37 = 0 then null when event_id % 12 = 0 then 'FAILED' else 'SUCCESS' end as login_result, 'SSO' as auth_method, '10.0.0.'||cast(event_id % 250 as string) as ip_address,
  'DEV-'||cast(event_id % 100 as string) as device_id, 'C'||cast(event_id % 6 as string) as country_name, 'City'||cast(event_id % 6 as string) as city_name,
  case when event_id % 41 = 0 then null when event_id % 9 = 0 then 'Y' else 'N' end as unusual_geo_flag
-from events left join (select o_custkey, min(o_orderkey) as k from orders where o_orderkey % 3 = 0 group by o_custkey) a on event_id % 1500 = o_custkey where event_type in ('click','error')
+from (select *, event_id % (select count(*) from orders) as account from events where event_type in ('click','error')) e left join orders on account = o_orderkey
 
 -- access_file_operations_raw
-select 'FILE-'||lpad(cast(event_id as string),8,'0') as src_file_event_id, 'E'||lpad(cast(event_id % 1500 as string),7,'0') as employee_src_id, cast(null as string) as src_account_id,
+select 'FILE-'||lpad(cast(event_id as string),8,'0') as src_file_event_id, 'E'||lpad(cast(event_id % (select count(*) from customer) as string),7,'0') as employee_src_id, cast(null as string) as src_account_id,
  'S'||cast(event_id % 5 + 1 as string) as system_code, case event_id % 3 when 0 then 'READ' when 1 then 'DOWNLOAD' else 'UPLOAD' end as operation_type_code, 'Op '||cast(event_id % 3 as string) as operation_type_name,
  case event_id % 5 when 0 then 'PUBLIC' when 1 then 'INTERNAL' when 2 then 'CONFIDENTIAL' when 3 then 'STRICTLY_CONFIDENTIAL' end as file_classification, ts as operation_dttm,
  '/data/'||cast(event_id as string)||'.dat' as object_path, case when event_id % 3 = 1 then 'Y' else 'N' end as download_flag, case when event_id % 3 = 2 then 'Y' else 'N' end as upload_flag,
@@ -130,7 +131,7 @@ select 'FILE-'||lpad(cast(event_id as string),8,'0') as src_file_event_id, 'E'||
 from events where event_type = 'view'
 
 -- access_network_activity_raw
-select 'NET-'||lpad(cast(event_id as string),8,'0') as src_network_event_id, 'E'||lpad(cast(event_id % 1500 as string),7,'0') as employee_src_id, cast(null as string) as src_account_id,
+select 'NET-'||lpad(cast(event_id as string),8,'0') as src_network_event_id, 'E'||lpad(cast(event_id % (select count(*) from customer) as string),7,'0') as employee_src_id, cast(null as string) as src_account_id,
  case when event_id % 8 = 0 then null else 'S'||cast(event_id % 5 + 1 as string) end as system_code, ts as event_dttm, case when event_id % 3 = 0 then 'INTERNAL' else 'EXTERNAL' end as destination_type,
  'host'||cast(event_id % 6 as string) as destination_name, cast(value as decimal(18,4)) as traffic_mb, cast(event_id % 20 as int) as connection_count,
  case when event_id % 29 = 0 then null when event_id % 16 = 0 then 'Y' else 'N' end as blocked_flag, case when event_id % 7 = 0 then null when event_id % 9 = 0 then 'N' else 'Y' end as vpn_used_flag
@@ -145,7 +146,7 @@ select 'EXP-'||cast(l_orderkey as string)||'-'||cast(l_linenumber as string)||'-
 from lineitem join orders on l_orderkey = o_orderkey where l_returnflag = 'A'
 
 -- finance_corporate_card_txn_raw
-select 'CARD-'||lpad(cast(event_id as string),8,'0') as src_card_txn_id, case when event_id % 53 = 0 then 'E9999999' else 'E'||lpad(cast(event_id % 1500 as string),7,'0') end as employee_src_id, ts as transaction_dttm,
+select 'CARD-'||lpad(cast(event_id as string),8,'0') as src_card_txn_id, case when event_id % 53 = 0 then 'E9999999' else 'E'||lpad(cast(event_id % (select count(*) from customer) as string),7,'0') end as employee_src_id, ts as transaction_dttm,
  'Merchant '||cast(event_id % 8 as string) as merchant_name, '45'||cast(event_id % 90 as string) as mcc_code, 'CAT'||cast(event_id % 6 as string) as transaction_category,
  cast(cast(value as decimal(18,2)) * 100 as decimal(18,2)) as amount_rub, 'RUB' as currency_code, 'C'||cast(event_id % 6 as string) as country_name, 'City'||cast(event_id % 6 as string) as city_name,
  case when event_id % 2 = 0 then 'Y' else 'N' end as card_present_flag, case when event_id % 33 = 0 then 'Y' else 'N' end as reversal_flag, case when event_id % 31 = 0 then null when event_id % 6 = 0 then 'Y' else 'N' end as suspicious_flag
@@ -160,7 +161,7 @@ select 'ADV-'||lpad(cast(o_orderkey as string),9,'0') as src_advance_report_id,
 from orders
 
 -- finance_payroll_adjustment_raw
-select 'PAY-'||lpad(cast(event_id as string),8,'0') as src_payroll_adj_id, 'E'||lpad(cast(event_id % 1500 as string),7,'0') as employee_src_id, cast(ts as date) as payroll_month, 'ADJ_'||cast(event_id % 4 as string) as adjustment_type_code,
+select 'PAY-'||lpad(cast(event_id as string),8,'0') as src_payroll_adj_id, 'E'||lpad(cast(event_id % (select count(*) from customer) as string),7,'0') as employee_src_id, cast(ts as date) as payroll_month, 'ADJ_'||cast(event_id % 4 as string) as adjustment_type_code,
  'Adjustment '||cast(event_id % 4 as string) as adjustment_type_name, 'G'||cast(event_id % 4 as string) as adjustment_reason_group, cast(cast(value as decimal(18,2)) - 50.00 as decimal(18,2)) as amount_rub,
  case when event_id % 19 = 0 then null when event_id % 2 = 0 then 'Y' else 'N' end as manual_flag, case when event_id % 8 = 0 then 'N' else 'Y' end as approved_flag
 from events where event_type = 'signup'
@@ -176,4 +177,4 @@ from lineitem join orders on l_orderkey = o_orderkey join supplier on l_suppkey
 select 'BL-'||cast(n_nationkey as string)||'-'||cast(q as string) as src_budget_limit_id, 'CC_D'||lpad(cast(n_nationkey as string),4,'0') as cost_center_code, 'Centre '||n_name as cost_center_name,
  date '2024-01-01' + q as budget_period, cast(1000000 + n_nationkey * 1000 as decimal(18,2)) as budget_amount_rub, cast(1000000 + n_nationkey * 900 + q as decimal(18,2)) as consumed_amount_rub,
  case when n_nationkey * 900 + q > n_nationkey * 1000 then 'Y' else 'N' end as exceeded_flag
-from nation cross join (values (60),(152),(244),(335)) as x(q)
+from (select *, 60 as q from nation union all select *, 152 as q from nation union all select *, 244 as q from nation union all select *, 335 as q from nation) n

@@ -83,7 +83,7 @@ def test_access_needs_hr_in_the_same_run(spark, raw, tmp_path):
 
 def test_failed_checks_leave_the_published_run_alone(spark, raw, tmp_path):
     root = str(tmp_path)
-    publish(spark, root, "before")
+    publish(spark, root, "before", "runs/before")
 
     def no_employees(table):
         return raw(table).where("employee_src_id is null") if table == "hr_employee_master_raw" else raw(table)
@@ -137,19 +137,49 @@ def test_staging_lives_in_the_folder_the_session_names(spark):
 class BareSession:
     """A session that names a master and nothing else."""
 
+    class sparkContext:  # noqa: N801
+        folder = None
+
+        @classmethod
+        def getCheckpointDir(cls):  # noqa: N802
+            return cls.folder
+
     def __init__(self, master):
         self.conf = {"spark.master": master}
 
 
-def test_staging_needs_a_shared_folder_on_a_cluster():
+@pytest.mark.parametrize("master", ["yarn", "local[2]", "local-cluster[2,1,1024]"])
+def test_staging_needs_a_named_folder(master):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(BareSession("yarn"))
+        shared_folder(BareSession(master))
+
+
+def test_staging_takes_the_folder_of_the_context(monkeypatch):
+    monkeypatch.setattr(BareSession.sparkContext, "folder", "/shared/c/")
+    assert shared_folder(BareSession("yarn")) == "/shared/c"
+
+
+def test_a_failed_build_leaves_the_published_run_of_its_name(spark, raw, tmp_path):
+    root = str(tmp_path)
+    name = "hr.employee_hr_profile_report"
+    before = len(_staged_keys(spark))
+    build_all(spark, raw, root, "r1", subjects=["hr"])
+    assert len(_staged_keys(spark)) == before  # released once the tables are stored
+    rows = read_published(spark, root, name).count()
+    assert rows == 150
+
+    def no_employees(table):
+        return raw(table).where("employee_src_id is null") if table == "hr_employee_master_raw" else raw(table)
+
+    with pytest.raises(CheckFailed):
+        build_all(spark, no_employees, root, "r1", subjects=["hr"])
+    assert current_run(spark, root) == "r1"
+    assert read_published(spark, root, name).count() == rows
 
 
-def test_a_local_session_gets_one_folder_of_its_own():
-    folder = shared_folder(BareSession("local[2]"))
-    assert folder == shared_folder(BareSession("local[2]"))
-    assert Path(folder).is_dir()
+def _staged_keys(spark):
+    folder = Path(staging_folder(spark).removeprefix("file:"))
+    return [p for p in folder.iterdir() if p.name.startswith("key-")] if folder.is_dir() else []
 
 
 def test_release_deletes_only_this_application(spark, monkeypatch, tmp_path):

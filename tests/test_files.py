@@ -54,7 +54,7 @@ def test_csv_errors_are_raised(spark, tmp_path):
 
 
 def test_csv_keeps_line_breaks_in_multiline_mode(spark, tmp_path):
-    schema = parse("a s, b i")
+    schema = parse("a STRING, b INT")
     written = spark.createDataFrame([('first\nsecond "x"', 1), (None, 2)], "a string, b int")
     path = str(tmp_path / "lines")
     write_csv(written, path)
@@ -64,7 +64,7 @@ def test_csv_keeps_line_breaks_in_multiline_mode(spark, tmp_path):
 
 def test_full_refresh_replaces_everything(spark, tmp_path):
     path = str(tmp_path / "table")
-    schema = parse("id l, code s")
+    schema = parse("id BIGINT, code STRING")
     rows = spark.range(100).selectExpr("id", "concat('c', id % 4) as code")
     write_table(rows, path)
     write_table(rows.where("id < 10"), path, layout_key="code")
@@ -109,7 +109,7 @@ def test_empty_tables_keep_their_schema(spark, tmp_path):
 
 
 def test_load_refuses_other_columns(spark, tmp_path):
-    schema = parse("a s, b i")
+    schema = parse("a STRING, b INT")
     for name, columns in {"more": "a string, b int, c int", "fewer": "a string"}.items():
         path = str(tmp_path / name)
         export_raw(spark.createDataFrame([], columns), path)
@@ -118,7 +118,7 @@ def test_load_refuses_other_columns(spark, tmp_path):
 
 
 def test_load_decodes_epoch_columns(spark, tmp_path):
-    schema = parse("id i, at t, day d")
+    schema = parse("id INT, at TIMESTAMP_NTZ, day DATE")
     path = str(tmp_path / "epochs")
     export_raw(spark.sql("select 1 as id, 1704067200123456L as at, 19723 as day"), path)
     decode = {"at": decode_epoch_ts, "day": decode_epoch_date}
@@ -128,10 +128,10 @@ def test_load_decodes_epoch_columns(spark, tmp_path):
 
 def test_conform_orders_casts_and_drops(spark):
     loose = spark.sql("select '5' as n, 'x' as extra, '2024-01-02' as d, 7 as label")
-    found = conform(loose, parse("d d, n l, label s"))
+    found = conform(loose, parse("d DATE, n BIGINT, label STRING"))
     assert found.dtypes == [("d", "date"), ("n", "bigint"), ("label", "string")]
     assert tuple(found.first()) == (date(2024, 1, 2), 5, "7")
-    as_text = conform(loose, parse("d d, n l"), text=("n",))
+    as_text = conform(loose, parse("d DATE, n BIGINT"), text=("n",))
     assert as_text.dtypes == [("d", "date"), ("n", "string")]
 
 
