@@ -431,7 +431,7 @@ CTES: dict[str, str] = {
     """,
     "login_counts": """
         select employee_id,
-            count_if(login_result <> 'SUCCESS')::bigint
+            (count(*) filter (login_result <> 'SUCCESS'))::bigint
                 as failed_login_cnt,
             count_if(unusual_geo_flag)::bigint as unusual_geo_login_cnt
         from fct_login_event group by employee_id
@@ -615,7 +615,10 @@ CTES: dict[str, str] = {
         with scored as (
             select *, 2.2 * suspicious_card_txn_cnt + 1.8 * overdue_advance_report_cnt
                 + 1.3 * manual_payroll_adj_cnt + 1.5 * urgent_vendor_payment_cnt
-                + cast(rejected_advance_amount_rub * 100 as bigint) / 50000 / 100
+                -- rejected amount / 50000 and suspicious amount / 70000, in whole numbers
+                -- because this engine divides decimals as binary fractions
+                + ((rejected_advance_amount_rub * 100)::hugeint * 1000000000000 // 5000000)
+                    ::decimal(26,0) * 0.000000000001
                 + ((suspicious_card_amount_rub * 100)::hugeint * 1000000000000 // 7000000)
                     ::decimal(26,0) * 0.000000000001 as points
             from finance_points
