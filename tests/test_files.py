@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lamina.functions import decode_epoch_date, decode_epoch_ts
 from lamina.sources.files import (
     SchemaMismatch,
+    epoch_decoders,
     export_raw,
     load_raw,
     read_jdbc,
@@ -160,3 +161,24 @@ def test_jdbc_scan_is_split_by_key():
         "numPartitions": 16,
         "properties": {"user": "u"},
     }
+
+
+def test_load_refuses_other_types_and_decodes_integers(spark, tmp_path):
+    schema = parse("amount DECIMAL(18,2), at TIMESTAMP_NTZ")
+    files = str(tmp_path / "files")
+    doubles = spark.sql("select 0.567D as amount, timestamp_ntz'2024-01-01 00:00:00' as at")
+    doubles.write.parquet(files)
+    with pytest.raises(SchemaMismatch, match="amount is double"):
+        load_raw(spark, files, str(tmp_path / "out"), schema)
+    epochs = spark.sql("select cast(1 as decimal(18,2)) as amount, 1704067200L as at")
+    epochs.write.mode("overwrite").parquet(files)
+    with pytest.raises(SchemaMismatch, match="at is bigint"):
+        load_raw(spark, files, str(tmp_path / "out"), schema)
+    loaded = load_raw(spark, files, str(tmp_path / "out"), schema, {"at": decode_epoch_ts})
+    assert str(loaded.first()["at"]) == "2024-01-01 00:00:00"
+
+
+def test_every_time_of_the_raw_tables_has_a_decoder(spark):
+    for table in RAW:
+        times = {f.name for f in raw_schema(table) if f.dataType.typeName() in ("date", "timestamp_ntz")}
+        assert set(epoch_decoders(table)) == times

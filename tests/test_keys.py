@@ -97,3 +97,22 @@ def test_no_single_task_sees_the_table(spark, sf_dir, monkeypatch):
     assert ROW in plans[0]
     assert "SinglePartition" not in plans[0]
     assert "Window" not in plans[0]
+
+
+def test_nulls_tell_rows_apart(spark, confs):
+    """Rows that differ only in where a NULL stands are ordered alike in every build."""
+    many_slices(confs)
+    rows = [(n % 3, None if n % 2 else "a", "a" if n % 2 else None) for n in range(400)]
+    builds = []
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, "g long, x string, y string").repartition(parts)
+        builds.append(numbered(dense_key(df, "id", ["g"])))
+    assert builds[0] == builds[1]
+
+
+def test_slices_are_as_many_as_asked_for(spark, confs, monkeypatch):
+    staged = []
+    monkeypatch.setattr(keys, "stage", lambda df, label: staged.append(stage(df, label)) or staged[-1])
+    found = numbered(dense_key(spark.range(5000).toDF("n"), "id", ["n"], slices=16))
+    assert found == [(n + 1, n) for n in range(5000)]
+    assert staged[0].groupBy(F.expr("_pos >> 33")).count().count() == 16

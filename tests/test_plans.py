@@ -70,3 +70,26 @@ def test_entity_joins_share_one_partitioning(wh, confs):
     # One exchange per side of the join and one for the factors' own aggregation by employee.
     assert "SortMergeJoin" in found
     assert len(re.findall(r"Exchange hashpartitioning\(employee_id#\d+L, ", found)) <= 3
+
+
+CATALOGUES = (
+    "hr.dim_position",
+    "risk.dim_risk_event_type",
+    "access.dim_access_system",
+    "access.dim_access_role",
+    "finance.dim_finance_cost_center",
+    "finance.dim_finance_vendor",
+)
+
+
+@pytest.mark.parametrize("name", CATALOGUES)
+def test_catalogues_hash_every_scanned_row(spark, sf_dir, wh, name):
+    lines = plan(open_warehouse(spark, sf_dir).rows(name)).splitlines()
+    for at, line in enumerate(lines):
+        if "FileScan" in line:
+            above = [upper for upper in lines[:at] if upper.find("Aggregate") > 0 and _depth(upper) < _depth(line)]
+            assert "HashAggregate" in above[-1] and "SortAggregate" not in above[-1]
+
+
+def _depth(line: str) -> int:
+    return re.search(r"[A-Za-z*]", line).start()
