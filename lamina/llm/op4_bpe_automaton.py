@@ -18,6 +18,7 @@ repeated rows are all returned.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 from collections.abc import Iterable, Iterator
@@ -27,10 +28,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from lamina.llm.textops import tidy
+
 #: Pre-split of byte-level tokenizers (fixed value, the public pattern).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words whose encoding a task remembers at a time.
-REMEMBERED = 500_000
+#: Words whose encoding a task remembers since it last forgot some.
+REMEMBERED = 150_000
 START = -1
 
 
@@ -46,61 +49,75 @@ class Automaton:
 
     def __init__(self, vocab: dict[str, int], merges: Iterable[tuple[str, str]], added: dict[str, int]):
         letters = byte_letters()
-        self.label = {i: bytes(letters[c] for c in token) for token, i in vocab.items()}
         self.added = dict(added)
-        self.label.update({i: token.encode() for token, i in added.items()})
-        self.rank = {i: -1 for i in [START, *(vocab[c] for c in letters if c in vocab)]}
-        self.parts: dict[int, tuple[int, int]] = {}
-        self.taken: dict[tuple[int, int], int] = {}
-        self.live = set(self.rank)
+        self.width = 1 + max([*vocab.values(), *added.values()], default=0)
+        self.label: list[bytes] = [b""] * self.width
+        for token, i in vocab.items():
+            self.label[i] = bytes(letters[c] for c in token)
+        for token, i in added.items():
+            self.label[i] = token.encode()
+        # The time a token was made and what it was made of; the last place is the start state's.
+        self.rank = [-1] * (self.width + 1)
+        self.left, self.right = [START] * self.width, [START] * self.width
+        self.taken: dict[int, int] = {}
+        live = {vocab[c] for c in letters if c in vocab}
         for time, (left, right) in enumerate(merges):
-            self._gadget(vocab[left], vocab[right], vocab[left + right], time)
-        self.trie = self._trie()
+            self._gadget(live, vocab[left], vocab[right], vocab[left + right], time)
+        self.trie = self._trie(live)
 
-    def _gadget(self, u: int, v: int, w: int, time: int) -> None:
+    def _gadget(self, live: set[int], u: int, v: int, w: int, time: int) -> None:
         """Adds the state ``w`` for ``u v`` and takes the arc from ``u`` to ``v`` away."""
-        if u not in self.live or v not in self.live or w in self.parts or (u, v) in self.taken:
+        if u not in live or v not in live or w in live or u * self.width + v in self.taken:
             return
         if self.arc(u, v, time - 1):
-            self.live.add(w)
-            self.parts[w], self.rank[w] = (u, v), time
-        self.taken[u, v] = time
+            live.add(w)
+            self.left[w], self.right[w], self.rank[w] = u, v, time
+        self.taken[u * self.width + v] = time
 
     def arc(self, state: int, token: int, time: int) -> bool:
         """Whether ``token`` may follow ``state`` once the merges up to ``time`` are applied."""
         while True:
-            if self.taken.get((state, token), time + 1) <= time:
+            if self.taken.get(state * self.width + token, time + 1) <= time:
                 return False
             made, came = self.rank[token], self.rank[state]
             if made < 0 and came < 0:
                 return True
             if made >= came:
-                token, time = self.parts[token][0], made
+                token, time = self.left[token], made
             else:
-                state, time = self.parts[state][1], came - 1
-
-    def _trie(self) -> dict[int, dict]:
-        """Labels of live tokens by their bytes; key -1 holds the token that ends there."""
-        root: dict[int, dict] = {}
-        for token in self.live - {START}:
-            node = root
+                state, time = self.right[state], came - 1
+
+    def _trie(self, live: set[int]) -> tuple[dict[int, int], list[int]]:
+        """Labels of live tokens letter by letter: the node after ``node * 256 + byte``, and the
+        token that ends at each node, -1 for none."""
+        steps: dict[int, int] = {}
+        ends = [-1]
+        for token in live:
+            node = 0
             for byte in self.label[token]:
-                node = node.setdefault(byte, {})
-            node[-1] = token
-        return root
+                at = node * 256 + byte
+                if at not in steps:
+                    steps[at] = len(ends)
+                    ends.append(-1)
+                node = steps[at]
+            ends[node] = token
+        return steps, ends
 
 
 class _Words(dict):
-    """Remembered words: a new one is encoded, and all are forgotten once there are too many."""
+    """Remembered words. Once there are too many, those not asked for since the last time go."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.before: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= REMEMBERED:
+            self.before = dict(self)
             self.clear()
-        ids = self[word] = self.encode(word.encode("utf-8"))
+        ids = self.before.get(word) or self.encode(word.encode("utf-8"))
+        self[word] = ids
         return ids
 
 
@@ -109,8 +126,8 @@ class Coder:
 
     def __init__(self, automaton: Automaton):
         self.automaton = automaton
-        self.last = len(automaton.taken) + len(automaton.rank)
-        self.width = max(automaton.label, default=0) + 1
+        self.last = len(automaton.taken) + automaton.width
+        self.width = automaton.width
         self.arcs: dict[int, bool] = {}
         self.words = _Words(self.word)
         self.split = regex.compile(SPLIT)
@@ -122,7 +139,7 @@ class Coder:
 
     def _follow(self, state: int, token: int) -> bool:
         """The arc's entry, filled in the first time it is followed."""
-        if len(self.arcs) > 4 * REMEMBERED:
+        if len(self.arcs) > 2 * REMEMBERED:
             self.arcs.clear()
         found = self.arcs[state * self.width + token] = self.automaton.arc(state, token, self.last)
         return found
@@ -132,17 +149,18 @@ class Coder:
         n, width, known = len(letters), self.width, self.arcs.get
         state: list[int] = [START] * (n + 1)
         came = [0] * (n + 1)
-        root = self.automaton.trie
+        steps, ends = self.automaton.trie
+        step = steps.get
         for i in range(n):
-            now, node, j = state[i], root, i
+            now, node, j = state[i], 0, i
             row = now * width
             while j < n:
-                node = node.get(letters[j])
+                node = step(node * 256 + letters[j])
                 if node is None:
                     break
                 j += 1
-                if -1 in node:
-                    token = node[-1]
+                token = ends[node]
+                if token >= 0:
                     follows = known(row + token)
                     if follows is None:
                         follows = self._follow(now, token)
@@ -189,6 +207,9 @@ def _coder(shared) -> Coder:
     """One coder per worker and automaton, so that its words last over tasks."""
     if shared.id not in _CODERS:
         _CODERS.clear()
+        gc.collect()  # what earlier stages left in this worker
+    tidy()
+    if shared.id not in _CODERS:
         _CODERS[shared.id] = Coder(shared.value)
     return _CODERS[shared.id]
 
@@ -248,7 +269,7 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared)
-        decimal = {i: str(i) for i in coder.automaton.label}.__getitem__
+        decimal = [str(i) for i in range(coder.width)].__getitem__
         for part in parts:
             counts, encoded, decoded = [], [], []
             for text in part.column("text").to_pylist():
