@@ -85,10 +85,21 @@ CATALOGUES = (
 @pytest.mark.parametrize("name", CATALOGUES)
 def test_catalogues_hash_every_scanned_row(spark, sf_dir, wh, name):
     lines = plan(open_warehouse(spark, sf_dir).rows(name)).splitlines()
+    first = []
     for at, line in enumerate(lines):
         if "FileScan" in line:
-            above = [upper for upper in lines[:at] if upper.find("Aggregate") > 0 and _depth(upper) < _depth(line)]
-            assert "HashAggregate" in above[-1] and "SortAggregate" not in above[-1]
+            first += [upper for upper in _above(lines, at) if "Aggregate" in upper][:1]
+    assert first
+    assert all("HashAggregate" in upper for upper in first)
+
+
+def _above(lines: list[str], at: int):
+    """The operators over a line of a plan, nearest first."""
+    depth = _depth(lines[at])
+    for line in reversed(lines[:at]):
+        if _depth(line) < depth:
+            depth = _depth(line)
+            yield line
 
 
 def _depth(line: str) -> int:
