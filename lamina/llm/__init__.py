@@ -1,0 +1 @@
+"""Operators for training corpora; nothing else in the library imports them."""
