@@ -8,6 +8,13 @@ the number of stratum-rule pairs (Bonferroni). The tests of one pair form a fixe
 at the first failure, so with probability ``1 - ERROR`` all chosen cutoffs keep their promise. A pair
 with too few labels gets no cutoff and rejects nothing.
 
+With ``pooled``, strata too small for any test of their own share cutoffs tested on all their good
+documents together; the rules of the pool count in the same Bonferroni total. Which strata are small
+follows from the number of their good documents alone. The promise then holds for the pool: one
+language in it may lose more than ``MAX_FALSE_REJECTION``. A stratum without a good document is in
+no pool. ``accepted``, the pipeline's stage, pools; ``quality_rules`` does not unless told to, since
+the query ``op7_quality`` must equal its SQL, which tests every stratum by itself.
+
 Defined results: a null text has no words and fails the base rule; an empty table gives an empty
 result; labels without a document, with a null quality or for a null id are ignored, and a document
 labelled more than once counts as good only if every label says so. A null language is a stratum.
@@ -15,6 +22,7 @@ labelled more than once counts as good only if every label says so. A null langu
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -192,10 +200,11 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k <= n * p, F.least(F.lit(1.0), F.exp(top) * total)).otherwise(F.lit(1.0))
 
 
-def choose_cutoffs(measured: DataFrame, labels: DataFrame) -> DataFrame:
+def choose_cutoffs(measured: DataFrame, labels: DataFrame, pooled: bool = False) -> DataFrame:
     """``stratum, rule, cutoff, n_good, n_rejected, p_value`` of every cutoff that passed its test.
 
-    ``measured`` holds ``doc_id, lang, m``. One row per stratum and rule at most.
+    ``measured`` holds ``doc_id, lang, m``. One row per stratum and rule at most; the counts and the
+    p-value of a pooled stratum are those of the pool.
     """
     good = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
@@ -230,22 +239,38 @@ def choose_cutoffs(measured: DataFrame, labels: DataFrame) -> DataFrame:
     )
     every = F.collect_list(F.struct("stratum", "rule", "step", "cutoff", "n_good", "n_rejected"))
     pairs = F.array_distinct(F.transform("every", lambda t: F.struct(t["stratum"], t["rule"])))
+    n_tests = F.size(pairs) + (len(CUTOFFS) if pooled else 0)
+    # Without a single rejection the chance is (1 - MAX_FALSE_REJECTION) ** n_good.
+    least = F.col("n_good") * math.log(1 - MAX_FALSE_REJECTION) + F.log("n_tests")
+    small = (F.col("n_good") > 0) & (least > math.log(ERROR)) if pooled else F.lit(False)
     tested = (
         counts.agg(every.alias("every"))  # one small row: strata times rules times cutoffs
-        .select(F.size(pairs).alias("n_tests"), F.explode("every").alias("t"))
+        .select(n_tests.alias("n_tests"), F.explode("every").alias("t"))
         .select("n_tests", "t.*")
+        .withColumn("small", small)
+        .groupBy("small", F.when(~F.col("small"), F.col("stratum")).alias("own"), "rule", "step", "cutoff")
+        .agg(
+            F.first("n_tests").alias("n_tests"),
+            F.sum("n_good").alias("n_good"),
+            F.sum("n_rejected").alias("n_rejected"),
+            F.collect_list(F.struct("stratum")).alias("members"),
+        )
         .withColumn(
             "p_value", binomial_tail(F.col("n_rejected"), F.col("n_good"), MAX_FALSE_REJECTION)
         )
     )
     passed = F.col("p_value") * F.col("n_tests") <= ERROR
     first_failure = F.min(F.when(~passed, F.col("step")))
-    ends = tested.groupBy("stratum", "rule").agg(
+    ends = tested.groupBy("small", "own", "rule").agg(
         F.coalesce(first_failure, F.lit(1_000_000)).alias("stop"),
         F.collect_list(F.struct("step", "cutoff", "n_good", "n_rejected", "p_value")).alias("seq"),
+        F.first("members").alias("members"),
     )
     last = F.array_max(F.filter("seq", lambda s: s["step"] < F.col("stop")))
-    return ends.withColumn("s", last).where("s is not null").select("stratum", "rule", "s.*")
+    chosen = ends.withColumn("s", last).where("s is not null")
+    return chosen.select(F.explode("members").alias("member"), "rule", "s").select(
+        "member.stratum", "rule", "s.*"
+    )
 
 
 def verdicts(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
@@ -275,25 +300,26 @@ def verdicts(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
     )
 
 
-def calibrate(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def calibrate(docs: DataFrame, labels: DataFrame, pooled: bool = False) -> DataFrame:
     """The cutoffs learnt from the labelled documents, a few rows per language, computed once."""
     held = docs.select("doc_id", "lang", "text").join(
         if_small(labels.where("quality = 1").select("doc_id").distinct(), LABELS_SENT),
         "doc_id",
         "left_semi",
     )
-    return pin(choose_cutoffs(measures(held).select("doc_id", "lang", "m"), labels), "cutoffs")
+    measured = measures(held).select("doc_id", "lang", "m")
+    return pin(choose_cutoffs(measured, labels, pooled), "cutoffs")
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, pooled: bool = False) -> DataFrame:
     """``docs`` with ``m``, ``base_failed``, ``broken`` and ``kept`` of every row."""
-    return verdicts(measures(docs), calibrate(docs, labels))
+    return verdicts(measures(docs), calibrate(docs, labels, pooled))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with its columns only."""
+    """The rows of ``docs`` that the rules keep, small strata pooled, with its columns only."""
     verdict = F.struct("*").alias("doc")
-    judged = quality_rules(docs.select("doc_id", "lang", "text", verdict), labels)
+    judged = quality_rules(docs.select("doc_id", "lang", "text", verdict), labels, pooled=True)
     return judged.where("kept").select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
 
 

@@ -126,6 +126,19 @@ def test_cutoffs_keep_their_promise_per_stratum(spark):
     assert sum(not kept[k] for k in range(0, 3000, 2)) <= 1500 * rules.MAX_FALSE_REJECTION
 
 
+def test_small_languages_of_the_given_labels_share_cutoffs(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    alone = {(r.stratum, r.rule): r for r in rules.calibrate(docs, labels).collect()}
+    chosen = {(r.stratum, r.rule): r for r in rules.calibrate(docs, labels, pooled=True).collect()}
+    assert {lang for lang, _ in alone} == {"en"}
+    assert {lang for lang, _ in chosen} == {"en", "de", "fr", "es"}
+    pool = [r for r in chosen.values() if r.stratum != "en"]
+    assert all(r.p_value * 5 * len(rules.CUTOFFS) <= rules.ERROR for r in chosen.values())
+    assert {r.n_good for r in pool} == {493 + 312 + 498}  # all their good documents that pass the base rule
+    junk = rules.accepted(docs, labels).join(labels.where("quality = 0"), "doc_id", "left_semi")
+    assert {r.lang: r["count"] for r in junk.groupBy("lang").count().collect()} == {"en": 3, "fr": 1, "es": 1}
+
+
 def test_accepted_returns_the_columns(spark):
     docs = documents(spark)
     left = rules.accepted(docs, labels_of(spark, []))
