@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lamina.llm.common import if_small, pin
 from lamina.llm.components import connected
@@ -296,12 +297,19 @@ def components(signed: DataFrame, docs: DataFrame) -> DataFrame:
     return component
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row."""
+def _with_components(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, node, component`` of every row; no component where nothing links."""
     signed = pin(signatures(docs), "signatures")
     rows = signed.select("doc_id", "node", "n_shingles")
-    placed = rows.join(components(signed, docs), "node", "left")
     linked = F.col("component").isNotNull() & F.col("doc_id").isNotNull()
+    placed = rows.join(components(signed, docs), "node", "left")
+    return placed.withColumn("component", F.when(linked, F.col("component")))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row."""
+    placed = _with_components(docs)
+    linked = F.col("component").isNotNull()
     first = placed.where(linked).groupBy("component").agg(F.min("doc_id").alias("first"))
     result = placed.join(first, "component", "left")
     component = F.when(linked, F.col("first")).otherwise(F.col("doc_id"))
@@ -313,15 +321,54 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _with_nodes(docs: DataFrame) -> DataFrame:
+    """``doc, doc_id, text, node``: every row as a struct, and the hash of its set."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            nodes = []
+            for block in batches((t, t) for t in (v or b"" for v in part.column("text").cast(pa.binary()).to_pylist())):
+                keys, sizes, own, starts = _split([t for _, t in block])
+                found = [None] * len(block)
+                if len(own):
+                    hashes = set_hashes(keys, starts, sizes[own]).astype(np.int64).tolist()
+                    for at, node in zip(own.tolist(), hashes, strict=True):
+                        found[at] = node
+                nodes += found
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array(nodes, pa.int64())], [*part.schema.names, "node"]
+            )
+
+    rows = docs.select(
+        F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("node", LongType())]))
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without the near-duplicates: the smallest ``doc_id`` of each component stays, once.
 
-    Rows without a ``doc_id`` stay; of rows with equal id and text one stays.
+    Rows are told apart by ``doc_id`` and the hash of their set, so an id that stands over several
+    texts loses those with a near copy only. Near copies under one id are copies too: the smallest
+    hash stays. Rows without a ``doc_id`` stay; of rows with equal id and set, or with equal id and
+    text where there is no word, one stays.
     """
-    found = pin(near_duplicates(docs), "near-duplicates")
-    gone = found.where("not kept").select("doc_id").distinct()
+    found = pin(_with_components(docs).select("doc_id", "node", "component"), "near-duplicates")
+    own = F.struct("doc_id", "node")
+    linked = found.where("component is not null")
+    first = linked.groupBy("component").agg(F.min(own).alias("first"))
+    gone = linked.join(first, "component").where(own != F.col("first")).select("doc_id", "node")
+    gone = pin(gone.distinct(), "copies")
     again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    left = docs.join(if_small(gone, IDS_SENT), "doc_id", "left_anti")
     repeated = if_small(pin(again, "repeated-ids"), IDS_SENT)
-    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+    single = docs.join(repeated, "doc_id", "left_anti").join(
+        if_small(gone.select("doc_id").distinct(), IDS_SENT), "doc_id", "left_anti"
+    )
+    several = _with_nodes(docs.join(repeated, "doc_id", "left_semi").select(docs.columns))
+    once = (
+        several.join(if_small(gone, IDS_SENT), ["doc_id", "node"], "left_anti")
+        .groupBy("doc_id", "node", F.when(F.col("node").isNull(), F.col("text")).alias("blank"))
+        .agg(F.min_by("doc", F.coalesce("text", F.lit(""))).alias("doc"))
+        .select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
+    )
+    return single.select(docs.columns).unionByName(once)

@@ -55,6 +55,17 @@ def test_one_of_each_keeps_columns_and_rows_without_id(spark):
     assert sorted(i or -1 for i in want) == sorted(r.doc_id or -1 for r in left.collect())
 
 
+def test_one_of_each_tells_rows_of_one_id_apart(spark):
+    words = [[f"{name}{k}" for k in range(120)] for name in "abc"]
+    a, b, c = (" ".join(w) for w in words)
+    near = " ".join([*words[2][:119], "changed"])
+    rows = [(1, a), (7, a), (7, b), (9, c), (9, near), (9, ""), (9, None), (9, "")]
+    left = op2_minhash.one_of_each(documents(spark, rows)).collect()
+    found = sorted((r.doc_id, r.text or "") for r in left)
+    assert found[:2] == [(1, a), (7, b)] and found[2:4] == [(9, ""), (9, "")]
+    assert len(found) == 5 and found[4] in {(9, c), (9, near)}
+
+
 def test_signature_estimate_counts_equal_groups(spark):
     rows = [(1, "a b c d e f g h"), (2, "a b c d e f g h"), (3, "p q r s t u v w")]
     got = {r.doc_id: r for r in op2_minhash.signatures(documents(spark, rows)).collect()}
