@@ -1,17 +1,18 @@
 """Benchmark passages in documents by greedy string tiling.
 
 1. Texts become lower-cased words without punctuation at the ends. A seed is ``LEAST_TILE``
-   consecutive words. Seeds of all benchmark items set bits of a fixed-size filter that is sent to
+   consecutive words, or all words of an item that has fewer. Seeds of all benchmark items set bits of a fixed-size filter that is sent to
    every task; each document keeps only the words under seeds that pass it.
 2. Documents and items are joined on the seeds they share. A pair goes on if its shared seeds could
    cover the threshold even as shortest tiles.
 3. Each pair is tiled: the longest common run of words that are not yet marked, found by running
    Karp-Rabin hashes over both, becomes a tile and is marked on both sides, again and again, down
    to ``LEAST_TILE`` words. Tiles may stand in any order, so passages with moved sentences count.
-   A pair is reported if tiles cover ``COVERAGE`` of the item.
+   A pair is reported if tiles cover ``COVERAGE`` of the item. An item with fewer words than a tile
+   is one tile and must stand whole.
 
-Defined results: documents without text or with a null ``doc_id`` and items without text or with
-fewer words than a tile are never reported; an item or document that stands twice is reported once,
+Defined results: documents without text or with a null ``doc_id`` and items without a word or with
+a null id are never reported; an item or document that stands twice is reported once,
 at its best; an empty table on either side gives an empty result; other columns are ignored.
 """
 
@@ -38,6 +39,11 @@ _BASE = 0x9E3779B97F4A7C55
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 
 
+def _seeds(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Seeds of ``size`` words; those of shorter items differ from all others."""
+    return windows(hashes, size, salt=size if size < LEAST_TILE else 0)
+
+
 def item_words(benchmark: DataFrame) -> DataFrame:
     """``item_id, item, n, words, seeds`` of every distinct item; ``item`` tells texts apart."""
 
@@ -50,8 +56,8 @@ def item_words(benchmark: DataFrame) -> DataFrame:
             rows = []
             for i, first, n in zip(ids, words.first.tolist(), words.counts.tolist(), strict=True):
                 own = hashes[first : first + n]
-                if n >= LEAST_TILE and i is not None:
-                    seeds = windows(own, LEAST_TILE)
+                if n and i is not None:
+                    seeds = _seeds(own, min(n, LEAST_TILE))
                     rows.append((i, n, own.astype(np.int64).tolist(), seeds.astype(np.int64).tolist()))
             if rows:
                 columns = list(zip(*rows, strict=True))
@@ -80,7 +86,13 @@ def seed_filter(items: DataFrame) -> np.ndarray:
     return np.packbits(flags)
 
 
-def seeded_words(docs: DataFrame, packed: np.ndarray) -> DataFrame:
+def seed_sizes(items: DataFrame) -> list[int]:
+    """The numbers of words in the seeds of the items, ``LEAST_TILE`` of them at most."""
+    size = F.least("n", F.lit(LEAST_TILE)).alias("size")
+    return sorted(r["size"] for r in items.select(size).distinct().collect())
+
+
+def seeded_words(docs: DataFrame, packed: np.ndarray, sizes: list[int]) -> DataFrame:
     """``doc_id, text_key, at, words, seeds`` of the documents with seeds that pass the filter.
 
     ``words`` are the hashes of the words under those seeds and ``at`` their places.
@@ -96,18 +108,24 @@ def seeded_words(docs: DataFrame, packed: np.ndarray) -> DataFrame:
             for group in batches(zip(ids, texts, strict=True)):
                 words = Block([t for _, t in group], lower=True).words().trim(PUNCTUATION)
                 hashes = words.hashes()
-                seeds = windows(hashes, LEAST_TILE)
-                inside = words.doc[: len(seeds)] == words.doc[LEAST_TILE - 1 :]
-                hit = np.flatnonzero(inside & flags[seeds >> np.uint64(64 - FILTER_BITS)])
-                owner = words.doc[hit]
-                cuts = np.searchsorted(owner, np.arange(len(group) + 1))
-                for d in np.unique(owner).tolist():
-                    own = hit[cuts[d] : cuts[d + 1]]
-                    under = np.unique((own[:, None] + np.arange(LEAST_TILE)).ravel())
+                hits = []
+                for size in sizes:
+                    seeds = _seeds(hashes, size)
+                    inside = words.doc[: len(seeds)] == words.doc[size - 1 :]
+                    hit = np.flatnonzero(inside & flags[seeds >> np.uint64(64 - FILTER_BITS)])
+                    cuts = np.searchsorted(words.doc[hit], np.arange(len(group) + 1))
+                    hits.append((size, seeds, hit, cuts))
+                owners = [words.doc[hit] for _, _, hit, _ in hits]
+                for d in np.unique(np.concatenate(owners)).tolist() if owners else []:
+                    own = [(size, seeds, hit[cuts[d] : cuts[d + 1]]) for size, seeds, hit, cuts in hits]
+                    under = np.unique(
+                        np.concatenate([(at[:, None] + np.arange(size)).ravel() for size, _, at in own])
+                    )
                     kept = hashes[under]
                     key = int(np.add.reduce(mix(kept ^ under.astype(np.uint64))) >> np.uint64(1))
                     at = (under - words.first[d]).tolist()
-                    found = np.unique(seeds[own]).astype(np.int64).tolist()
+                    found = np.unique(np.concatenate([seeds[at] for _, seeds, at in own]))
+                    found = found.astype(np.int64).tolist()
                     rows.append((group[d][0], key, at, kept.astype(np.int64).tolist(), found))
             if rows:
                 columns = list(zip(*rows, strict=True))
@@ -159,7 +177,7 @@ def tile(item: np.ndarray, words: np.ndarray, at: np.ndarray) -> list[tuple[int,
     left, right = _Side(item, np.arange(len(item))), _Side(words, at)
     tiles = []
     size = min(len(item), right.longest())
-    while size >= LEAST_TILE:
+    while size >= min(LEAST_TILE, len(item)):
         places, hashes = left.runs(size)
         spots, found = right.runs(size)
         order = np.argsort(hashes, kind="stable")
@@ -214,7 +232,7 @@ def _tiled(pairs: DataFrame) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, coverage, item_words, covered_words, n_tiles`` of every pair found."""
     items = pin(item_words(benchmark), "items")
-    kept = pin(seeded_words(docs, seed_filter(items)), "seeded")
+    kept = pin(seeded_words(docs, seed_filter(items), seed_sizes(items)), "seeded")
     places = items.select("item", "n", F.posexplode("seeds").alias("place", "seed"))
     shared = (
         kept.select("doc_id", "text_key", F.explode("seeds").alias("seed"))

@@ -176,6 +176,23 @@ def test_contamination_on_hard_cases(spark):
     assert contaminated_rows(spark, [], items) == contaminated_rows(spark, docs, []) == []
 
 
+def test_items_shorter_than_a_tile_must_stand_whole(spark):
+    items = [(1, "Paris"), (2, "forty two"), (3, "the red, planet"), (4, "one two three four"), (5, prose(600, 30)), (6, "?!"), (7, "of the")]
+    docs = [
+        (1, "It is PARIS."), (2, "two forty"), (3, "forty, two and the red planet"), (4, "one two three five four"),
+        (5, "one two three four paris " + prose(600, 30)), (6, "parisian forty-two"), (7, "of\n"), (8, "the"), (9, "?!"), (None, "paris"), (10, "so one two three four"),
+    ]
+    want = []
+    for i, text in docs:
+        for j, item in items:
+            w = brute.benchmark_words(item)
+            covered, n = brute.tiles(w, brute.benchmark_words(text), min(5, len(w))) if w else (0, 0)
+            if i is not None and w and covered >= len(w) / 2:
+                want.append((i, j, covered / len(w), len(w), covered, n))
+    assert {(i, j) for i, j, *_ in want} == {(1, 1), (3, 2), (3, 3), (5, 4), (5, 1), (5, 5), (10, 4)}
+    assert contaminated_rows(spark, docs, items) == sorted(want)
+
+
 def test_contamination_of_the_given_table(spark, sf_dir):
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     docs = [(r.doc_id, r.text) for r in read("documents").limit(60).collect()]
