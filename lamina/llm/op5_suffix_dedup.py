@@ -1,19 +1,18 @@
-"""Repeated byte strings by blockwise suffix sorting with a difference cover.
+"""Repeated byte strings by fingerprint grouping, with a difference cover as a prefilter.
 
 A byte goes if a string of ``LENGTH`` bytes that covers it also starts anywhere else in the corpus,
-in the same document too. Suffixes need an order only as far as that, so the work has two sorts:
+in the same document too. That needs ties only, so no suffix order is built; two groupings find them:
 
 1. Cover sample. Positions whose place in their document is, modulo the period, in a difference
-   cover are sampled, and the samples are ranked by the string of ``LENGTH - period + 1`` bytes from
+   cover are sampled, and the samples are grouped by the string of ``LENGTH - period + 1`` bytes from
    them. For any two positions some shift below the period takes both to a sample, so two suffixes
-   that agree on ``LENGTH`` bytes have equally ranked samples at that shift. Ranks held by a single
-   sample cannot resolve a tie; only suffixes with a repeated rank ahead go on.
-2. Suffix buckets. The suffixes left are dealt into buckets of the suffix order, each sorted on its
-   own in memory bounded by the bucket; neighbours that tie on ``LENGTH`` bytes are the repeats.
-
-Both sorts order strings by a 64-bit fingerprint, cut to the bits that keep the expected number of
-false ties below one, instead of by alphabet: ties are the same, and a key costs a few bytes where
-its string would cost hundreds.
+   that agree on ``LENGTH`` bytes have equal samples at that shift. The sample answers only whether
+   its string stands twice; suffixes without such a sample ahead are left out.
+2. Windows. The fingerprints of the ``LENGTH`` bytes from the suffixes left are grouped in ranges;
+   those that occur twice are the repeats.
+
+Both group strings by a fingerprint of at most 64 bits, cut to the bits that keep the expected number
+of false ties below one up to about 10^9 suffixes. No rank or byte comparison confirms a tie.
 
 Defined results: a null text is empty; texts shorter than ``LENGTH`` stay whole; repeated rows are
 copies of each other, so all their long texts go; an empty table gives an empty result; other
