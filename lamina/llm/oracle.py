@@ -160,9 +160,49 @@ from said
 group by conv_id
 """
 
+OP13 = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+lists as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+starts as (select lang, w, unnest(range(1, len(w) + 1)) as i from lists),
+sizes as (select lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) as k from starts),
+grams as (select lang, k, w[i:i + k - 1] as words, count(*) as a from sizes group by all),
+totals as (select lang, cast(sum(a) as hugeint) as n from grams where k = 1 group by lang),
+frequent as (select * from grams where a >= 100),
+cuts as (
+  select f.lang, f.words, f.a, unnest(range(1, f.k)) as cut from frequent f where f.k > 1),
+scored as (
+  select c.lang, c.words, c.a, cut, l.a as l, r.a as r, n,
+         (1000 * cast(c.a as hugeint) * n) // (cast(l.a as hugeint) * r.a) as score
+  from cuts c
+  join frequent l on l.lang = c.lang and l.words = c.words[1:cut]
+  join frequent r on r.lang = c.lang and r.words = c.words[cut + 1:]
+  join totals t on t.lang = c.lang),
+lowest as (
+  select * from scored
+  qualify row_number() over (partition by lang, words order by score, cut) = 1),
+inside as (
+  select distinct lang, a, unnest(flatten(list_transform(range(2, k), lambda m:
+           list_transform(range(1, k - m + 2), lambda i: words[i:i + m - 1])))) as words
+  from frequent where k > 2),
+kept as (
+  select lang, array_to_string(words, ' ') as phrase, a, l, r, n, score
+  from lowest
+  where not exists (
+    select 1 from inside where inside.lang = lowest.lang and inside.words = lowest.words and inside.a >= lowest.a))
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score
+from (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+where rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op2_near": OP2,
     "op6_substring": OP6,
     "op7_quality": OP7,
     "op9_chat": OP9,
+    "op13_phrases": OP13,
 }

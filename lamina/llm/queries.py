@@ -18,10 +18,14 @@ from lamina.llm import (
     op8_decontamination,
     op9_chat_formatting,
     op10_language_id,
+    op11_secrets,
+    op12_alignment,
+    op13_collocations,
 )
 from lamina.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: A conversation of control strings that every run formats besides the table (fixed values).
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -83,6 +87,18 @@ def op10_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_language_id.identify(docs, op10_language_id.train(docs))
 
 
+def op11_secrets_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_secrets.digest(op11_secrets.find(read(spark, sf_dir, "documents")))
+
+
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_alignment.digest(read(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ctw": op1_ctw,
     "op2_near": op2_near,
@@ -94,4 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_chat": op9_chat,
     "op10_lang": op10_lang,
+    "op11_secrets": op11_secrets_found,
+    "op12_align": op12_align,
+    "op13_phrases": op13_phrases,
 }
