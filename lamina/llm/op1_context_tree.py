@@ -126,34 +126,6 @@ def count_strings(docs: DataFrame) -> DataFrame:
     return docs.select("held_out", "text").mapInArrow(run, "kind int, key long, n long")
 
 
-def _log_gamma(v: Column) -> Column:
-    """Stirling's series, shifted by 8 so that it holds from one half on."""
-    s = v + 8
-    return (
-        (s - 0.5) * F.log(s)
-        - s
-        + 0.5 * math.log(2 * math.pi)
-        + 1 / (12 * s)
-        - 1 / (360 * s * s * s)
-        + 1 / (1260 * s * s * s * s * s)
-        - F.log(reduce(lambda a, b: a * b, [v + i for i in range(8)]))
-    )
-
-
-def _estimate() -> Column:
-    """Log of the Krichevsky-Trofimov probability of ``n0`` zeros and ``n1`` ones."""
-    n0, n1 = F.col("n0"), F.col("n1")
-    log = (
-        _log_gamma(n0 + 0.5) + _log_gamma(n1 + 0.5) - _log_gamma(n0 + n1 + 1.0) - math.log(math.pi)
-    )
-    return F.when(n0 + n1 == 0, F.lit(0.0)).otherwise(log)
-
-
-def _log_half_sum(a: Column, b: Column) -> Column:
-    """Log of the mean of two probabilities given by their logs."""
-    return F.greatest(a, b) + F.log1p(F.exp(-F.abs(a - b))) - math.log(2)
-
-
 class _Level:
     """One of the eight decisions of a byte, at all context depths from ``SPLIT`` to ``DEPTH``.
 
@@ -374,7 +346,7 @@ def score(docs: DataFrame) -> DataFrame:
         for kind in (GRAM, WORD):
             keys = x.distinct(np.concatenate([x.distinct(r[kind][0])[0] for r in read]))[0]
             known.append(Table(keys, x.answered(answers.get(kind), keys, shards)))
-        floor = math.log10(total + distinct) if total + distinct else 0.0
+        floor = math.log10(total + distinct + 1)
         out: dict[str, list] = {n: [] for n in ("n_tokens", "n_known", "base_score", "score", "bits")}
         for block, ((strings, first), (words, _, counts)) in zip(blocks, read, strict=True):
             sums = np.add.reduceat(known[GRAM](strings), first)

@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import accumulate
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -34,7 +35,7 @@ def base_scores(rows):
     counts = Counter()
     for text in train:
         counts.update([*words(lower(text)), None])
-    total, distinct = sum(counts.values()), len(counts)
+    total, distinct = sum(counts.values()), len(counts) + 1
     out = []
     for i, text in rows:
         tokens = [*words(lower(text)), None]
@@ -238,3 +239,135 @@ def segments(scores):
             yield from split(best[2] + 1, high)
 
     return list(split(0, len(scores)))
+
+
+# 11: secrets
+
+def base_secrets(text):
+    """Kind, start and end of the base findings, letter by letter where that is simple."""
+    text = text or ""
+    out = []
+    names = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in n) for n in ("password", "passwd", "secret", "token", "api_key", "apikey"))
+    at = 0
+    form = re.compile(rf"""(?:{names})["']?[ ]*[:=][ ]*["']?([A-Za-z0-9+/_.=-]+)""")
+    while found := form.search(text, at):
+        at = found.end()
+        if len(found[1]) >= 8:
+            out.append(("assign", found.start(), found.end()))
+    for kind, form, least in (("access", r"AKIA[A-Z0-9]+", 16), ("hex", r"[0-9a-f]+", 32)):
+        out += [(kind, *m.span()) for m in re.finditer(form, text) if len(m[0]) >= least]
+    return sorted(out, key=lambda f: (f[1], ["assign", "access", "hex"].index(f[0])))
+
+
+def guess_bits(value, ranks, op, repeats=True):
+    """Cheapest cut of a value by trying every segment at every place."""
+    lower = lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
+
+    def walk(i, j):
+        keys = [op._SHIFTED.get(c, c) for c in lower(value[i:j])]
+        shift = [a != b for a, b in zip(value[i:j], keys)]
+        for direction, first, turn in op.WALKS:
+            ways = [direction(a, b) for a, b in zip(keys, keys[1:])]
+            if j - i >= 3 and None not in ways:
+                turns = 1 + sum(a != b for a, b in zip(ways, ways[1:]))
+                changes = shift[0] + sum(a != b for a, b in zip(shift, shift[1:]))
+                yield first + turns * turn + len(ways) * op.STRAIGHT_BITS + changes
+
+    def segment(i, j):
+        part = value[i:j]
+        yield sum(map(op.sign_bits, part))
+        yield from walk(i, j)
+        if 3 <= len(part) <= op.LONGEST_WORD:
+            word, plain = lower(part), lower(part).translate(op._LEET)
+            if word in ranks:
+                yield math.log2(ranks[word]) + op.case_bits(part)
+            elif plain in ranks:
+                yield math.log2(ranks[plain]) + op.case_bits(part) + sum(a != b for a, b in zip(word, plain))
+        yield from (bits for end, bits in op.dates(value, i) if end == j)
+        for p in range(1, op.LONGEST_UNIT + 1) if repeats else ():
+            n = 1
+            while value[i + n * p : i + n * p + p] == value[i : i + p] and len(value[i : i + p]) == p:
+                n += 1
+            if i + n * p == j and n >= (3 if p == 1 else 2):
+                yield guess_bits(value[i : i + p], ranks, op, False) + math.log2(n)
+
+    best = [0.0]
+    for j in range(1, len(value) + 1):
+        best.append(min(best[i] + math.log2(5) + bits for i in range(j) for bits in segment(i, j)))
+    return best[-1]
+
+
+# 12: alignment
+
+def alignment(rows, ids_a, ids_b, bytes_a, bytes_b):
+    """Rows of the query from two functions that give a text's ids and two that give an id's bytes."""
+    seen, count = [], Counter()
+    for i, text in rows:
+        a, b = (ids_a(" " + text), ids_b(text)) if text else ([], [])
+        if text and not (b"".join(map(bytes_a, a)) == b"".join(map(bytes_b, b)) == (" " + text).encode()):
+            a, b = [], []
+        spans = []
+        for ids, size in ((a, bytes_a), (b, bytes_b)):
+            end = list(accumulate(len(size(k)) for k in ids))
+            spans.append([(e - len(size(k)), e, k) for e, k in zip(end, ids)])
+        cuts = sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]})
+        groups = [[[], []] for _ in cuts]
+        for which, side in enumerate(spans):
+            at = 0
+            for _, e, k in side:
+                groups[at][which].append(k)
+                at += e == cuts[at]
+        links = [(x, y) for s, e, x in spans[0] for t, u, y in spans[1] if s < u and t < e] if len(text or "") < 3000 else _links(*spans)
+        count.update(set(links))
+        said = ";".join("|".join(",".join(map(str, side)) for side in g) for g in groups)
+        seen.append((i, len(a), len(b), len(groups), links, sha(said) if a else ""))
+    most = defaultdict(int)
+    for (x, _), n in count.items():
+        most[x] = max(most[x], n)
+    return [
+        (i, n_a, n_b, n_g, len(links), sum(count[k] == most[k[0]] for k in links), sum(count[k] for k in links), digest)
+        for i, n_a, n_b, n_g, links, digest in seen
+    ]
+
+
+def _links(a, b):
+    """Overlapping tokens of two tilings, walking both."""
+    i = j = 0
+    out = []
+    while i < len(a) and j < len(b):
+        out.append((a[i][2], b[j][2]))
+        i, j = i + (a[i][1] <= b[j][1]), j + (b[j][1] <= a[i][1])
+    return out
+
+
+# 13: collocations
+
+def collocations(rows, least=100, top=2000, longest=5):
+    """Rows of the query from ``(lang, text)``."""
+    count, total = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            total[lang] += len(w)
+            count.update((lang, *w[i : i + k]) for k in range(1, longest + 1) for i in range(len(w) - k + 1))
+    frequent = {p: n for p, n in count.items() if n >= least}
+    inside = defaultdict(int)
+    for p, n in frequent.items():
+        for k in range(2, len(p) - 1):
+            for i in range(1, len(p) - k + 1):
+                key = (p[0], *p[i : i + k])
+                inside[key] = max(inside[key], n)
+    found = defaultdict(list)
+    for (lang, *w), a in frequent.items():
+        if len(w) < 2 or inside[lang, *w] >= a:
+            continue
+        n = total[lang]
+        cuts = [(1000 * a * n // (count[lang, *w[:k]] * count[lang, *w[k:]]), k) for k in range(1, len(w))]
+        score, k = min(cuts)
+        found[lang].append((-score, -a, " ".join(w).encode(), count[lang, *w[:k]], count[lang, *w[k:]], n))
+    return [
+        (lang, rank, p.decode(), -a, l, r, n, -score)
+        for lang in sorted(found)
+        for rank, (score, a, p, l, r, n) in enumerate(sorted(found[lang])[:top], 1)
+    ]

@@ -68,3 +68,14 @@ def test_slot_table_finds_all_keys_and_no_others():
     assert (table(keys[::2]) == np.arange(len(keys[::2])) + 1).all()
     assert (table(keys[1::2]) == 0).all()
     assert (Table(keys[:0], np.empty(0))(keys[:5]) == 0).all()
+
+
+def test_base_score_in_numbers(spark):
+    """Five training tokens of three kinds: a twice, b once, two ends."""
+    assert [brute.fold(i, 7, 2) for i in (0, 1, 2)] == [False, True, False]
+    rows = [(0, "a b"), (2, "A"), (1, "b new")]
+    got = {r.doc_id: r for r in op1_context_tree.score(documents(spark, rows)).collect()}
+    assert got[0].train_tokens == 5
+    assert got[0].base_score == pytest.approx(math.log10(3 / 9 * 2 / 9 * 3 / 9))
+    assert got[2].base_score == pytest.approx(math.log10(3 / 9 * 3 / 9))
+    assert got[1].base_score == pytest.approx(math.log10(2 / 9 * 1 / 9 * 3 / 9))
