@@ -28,13 +28,21 @@ TURNS_PER_BLOCK = 256
 def escape(text: Column) -> Column:
     """Text in which no control string can stand; ``unescape`` inverts it.
 
-    Tildes are doubled, so that only an escaped ``<|`` holds a single tilde between its signs.
+    Tildes are doubled, so that only an escape holds a single tilde: ``<~|`` is ``<|``, ``<~n`` a
+    newline of a role and ``<~e`` a ``<`` that ends a part.
     """
     return F.replace(F.replace(text, F.lit("~"), F.lit("~~")), F.lit("<|"), F.lit("<~|"))
 
 
 def unescape(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit("<~|"), F.lit("<|")), F.lit("~~"), F.lit("~"))
+    plain = F.replace(F.replace(text, F.lit("<~|"), F.lit("<|")), F.lit("<~e"), F.lit("<"))
+    return F.replace(plain, F.lit("~~"), F.lit("~"))
+
+
+def escape_part(text: Column, followed: Column) -> Column:
+    """Text of one part; where another part follows, a ``<`` at its end cannot begin a control string there."""
+    escaped = escape(text)
+    return F.when(followed & F.endswith(escaped, F.lit("<")), F.concat(escaped, F.lit("~e"))).otherwise(escaped)
 
 
 def escape_role(role: Column) -> Column:
@@ -57,8 +65,8 @@ def text_parts(conversations: DataFrame) -> DataFrame:
     return conversations.select("conv_id", "turn", "role", F.array(part).alias("parts"))
 
 
-def _visit(part: Column) -> Column:
-    """One part as ``piece, is_text, kind, ref, tokens``."""
+def _visit(part: Column, followed: Column) -> Column:
+    """One part as ``piece, is_text, kind, ref, tokens``; ``followed`` if it is not the turn's last."""
     attached = F.coalesce(part["kind"].isin(*TOKENS_PER_UNIT), F.lit(False))
     rate = F.lit(0.0)
     for kind, tokens in TOKENS_PER_UNIT.items():
@@ -66,7 +74,7 @@ def _visit(part: Column) -> Column:
     holder = F.concat(F.lit("<|"), part["kind"], F.lit("|>"))
     return F.struct(
         F.when(attached, holder)
-        .otherwise(escape(F.coalesce(part["text"], F.lit(""))))
+        .otherwise(escape_part(F.coalesce(part["text"], F.lit("")), followed))
         .alias("piece"),
         (~attached).alias("is_text"),
         part["kind"].alias("kind"),
@@ -79,12 +87,13 @@ def _turn_rows(turns: DataFrame) -> DataFrame:
     """Each turn as its formatted string, loss spans inside it, and its attachments."""
     role = F.coalesce("role", F.lit(""))
     head = F.concat(escape_role(role), F.lit("\n"))
+    parts = F.coalesce("parts", F.array().cast(PART_TYPE))
     visited = turns.select(
         "conv_id",
         "turn",
         role.alias("role"),
         head.alias("head"),
-        F.transform(F.coalesce("parts", F.array().cast(PART_TYPE)), _visit).alias("seen"),
+        F.transform(parts, lambda p, i: _visit(p, i + 1 < F.size(parts))).alias("seen"),
     )
     begins = F.transform(
         "seen",
