@@ -1,9 +1,10 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
-1. Tokens of labelled training documents are counted per class. A token's score is the lower
-   confidence bound of its log-odds between toxic and clean text under a Dirichlet prior in
-   proportion to the background counts, less a drift, so that clean text scores below zero on
-   average. Tokens without proof of toxicity cost the drift. Exact copies of a text count once.
+1. Tokens of labelled training documents are counted per class. A token's score is the end nearer to
+   zero of the confidence interval of its log-odds between toxic and clean text, or zero inside it,
+   under a Dirichlet prior in proportion to the background counts, less a drift, so that clean text
+   scores below zero on average. Tokens without proof cost the drift, tokens of clean text more.
+   Exact copies of a text count once.
 2. A linear-time scan of each text finds every maximal segment: those that no shorter or longer
    segment around them beats. Scores of the best segments of clean text follow an extreme-value law
    in ``lambda`` (the root of the moment equation over clean tokens), ``K`` and the text's length,
@@ -51,7 +52,7 @@ LABELS_SENT = 1_000_000
 
 @dataclass(frozen=True)
 class Model:
-    """Scores of the tokens above the drift, the extreme-value law and the curve."""
+    """Scores of the tokens with proof for a class, the extreme-value law and the curve."""
 
     cells: np.ndarray
     scores: np.ndarray
@@ -109,7 +110,8 @@ def scored_cells(counts: DataFrame) -> tuple[DataFrame, int, int]:
     log_odds = lambda y, n: F.log((y + own) / (n + prior - y - own))
     delta = log_odds(F.col("toxic"), F.lit(n_toxic)) - log_odds(F.col("clean"), F.lit(n_clean))
     spread = F.sqrt(1 / (F.col("toxic") + own) + 1 / (F.col("clean") + own))
-    bound = F.greatest(F.lit(0.0), delta - DEVIATIONS * spread)
+    above = F.greatest(F.lit(0.0), delta - DEVIATIONS * spread)
+    bound = above + F.least(F.lit(0.0), delta + DEVIATIONS * spread)
     return counts.withColumn("score", bound), n_toxic, n_clean
 
 
@@ -128,26 +130,33 @@ def decay_of(scores: np.ndarray, chances: np.ndarray) -> float:
 def segments(gains: np.ndarray, at: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments ``(first token, last token, score)`` of one text.
 
-    ``gains`` are the scores of the tokens above the drift, at positions ``at``; every other token
-    costs the drift. One pass keeps the candidates so far with the total before and after each; a
-    candidate joins back to the last one that starts lower while that reaches less far up.
+    ``gains`` are the scores less the drift of the tokens the model knows, at positions ``at``; every
+    other token costs the drift. One pass keeps the candidates so far with the total before and after
+    each and a link to the last one before it that starts lower. A new candidate follows the links to
+    one that starts lower than itself and joins back to it if that reaches less far up; if none starts
+    lower, no later token can join the candidates so far, so they are done. Each step of a search
+    skips or removes candidates, so the time grows with the number of tokens.
     """
-    found: list[tuple[int, int, float, float]] = []
-    total, last = 0.0, -1
-    for gain, i in zip(gains.tolist(), at.tolist(), strict=True):
-        left = total - DRIFT * (i - last - 1)
-        total, last = left + gain, i
-        new = (i, i, left, total)
+    found: list[tuple[int, int, float]] = []
+    held: list[tuple[int, int, float, float, int]] = []
+    after = np.cumsum(gains) - DRIFT * (at - np.arange(len(at)))
+    up = np.flatnonzero(gains > 0)
+    for i, begin, total in zip(at[up].tolist(), (after - gains)[up].tolist(), after[up].tolist(), strict=True):
+        first, k = i, len(held) - 1
         while True:
-            k = len(found) - 1
-            while k >= 0 and found[k][2] >= new[2]:
-                k -= 1
-            if k < 0 or found[k][3] >= new[3]:
-                found.append(new)
+            while k >= 0 and held[k][2] >= begin:
+                k = held[k][4]
+            if k < 0:
+                found += [(a, b, right - low) for a, b, low, right, _ in held]
+                held = [(first, i, begin, total, -1)]
                 break
-            new = (found[k][0], i, found[k][2], new[3])
-            del found[k:]
-    return [(a, b, right - left) for a, b, left, right in found]
+            if held[k][3] >= total:
+                held.append((first, i, begin, total, k))
+                break
+            first, _, begin, _, link = held[k]
+            del held[k:]
+            k = link
+    return found + [(a, b, right - low) for a, b, low, right, _ in held]
 
 
 def passages(texts: list[bytes], model: Model) -> tuple[np.ndarray, list[list[dict]]]:
@@ -281,11 +290,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     none = Model(np.empty(0, np.int64), np.empty(0))
     if not n_toxic or not n_clean:
         return none
-    above = counts.where(F.col("score") > DRIFT).orderBy("cell").toArrow()  # CELLS rows at most
-    scores = above["score"].to_numpy() - DRIFT
-    chances = above["clean"].to_numpy() / n_clean
+    proven = counts.where(F.col("score") != 0).orderBy("cell").toArrow()  # CELLS rows at most
+    scores = proven["score"].to_numpy() - DRIFT
+    chances = proven["clean"].to_numpy() / n_clean
     spread = np.append(scores, -DRIFT), np.append(chances, 1 - chances.sum())
-    model = Model(above["cell"].to_numpy(), scores, decay_of(*spread))
+    model = Model(proven["cell"].to_numpy(), scores, decay_of(*spread))
     seen = pin(scan(labelled, model, ["toxic"]), "segments")
     log_k = extreme_value_offset(seen, model.decay)
     model = Model(model.cells, model.scores, model.decay, log_k)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import time
 import random
 
 import brute
@@ -30,6 +31,22 @@ def toxic_table(spark, n=260):
     return documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
+def test_segments_take_linear_time():
+    """Gains on a falling trend, on a rising one, and peaks that later ones join back to."""
+    def seconds(n):
+        at = np.arange(n)
+        falling = np.full(n, 0.1), at * 2
+        rising = np.full(n, 1.0), at * 2
+        waves = np.where(at % 2 == 0, 1.0, -1.0 - 1e-6 * at), at
+        start = time.perf_counter()
+        for gains, places in (falling, rising, waves):
+            op3_toxicity.segments(gains, places)
+        return time.perf_counter() - start
+
+    seconds(10_000)
+    assert seconds(200_000) < 4 * min(seconds(100_000) for _ in range(2))
+
+
 def test_segments_are_the_maximal_ones():
     draw = random.Random(4)
     for _ in range(400):
