@@ -112,22 +112,35 @@ judged as (
 good as (
   select doc_id from labels where quality is not null group by doc_id having min(quality) = 1),
 counts as (
-  select lang as stratum, rule, step, cutoff, count(*) as n,
-         count(*) filter ({_VALUE} > cutoff) as k
+  select lang as stratum, rule, step, cutoff, count(*) filter (not base_failed) as n,
+         count(*) filter (not base_failed and {_VALUE} > cutoff) as k
   from judged join good using (doc_id), (values {_TESTS}) as t(rule, step, cutoff)
-  where not base_failed group by all),
+  group by all),
+total as (
+  select count(*) + {len(CUTOFFS)} as n_tests from (select distinct stratum, rule from counts)),
+sized as (
+  select counts.*, n_tests, n > 0 and n * ln(1 - {MAX_FALSE_REJECTION}) + ln(n_tests) > ln({ERROR}) as small
+  from counts, total),
+pooled as (
+  select small, case when not small then stratum end as own, rule, step, cutoff, n_tests,
+         cast(sum(n) as bigint) as n, cast(sum(k) as bigint) as k
+  from sized group by all),
 tested as (
   select *, case when k <= n * {MAX_FALSE_REJECTION} then
       list_sum(list_transform(range(0, k + 1), lambda i: exp(
         lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
         + i * ln({MAX_FALSE_REJECTION}) + (n - i) * ln(1 - {MAX_FALSE_REJECTION})))) else 1 end
-      * (select count(*) from (select distinct stratum, rule from counts)) <= {ERROR} as passed
-  from counts),
-chosen as (
-  select stratum, rule, min(cutoff) as cutoff from tested t
+      * n_tests <= {ERROR} as passed
+  from pooled),
+reached as (
+  select small, own, rule, min(cutoff) as cutoff from tested t
   where step < coalesce((select min(step) from tested f where not f.passed and f.rule = t.rule
-                         and f.stratum is not distinct from t.stratum), 1000000)
-  group by stratum, rule),
+                         and f.small = t.small and f.own is not distinct from t.own), 1000000)
+  group by all),
+chosen as (
+  select distinct stratum, reached.rule, reached.cutoff
+  from sized join reached on reached.rule = sized.rule and reached.small = sized.small
+    and reached.own is not distinct from case when not sized.small then sized.stratum end),
 ruled as (
   select *, list_filter([{_BROKEN}], lambda x: x is not null) as broken from judged)
 select doc_id, n_words, cast(word_chars as bigint) as word_chars, n_symbols, n_dup_lines,

@@ -61,6 +61,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = op7_quality_rules.quality_rules(
         read(spark, sf_dir, "documents").select("doc_id", "lang", "text"),
         read(spark, sf_dir, "labels"),
+        pooled=True,
     )
     return op7_quality_rules.digest(judged)
 
