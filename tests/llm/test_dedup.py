@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import brute
 import pytest
 from corpora import documents, plain, texts
@@ -83,13 +85,52 @@ def test_components_of_paths_and_stars(spark):
 
 def test_suffix_dedup_on_hard_cases(spark, small_buckets):
     removed = op5_suffix_dedup.remove_repeats(documents(spark))
-    assert rows_of(op5_suffix_dedup.digest(removed)) == plain(brute.suffix_dedup(texts()))
+    assert rows_of(op5_suffix_dedup.digest(removed)) == suffix_rows(texts(), 400)
 
 
 def test_suffix_dedup_on_the_given_table(spark, sf_dir, small_buckets):
     docs, rows = given(spark, sf_dir)
     found = op5_suffix_dedup.digest(op5_suffix_dedup.remove_repeats(docs))
-    assert rows_of(found) == plain(brute.suffix_dedup(rows))
+    assert rows_of(found) == suffix_rows(rows, 400)
+
+
+@pytest.mark.parametrize("length", [40, 200, 777])
+def test_suffix_dedup_of_other_lengths(spark, small_buckets, length):
+    removed = op5_suffix_dedup.remove_repeats(documents(spark), length=length)
+    assert rows_of(op5_suffix_dedup.digest(removed)) == suffix_rows(texts(), length)
+
+
+def suffix_rows(rows, length):
+    """The plain version's rows with the bytes that repeated cover samples cover."""
+    cover = op5_suffix_dedup.Cover.of(length)
+    size, counts, covered = cover.reach, Counter(), []
+    at = [
+        [k for k in range(len(t) - size + 1) if cover.sampled[k % cover.period]]
+        for t in ((t or "").encode() for _, t in rows)
+    ]
+    for (_, t), places in zip(rows, at, strict=True):
+        raw = (t or "").encode()
+        counts.update(raw[k : k + size] for k in places)
+    for (_, t), places in zip(rows, at, strict=True):
+        raw = (t or "").encode()
+        marks = bytearray(len(raw))
+        for k in places:
+            if counts[raw[k : k + size]] > 1:
+                marks[k : k + size] = b"\1" * size
+        covered.append(sum(marks))
+    found = brute.suffix_dedup(rows, length)
+    return plain((*row, n) for row, n in zip(found, covered, strict=True))
+
+
+def test_no_passage_of_over_50_words_is_left_in_two_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    left = op5_suffix_dedup.cleaned(op2_minhash.one_of_each(docs)).collect()
+    seen = {}
+    for r in left:
+        w = brute.words(r.text)
+        for k in range(len(w) - 50):
+            seen.setdefault(tuple(w[k : k + 51]), set()).add(r.doc_id)
+    assert not [p for p, ids in seen.items() if len(ids) > 1]
 
 
 def test_cleaned_returns_the_columns_and_whole_letters(spark):
@@ -104,8 +145,11 @@ def test_cleaned_returns_the_columns_and_whole_letters(spark):
 
 
 def test_difference_cover_spans_every_shift():
-    cover, period = op5_suffix_dedup.COVER, op5_suffix_dedup.PERIOD
-    assert {(a - b) % period for a in cover for b in cover} == set(range(period))
+    for length in (30, 200, 400, 5000):
+        cover = op5_suffix_dedup.Cover.of(length)
+        places = [k for k in range(cover.period) if cover.sampled[k]]
+        assert {(a - b) % cover.period for a in places for b in places} == set(range(cover.period))
+        assert cover.reach >= length // 2 or length < 146
 
 
 def test_substring_dedup_on_hard_cases(spark, small_buckets):
