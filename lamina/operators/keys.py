@@ -1,17 +1,20 @@
-"""Dense surrogate keys without pulling a table into one task."""
+"""Dense surrogate keys without pulling a table into one task or evaluating it twice."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lamina.operators.staging import stage
+from lamina.operators.staging import delete, stage, staged_path, stored_bytes
 
 ROW = "_row"
 _TIE = "_tie"
+_PLACE = "_place"
+_LEVEL = "_level"
 _POS = "_pos"
 _SLICE = "_slice"
 _BEFORE = "_before"
@@ -19,6 +22,18 @@ _BEFORE = "_before"
 _SLICE_SHIFT = 33
 _POS_MASK = (1 << _SLICE_SHIFT) - 1
 
+#: Stored bytes of the rows that one task sorts.
+SLICE_BYTES = 64 * 1024 * 1024
+#: Each level of the sample holds one row in eight of the level below; level 0 is the table.
+LEVELS, LEVEL_BITS = 6, 3
+#: Rows that place the bounds of one slice: the sample used holds so many a slice, or up to eight times that.
+SAMPLE = 32
+#: Times keep their microseconds.
+_TEXT = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def tag_rows(stored: DataFrame) -> DataFrame:
     """Number the rows of a stored table so that exact copies can be told apart.
@@ -35,31 +50,50 @@ def dense_key(
     order_by: Sequence[str],
     keep: Sequence[str] | None = None,
     slices: int | None = None,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """``key`` = 1..N in the order of ``order_by`` (SQL expressions, NULLs last), then ``keep``.
 
     Rows that ``order_by`` leaves equal follow hashes of their kept values, then the row
-    number of ``tag_rows``, which is dropped. ``slices`` is the number of tasks that sort; left
-    out, it is the session's shuffle partitions, of which adaptive execution merges small ones. ``keep`` defaults to every column. The rows are
-    range-partitioned on that whole list, so a value that fills a third of the table, or a
-    third of the table being copies of one row, still spreads over many tasks; the list stays
-    narrow because the driver samples it to place the ranges. Each slice is numbered while it
-    is written to a staged table; beyond the sample the driver sees one count per slice.
+    number of ``tag_rows``, which is dropped. ``keep`` defaults to every column.
+
+    ``df`` is evaluated once: its rows are staged, and while they are written each gets a level, so
+    that the rows of level j and above are a sample of one in 8^j, in files of their own. The sample
+    of the right size places the bounds of the slices, and the staged rows are dealt to their slices,
+    sorted and numbered while they are staged again in order. The number of slices follows from the
+    bytes that were staged, ``slice_bytes`` each, unless ``slices`` says it.
+
+    The bounds are on the whole sort list, which ends with the place of the row in the staged table.
+    So a value that fills a third of the table, or a third of the table being copies of one row,
+    still spreads over many slices. The driver sees one count per level and per slice.
     """
+    spark = df.sparkSession
     columns = df.columns
     kept = [c for c in columns if c != ROW] if keep is None else list(keep)
-    ordering = [*order_by, _TIE, *([ROW] if ROW in columns else [])]
+    ordering = [*order_by, _TIE, *([ROW] if ROW in columns else []), _PLACE]
 
     # A hash skips NULLs, so each column goes in with its NULL mark.
     marked = ", ".join(f"{c}, {c} is null" for c in kept)
-    tied = df.selectExpr("*", f"struct(xxhash64({marked}), hash({marked})) as {_TIE}")
-    sort = [F.expr(expression).asc_nulls_last() for expression in ordering]
+    tied = df.selectExpr(
+        "*",
+        f"struct(xxhash64({marked}), hash({marked})) as {_TIE}",
+        f"monotonically_increasing_id() as {_PLACE}",
+    )
+    rows, path, counts = _stage_levels(tied, f"rows-{key}")
     if slices is None:
-        in_order = tied.orderBy(*sort)
+        slices = max(1, math.ceil(stored_bytes(spark, path) / slice_bytes))
+    sort = [F.expr(expression).asc_nulls_last() for expression in ordering]
+    if slices == 1:
+        dealt = rows.coalesce(1)
     else:
-        in_order = tied.repartitionByRange(slices, *sort).sortWithinPartitions(*sort)
-    numbered = in_order.selectExpr(*kept, f"monotonically_increasing_id() as {_POS}")
-    staged = stage(numbered, f"key-{key}")
+        whole = _order_key(ordering)
+        enough = [j for j in range(LEVELS + 1) if counts[j] >= SAMPLE * slices]
+        sample = rows.where(F.col(_LEVEL) >= max(enough, default=0))
+        dealt = rows.withColumn(_SLICE, _slice_of(whole, _bounds(sample, whole, slices), slices))
+        dealt = dealt.repartitionById(slices, F.col(_SLICE))
+    in_order = dealt.sortWithinPartitions(*sort)
+    staged = stage(in_order.selectExpr(*kept, f"monotonically_increasing_id() as {_POS}"), f"key-{key}")
+    delete(spark, path)
     within = f"({_POS} & {_POS_MASK}) + 1"
     before = F.broadcast(_rows_before(staged))
     return (
@@ -69,6 +103,55 @@ def dense_key(
     )
 
 
+def _stage_levels(df: DataFrame, label: str) -> tuple[DataFrame, str, list[int]]:
+    """The rows staged with their level, where they are, and how many have each level or a higher one."""
+    spark = df.sparkSession
+    drawn = F.xxhash64(_PLACE)
+    masks = [(1 << LEVEL_BITS * j) - 1 for j in range(1, LEVELS + 1)]
+    level = sum((drawn.bitwiseAND(F.lit(m)) == 0).cast("int") for m in masks)
+    leveled = df.withColumn(_LEVEL, level)
+    seen = Observation()
+    counts = [F.count_if(F.col(_LEVEL) >= j).alias(f"n{j}") for j in range(LEVELS + 1)]
+    path = staged_path(spark, label)
+    # One folder a level: a later read of a sample opens no file of the other rows.
+    leveled.observe(seen, *counts).write.partitionBy(_LEVEL).parquet(path)
+    found = seen.get
+    rows = spark.read.schema(leveled.schema).parquet(path)
+    return rows, path, [found[f"n{j}"] for j in range(LEVELS + 1)]
+
+
+def _order_key(ordering: Sequence[str]) -> Column:
+    """The sort list as one value; NULL marks first, because a struct sorts NULLs low."""
+    parts = [e for o in ordering for e in (f"{o} is null", o)]
+    return F.struct(*[F.expr(e).alias(f"k{n}") for n, e in enumerate(parts)])
+
+
+def _bounds(sample: DataFrame, whole: Column, slices: int) -> Column:
+    """Where slices 1, 2, ... begin, as one constant.
+
+    The bounds cross the driver as text. Whatever a type loses on that way moves a bound a little
+    and no row out of order.
+    """
+    keys = sample.agg(F.sort_array(F.collect_list(whole)).alias("keys"))
+    picks = F.expr(
+        f"filter(transform(sequence(1, {slices - 1}), k -> get(keys, cast(k * size(keys) div {slices} as int))),"
+        " b -> b is not null)"
+    )
+    picked = keys.select(picks.alias("bounds"))
+    text = picked.select(F.to_json("bounds", _TEXT)).first()[0]
+    kind = picked.schema["bounds"].dataType
+    return F.sort_array(F.from_json(F.lit(text), kind, _TEXT))
+
+
+def _slice_of(whole: Column, bounds: Column, slices: int) -> Column:
+    """How many bounds a row has reached: first among every n-th bound, then among the n after it."""
+    step = math.isqrt(slices - 1) + 1
+    coarse = F.filter(bounds, lambda b, i: ((i + 1) % step == 0) & (b <= whole))
+    passed = F.size(coarse) * step
+    fine = F.filter(F.slice(bounds, passed + 1, F.lit(step - 1)), lambda b: b <= whole)
+    return passed + F.size(fine)
+
+
 def _rows_before(staged: DataFrame) -> DataFrame:
     """Rows in earlier slices, per slice: one line for each task that wrote the table."""
     counts = (

@@ -8,6 +8,9 @@ runs again. The folder is the one the session names for checkpoints: its
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from threading import local
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,14 +35,47 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{staging_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_scopes = local()
+
+
+@contextmanager
+def noting_staged() -> Iterator[list[str]]:
+    """The paths that this thread stages while the block runs, for release when they are read.
+
+    A block inside another notes its own paths only.
+    """
+    outer = getattr(_scopes, "paths", None)
+    _scopes.paths = []
+    try:
+        yield _scopes.paths
+    finally:
+        _scopes.paths = outer
+
+
+def staged_path(spark: SparkSession, label: str) -> str:
+    """A new path that the innermost ``noting_staged`` block of this thread gets to know."""
+    path = new_path(spark, label)
+    noted = getattr(_scopes, "paths", None)
+    if noted is not None:
+        noted.append(path)
+    return path
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the rows to a fresh staged table and read them back."""
     spark = df.sparkSession
-    path = new_path(spark, label)
+    path = staged_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files of a stored table, asked of its file system in one call."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(folder).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Delete a folder of the shared store.
 
@@ -51,13 +87,10 @@ def delete(spark: SparkSession, path: str) -> bool:
     return files.delete(folder, True)
 
 
-def release_inputs(df: DataFrame, label: str) -> None:
-    """Delete the staged tables with this label that ``df`` reads, once its rows are stored."""
-    spark = df.sparkSession
-    start = f"/lamina/{spark.sparkContext.applicationId}/{label}"
-    folders = {file.rpartition("/")[0] for file in df.inputFiles() if start in file}
-    for folder in folders:
-        delete(spark, folder)
+def release(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for path in paths:
+        delete(spark, path)
 
 
 def release_staging(spark: SparkSession) -> bool:

@@ -7,10 +7,18 @@ from pyspark.sql import DataFrame
 from lamina.functions.timing import hours_sql
 from lamina.operators.dimensions import catalog_dim, project
 from lamina.operators.marts import restrict
-from lamina.operators.metrics import entity_metrics
+from lamina.operators.metrics import activity, with_measures
 from lamina.operators.signals import Rule, unify
 from lamina.plans.base import Lookup, Scoring, Table, Warehouse
-from lamina.plans.hr import EMPLOYEE, LOAD, control_report, same, signal_report, yes
+from lamina.plans.hr import (
+    EMPLOYEE,
+    LOAD,
+    control_report,
+    same,
+    signal_activity,
+    signal_report,
+    yes,
+)
 
 # Catalogue labels, sensitive classes, signal codes and names, weights, bands.
 SYSTEM_CATALOG = "access_system_catalog"
@@ -219,16 +227,14 @@ SIGNAL_METRICS = {
 
 def _snapshot(wh: Warehouse) -> DataFrame:
     employees = wh.table("hr.dim_hr_employee").where("is_current_flag").select("employee_id")
-    metrics = entity_metrics(
-        employees,
-        "employee_id",
-        [
-            (wh.rows("access.fct_employee_account"), ACCOUNT_METRICS),
-            (wh.rows("access.fct_employee_role_assignment"), ROLE_METRICS),
-            (wh.rows("access.fct_employee_login_event"), LOGIN_METRICS),
-            (wh.rows("access.fct_employee_access_signal"), SIGNAL_METRICS),
-        ],
-    )
+    events = [
+        ("access.fct_employee_account", ACCOUNT_METRICS),
+        ("access.fct_employee_role_assignment", ROLE_METRICS),
+        ("access.fct_employee_login_event", LOGIN_METRICS),
+    ]
+    counted = [(activity(wh.rows(t), "employee_id", metrics), list(metrics)) for t, metrics in events]
+    signals = (wh.activity("access.agg_employee_signal"), list(SIGNAL_METRICS))
+    metrics = with_measures(employees, "employee_id", [*counted, signals])
     return wh.run.stamp(ACCESS.apply(metrics), "access.fct_employee_access_snapshot")
 
 
@@ -239,8 +245,7 @@ def _control_report(wh: Warehouse) -> DataFrame:
         "has_external_transfer_flag": "external_transfer_cnt",
         "has_blocked_network_flag": "blocked_network_cnt",
     }
-    snapshot = wh.rows("access.fct_employee_access_snapshot")
-    return control_report(wh, snapshot, wh.rows("access.fct_employee_access_signal"), flags)
+    return control_report(wh, "access.fct_employee_access_snapshot", "access.agg_employee_signal", flags)
 
 
 def _exceptions(wh: Warehouse) -> DataFrame:
@@ -255,24 +260,35 @@ def _exceptions(wh: Warehouse) -> DataFrame:
 TABLES = {
     "access.dim_access_system": Table(_systems, "access_system_id", ("system_code",)),
     "access.dim_access_role": Table(_roles, "access_role_id", ("system_code", "role_code")),
-    "access.fct_employee_account": Table(_accounts, "employee_account_id", ("source_account_id",)),
+    "access.fct_employee_account": Table(
+        _accounts, "employee_account_id", ("source_account_id",), optional=("employee_id",)
+    ),
     "access.fct_employee_role_assignment": Table(
         _role_assignments,
         "employee_role_assignment_id",
         ("source_role_assignment_id", "assigned_at"),
+        optional=("employee_id",),
     ),
     "access.fct_employee_login_event": Table(
-        _logins, "employee_login_event_id", ("source_login_event_id", "login_dttm")
+        _logins,
+        "employee_login_event_id",
+        ("source_login_event_id", "login_dttm"),
+        optional=("employee_id",),
     ),
     "access.fct_employee_access_signal": Table(
         _signals,
         "employee_access_signal_id",
         ("signal_source_type", "source_event_id", "signal_dttm", "signal_value_num"),
+        optional=("employee_id",),
     ),
     "access.fct_employee_access_snapshot": Table(
         _snapshot, "employee_access_snapshot_id", ("employee_id",)
     ),
 }
 
+ACTIVITIES = {
+    "access.agg_employee_signal": signal_activity("access.fct_employee_access_signal", SIGNAL_METRICS, "signal_dttm"),
+}
+
 MARTS = {"access.employee_access_control_report": _control_report}
 VIEWS = {"access.v_privileged_access_exceptions": _exceptions}

@@ -14,6 +14,7 @@ from lamina.functions.scoring import band, score
 from lamina.operators.keys import ROW, dense_key
 from lamina.operators.lookups import lookup
 from lamina.operators.parallel import side_by_side
+from lamina.operators.staging import noting_staged, release, stage
 from lamina.sources.schemas import conform, table_schema
 
 # The constants of one build run.
@@ -87,12 +88,15 @@ class Table:
 
     ``order`` may go on past the natural key with a few columns that tell apart records
     sharing one, such as the versions of a department or two payments under one number.
+    ``optional`` names foreign keys that the layout requires and that orphans, which are kept,
+    leave NULL.
     """
 
     rows: Callable[[Warehouse], DataFrame]
     key: str
     order: tuple[str, ...]
     finish: Callable[[DataFrame], DataFrame] | None = None
+    optional: tuple[str, ...] = ()
 
 
 Build = Callable[["Warehouse"], DataFrame]
@@ -103,8 +107,10 @@ class Warehouse:
     """Builds tables on demand from raw tables, each once.
 
     ``raw`` gives a stored raw table by name. ``rows`` gives a table without paying for its
-    surrogate key; ``table`` gives it keyed and in its stored layout. With ``store``, every
-    table is handed to it when built, and later steps read what it returns.
+    surrogate key; ``table`` gives it keyed and in its stored layout. ``activity`` gives what one
+    pass over an event table says of each entity, for every step that needs a part of it. With
+    ``store``, every table and activity is handed to it when built, and later steps read what it
+    returns; what was staged for it is deleted then.
     """
 
     def __init__(
@@ -114,6 +120,7 @@ class Warehouse:
         reports: Mapping[str, Build],
         run: Run | None = None,
         store: Store | None = None,
+        activities: Mapping[str, Build] | None = None,
     ) -> None:
         self.raw = raw
         self.run = run or Run()
@@ -122,7 +129,8 @@ class Warehouse:
         self._store = store
         self._rows: dict[str, DataFrame] = {}
         self._tables: dict[str, DataFrame] = {}
-        self._locks = {name: RLock() for name in tables}
+        self._activities = activities or {}
+        self._locks = {name: RLock() for name in (*tables, *self._activities)}
 
     def adopt(self, name: str, stored: DataFrame) -> None:
         """Read a table from where it has been written instead of building it."""
@@ -148,10 +156,34 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         with self._locks[name]:
             if name not in self._tables:
-                built = self._keyed(name)
-                self._tables[name] = built if self._store is None else self._store(name, built)
+                self._tables[name] = self._stored(name, lambda: self._keyed(name))
             return self._tables[name]
 
+    def activity(self, name: str, pinned: bool = False) -> DataFrame:
+        """One row per entity with all its measures of an event table, computed once.
+
+        A warehouse without ``store`` plans it anew for every reader, unless one asks for it
+        ``pinned``, before the others: then all read what that one stages.
+        """
+        with self._locks[name]:
+            if name in self._tables:
+                return self._tables[name]
+            if self._store is None and not pinned:
+                return self._activities[name](self)
+            kept = (lambda df: stage(df, "activity")) if self._store is None else (lambda df: df)
+            self._tables[name] = self._stored(name, lambda: kept(self._activities[name](self)))
+            return self._tables[name]
+
+    def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The table that ``build`` gives, handed to ``store`` if there is one."""
+        if self._store is None:
+            return build()
+        with noting_staged() as paths:
+            built = build()
+            stored = self._store(name, built)
+        release(built.sparkSession, paths)
+        return stored
+
     def _keyed(self, name: str) -> DataFrame:
         plan = self._plans[name]
         rows = self._unkeyed(name)

@@ -8,11 +8,19 @@ from pyspark.sql import DataFrame
 
 from lamina.operators.dimensions import catalog_dim, project
 from lamina.operators.marts import restrict
-from lamina.operators.metrics import entity_metrics
+from lamina.operators.metrics import activity, with_measures
 from lamina.operators.signals import Rule, unify
 from lamina.plans.access import code_and_name
 from lamina.plans.base import Lookup, Scoring, Table, Warehouse
-from lamina.plans.hr import EMPLOYEE, LOAD, control_report, same, signal_report, yes
+from lamina.plans.hr import (
+    EMPLOYEE,
+    LOAD,
+    control_report,
+    same,
+    signal_activity,
+    signal_report,
+    yes,
+)
 
 # Catalogue labels, name prefix, signal codes and names, weights, divisors, bands.
 COST_CENTER_CATALOG = "finance_cost_center_catalog"
@@ -221,16 +229,14 @@ SIGNAL_METRICS = {
 
 def _snapshot(wh: Warehouse) -> DataFrame:
     employees = wh.table("hr.dim_hr_employee").where("is_current_flag").select("employee_id")
-    metrics = entity_metrics(
-        employees,
-        "employee_id",
-        [
-            (wh.rows("finance.fct_employee_expense"), EXPENSE_METRICS),
-            (wh.rows("finance.fct_employee_card_transaction"), CARD_METRICS),
-            (wh.rows("finance.fct_employee_advance_report"), ADVANCE_METRICS),
-            (wh.rows("finance.fct_employee_finance_signal"), SIGNAL_METRICS),
-        ],
-    )
+    events = [
+        ("finance.fct_employee_expense", EXPENSE_METRICS),
+        ("finance.fct_employee_card_transaction", CARD_METRICS),
+        ("finance.fct_employee_advance_report", ADVANCE_METRICS),
+    ]
+    counted = [(activity(wh.rows(t), "employee_id", metrics), list(metrics)) for t, metrics in events]
+    signals = (wh.activity("finance.agg_employee_signal"), list(SIGNAL_METRICS))
+    metrics = with_measures(employees, "employee_id", [*counted, signals])
     return wh.run.stamp(FINANCE.apply(metrics), "finance.fct_employee_finance_snapshot")
 
 
@@ -241,8 +247,7 @@ def _control_report(wh: Warehouse) -> DataFrame:
         "has_manual_payroll_adj_flag": "manual_payroll_adj_cnt",
         "has_urgent_vendor_payment_flag": "urgent_vendor_payment_cnt",
     }
-    snapshot = wh.rows("finance.fct_employee_finance_snapshot")
-    return control_report(wh, snapshot, wh.rows("finance.fct_employee_finance_signal"), flags)
+    return control_report(wh, "finance.fct_employee_finance_snapshot", "finance.agg_employee_signal", flags)
 
 
 def _suspicious_signals(wh: Warehouse) -> DataFrame:
@@ -278,5 +283,9 @@ TABLES = {
     ),
 }
 
+ACTIVITIES = {
+    "finance.agg_employee_signal": signal_activity("finance.fct_employee_finance_signal", SIGNAL_METRICS, "signal_dttm"),
+}
+
 MARTS = {"finance.employee_finance_control_report": _control_report}
 VIEWS = {"finance.v_employee_suspicious_expense_signals": _suspicious_signals}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lamina.functions.flags import yes_sql
 from lamina.operators.dimensions import catalog_dim, project, resolve_parent, snapshot_dim, versioned_dim
 from lamina.operators.marts import with_flags
-from lamina.operators.metrics import entity_metrics
+from lamina.operators.metrics import activity, with_measures
 from lamina.operators.signals import Rule, unify
 from lamina.plans.base import Lookup, Scoring, Table, Warehouse
 
@@ -176,28 +176,34 @@ def _signals(wh: Warehouse) -> DataFrame:
     return wh.resolve(unify(SIGNALS, wh.raw), EMPLOYEE)
 
 
+ABSENCE_METRICS = {
+    "absence_event_cnt": "count(*)",
+    "absence_days_total": "sum(duration_days)",
+}
+SIGNAL_METRICS = {
+    "overtime_hours_total": "sum(signal_value_num) filter (where signal_source_type = 'overtime')",
+    "dismissal_signal_cnt": "count_if(signal_source_type = 'dismissal_signal')",
+    "active_signal_cnt": "count_if(signal_status in ('ACTIVE', 'PENDING'))",
+}
+
+
+def signal_activity(signals: str, metrics: Mapping[str, str], moment: str) -> Callable[[Warehouse], DataFrame]:
+    """What one pass over a signal table says of each employee: its metrics and its last signal's time."""
+    measures = {**metrics, "last_signal_dttm": f"max({moment})"}
+    return lambda wh: activity(wh.rows(signals), "employee_id", measures)
+
+
 def _snapshot(wh: Warehouse) -> DataFrame:
     employees = wh.table("hr.dim_hr_employee").where("is_current_flag")
     base = project(
         employees,
         {**same("employee_id", "current_position_id"), "current_department_id": "department_id"},
     )
-    absences = {
-        "absence_event_cnt": "count(*)",
-        "absence_days_total": "sum(duration_days)",
-    }
-    signals = {
-        "overtime_hours_total": "sum(signal_value_num) filter (where signal_source_type = 'overtime')",
-        "dismissal_signal_cnt": "count_if(signal_source_type = 'dismissal_signal')",
-        "active_signal_cnt": "count_if(signal_status in ('ACTIVE', 'PENDING'))",
-    }
-    metrics = entity_metrics(
+    absences = activity(wh.rows("hr.fct_employee_absence"), "employee_id", ABSENCE_METRICS)
+    metrics = with_measures(
         base,
         "employee_id",
-        [
-            (wh.rows("hr.fct_employee_absence"), absences),
-            (wh.rows("hr.fct_employee_activity_signal"), signals),
-        ],
+        [(absences, list(ABSENCE_METRICS)), (wh.activity("hr.agg_employee_signal"), list(SIGNAL_METRICS))],
     )
     return wh.run.stamp(INSTABILITY.apply(metrics), "hr.fct_employee_hr_snapshot")
 
@@ -230,20 +236,16 @@ def with_person(facts: DataFrame, profile: DataFrame) -> DataFrame:
     return keyed.join(profile, F.expr("_employee_id = employee_id"), "left")
 
 
-def with_last_time(snapshot: DataFrame, signals: DataFrame, moment: str) -> DataFrame:
-    """Snapshot with the time of each employee's latest signal."""
-    latest = (
-        signals.where("employee_id is not null")
-        .groupBy("employee_id")
-        .agg(F.max(moment).alias("last_signal_dttm"))
-    )
-    return snapshot.join(latest, "employee_id", "left")
+def with_last_time(wh: Warehouse, snapshot: str, signals: str, dropped: Sequence[str] = ()) -> DataFrame:
+    """A snapshot with the time of each employee's latest signal, kept by the pass that counted them."""
+    latest = wh.activity(signals, pinned=True).where("employee_id is not null")
+    times = latest.select("employee_id", "last_signal_dttm")
+    return wh.rows(snapshot).drop(*dropped).join(times, "employee_id", "left")
 
 
-def control_report(
-    wh: Warehouse, snapshot: DataFrame, signals: DataFrame, flags: Mapping[str, str]
-) -> DataFrame:
+def control_report(wh: Warehouse, snapshot: str, signals: str, flags: Mapping[str, str]) -> DataFrame:
     """Snapshot with employee attributes, exceedance flags and the last signal time."""
+    timed = with_last_time(wh, snapshot, signals)
     profile = people(
         wh,
         ("employee_src_id", "employee_number", "tab_num", "full_name", "employment_status"),
@@ -257,7 +259,7 @@ def control_report(
             "region_name",
         ),
     )
-    return with_flags(with_person(with_last_time(snapshot, signals, "signal_dttm"), profile), flags)
+    return with_flags(with_person(timed, profile), flags)
 
 
 def signal_report(wh: Warehouse, signals: DataFrame, snapshot: DataFrame, position_name: str) -> DataFrame:
@@ -281,9 +283,10 @@ def signal_report(wh: Warehouse, signals: DataFrame, snapshot: DataFrame, positi
 
 
 def _profile_report(wh: Warehouse) -> DataFrame:
-    signals = wh.rows("hr.fct_employee_activity_signal")
     # The position shown is the employee's, not the one noted in the snapshot.
-    snapshot = wh.rows("hr.fct_employee_hr_snapshot").drop("current_position_id")
+    timed = with_last_time(
+        wh, "hr.fct_employee_hr_snapshot", "hr.agg_employee_signal", dropped=["current_position_id"]
+    )
     profile = people(
         wh,
         (
@@ -320,7 +323,7 @@ def _profile_report(wh: Warehouse) -> DataFrame:
         "has_overtime_flag": "overtime_hours_total",
         "has_dismissal_signal_flag": "dismissal_signal_cnt",
     }
-    return with_flags(with_person(with_last_time(snapshot, signals, "detected_at"), profile), flags)
+    return with_flags(with_person(timed, profile), flags)
 
 
 def _instability_signals(wh: Warehouse) -> DataFrame:
@@ -339,23 +342,37 @@ TABLES = {
         ("department_src_id", "effective_from", "coalesce(effective_to, date'2999-12-31')"),
         _department_parents,
     ),
-    "hr.dim_position": Table(_positions, "position_id", ("position_code",)),
+    # Records without a code share a catalogue row.
+    "hr.dim_position": Table(
+        _positions, "position_id", ("position_code",), optional=("position_code",)
+    ),
     "hr.dim_hr_employee": Table(_employees, "employee_id", ("employee_src_id",)),
     "hr.fct_employee_position_history": Table(
         _position_history,
         "employee_position_history_id",
         ("src_position_event_id", "effective_from"),
+        optional=("employee_id",),
     ),
     "hr.fct_employee_absence": Table(
-        _absences, "employee_absence_id", ("src_absence_event_id", "start_date", "duration_days")
+        _absences,
+        "employee_absence_id",
+        ("src_absence_event_id", "start_date", "duration_days"),
+        optional=("employee_id",),
     ),
     "hr.fct_employee_activity_signal": Table(
         _signals,
         "employee_activity_signal_id",
         ("signal_source_type", "source_event_id", "detected_at", "signal_value_num"),
+        optional=("employee_id",),
     ),
     "hr.fct_employee_hr_snapshot": Table(_snapshot, "employee_hr_snapshot_id", ("employee_id",)),
 }
 
+ACTIVITIES = {
+    "hr.agg_employee_signal": signal_activity(
+        "hr.fct_employee_activity_signal", SIGNAL_METRICS, "detected_at"
+    ),
+}
+
 MARTS = {"hr.employee_hr_profile_report": _profile_report}
 VIEWS = {"hr.v_employee_instability_signals": _instability_signals}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lamina.functions.flags import yes_sql
 from lamina.operators.dimensions import catalog_dim, project, resolve_parent, snapshot_dim, versioned_dim
 from lamina.operators.marts import trend, with_flags
-from lamina.operators.metrics import Factor, factors_long, factors_wide
+from lamina.operators.metrics import Factor, activity, factor_lines, factor_measures, factors_wide
 from lamina.operators.signals import Rule, unify
 from lamina.plans.base import Lookup, Scoring, Table, Warehouse
 from lamina.plans.hr import AUDIT, LOAD, same
@@ -237,8 +237,25 @@ def _events(wh: Warehouse) -> DataFrame:
     return wh.resolve(events, EMPLOYEE, EVENT_TYPE)
 
 
+CRITICAL = {
+    f"{column}_critical_event_cnt": f"count_if(event_source_system = '{tag}' and severity_level = 'CRITICAL')"
+    for column, tag in {
+        "ib": "ib_incidents",
+        "security": "security_cases",
+        "compliance": "compliance_cases",
+    }.items()
+}
+
+
+def _event_activity(wh: Warehouse) -> DataFrame:
+    """What one pass over the events says of each employee, for the factors and the report."""
+    last = {"last_risk_event_dttm": "max(event_detected_dttm)"}
+    measures = {**factor_measures(FACTORS), **CRITICAL, **last}
+    return activity(wh.rows("risk.fct_risk_event"), "employee_id", measures)
+
+
 def _factors(wh: Warehouse) -> DataFrame:
-    lines = factors_long(wh.rows("risk.fct_risk_event"), "employee_id", FACTORS)
+    lines = factor_lines(wh.activity("risk.agg_employee_event"), "employee_id", FACTORS)
     untexted = lines.withColumn("factor_value_text", F.expr(NO_TEXT))
     return wh.run.stamp(untexted, "risk.fct_employee_risk_factor")
 
@@ -277,26 +294,12 @@ def with_employee(
 
 
 def _operational_report(wh: Warehouse) -> DataFrame:
-    events = wh.rows("risk.fct_risk_event").where("employee_id is not null")
-    # One pass over the events serves both the last event and the critical counts.
-    critical = {
-        f"{column}_critical_event_cnt": F.count_if(
-            F.expr(f"event_source_system = '{tag}' and severity_level = 'CRITICAL'")
-        )
-        for column, tag in {
-            "ib": "ib_incidents",
-            "security": "security_cases",
-            "compliance": "compliance_cases",
-        }.items()
-    }
-    activity = events.groupBy("employee_id").agg(
-        F.max("event_detected_dttm").alias("last_risk_event_dttm"),
-        *[count.alias(name) for name, count in critical.items()],
-    )
-    snapshot = wh.rows("risk.fct_employee_risk_snapshot").join(activity, "employee_id", "left")
+    events = wh.activity("risk.agg_employee_event", pinned=True).where("employee_id is not null")
+    known = events.select("employee_id", "last_risk_event_dttm", *CRITICAL)
+    snapshot = wh.rows("risk.fct_employee_risk_snapshot").join(known, "employee_id", "left")
     profile = with_employee(
         wh,
-        snapshot.na.fill(0, list(critical)),
+        snapshot.na.fill(0, list(CRITICAL)),
         same(
             "employee_src_id",
             "employee_number",
@@ -355,15 +358,23 @@ TABLES = {
         ("source_system_name", "source_event_code", "source_event_name", "default_severity_level"),
     ),
     "risk.fct_risk_event": Table(
-        _events, "risk_event_id", ("event_source_system", "source_event_id", "event_detected_dttm")
+        _events,
+        "risk_event_id",
+        ("event_source_system", "source_event_id", "event_detected_dttm"),
+        optional=("employee_id", "risk_event_type_id"),
     ),
     "risk.fct_employee_risk_factor": Table(
-        _factors, "employee_risk_factor_id", ("employee_id", "risk_factor_code")
+        _factors,
+        "employee_risk_factor_id",
+        ("employee_id", "risk_factor_code"),
+        optional=("employee_id",),
     ),
     "risk.fct_employee_risk_snapshot": Table(
         _snapshot, "employee_risk_snapshot_id", ("employee_id",)
     ),
 }
 
+ACTIVITIES = {"risk.agg_employee_event": _event_activity}
+
 MARTS = {"risk.employee_operational_risk_report": _operational_report}
 VIEWS = {"risk.v_employee_risk_trend": _risk_trend}

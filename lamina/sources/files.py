@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,70 @@ def read_raw(spark: SparkSession, path: str, schema: T.StructType, multiline: bo
     )
 
 
+_LINE = "_line"
+
+
+def _parsed(spark: SparkSession, path: str, schema: T.StructType, multiline: bool) -> DataFrame:
+    """Typed scan that keeps the text of lines that do not parse in a column of its own."""
+    whole = T.StructType([*nullable(schema), T.StructField(_LINE, T.StringType())])
+    return (
+        spark.read.options(**_csv_options(TIMESTAMP_FORMAT))
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _LINE)
+        .option("enforceSchema", "false")
+        .option("multiLine", multiline)
+        .schema(whole)
+        .csv(path)
+    )
+
+
+#: A comma with an even number of quotes after it.
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def _reason(schema: T.StructType) -> Column:
+    """Why a line does not parse: its number of values, or the columns whose text is not of their type."""
+    texts = ", ".join(f"c{n} string" for n in range(len(schema)))
+    values = F.from_csv(F.col(_LINE), texts, {"quote": '"', "escape": '"'})
+    found = F.regexp_count(F.col(_LINE), F.lit(_COMMA)) + 1
+    broken = [
+        F.when(
+            values[f"c{n}"].isNotNull() & F.col(f.name).isNull(),
+            F.concat(F.lit(f"{f.name} is no {f.dataType.simpleString()}: "), values[f"c{n}"]),
+        )
+        for n, f in enumerate(schema)
+    ]
+    return F.when(
+        found != len(schema), F.concat(found.cast("string"), F.lit(f" values instead of {len(schema)}"))
+    ).otherwise(F.array_join(F.array_compact(F.array(*broken)), "; "))
+
+
+def load_csv(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    rejects: str,
+    schema: T.StructType,
+    multiline: bool = False,
+) -> DataFrame:
+    """Replace the target table by the CSV lines that parse; returns the target.
+
+    The others replace the table at ``rejects``: ``line`` as it stands in the file, ``reason`` and
+    ``file``. Lines are parsed once, and counted then; only if some are rejected, the files are read
+    a second time for them.
+    """
+    seen = Observation()
+    bad = F.col(_LINE).isNotNull()
+    parsed = _parsed(spark, source, schema, multiline)
+    counted = parsed.observe(seen, F.count_if(bad).alias("n"))
+    write_table(conform(counted.where(~bad), schema), target)
+    lines = parsed.where(bad).select(
+        F.col(_LINE).alias("line"), _reason(schema).alias("reason"), F.input_file_name().alias("file")
+    )
+    write_table(lines if seen.get["n"] else lines.limit(0), rejects)
+    return read_table(spark, target, schema)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Write CSV files that ``read_raw`` reads back."""
     df.write.mode("overwrite").options(**_csv_options(TIMESTAMP_WRITE_FORMAT)).csv(path)
@@ -69,9 +133,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def save_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
-    """Replace a catalogue table bucketed by ``key``, so joins on the key need no shuffle."""
+    """Replace a catalogue table bucketed by ``key``, so joins on the key need no shuffle.
+
+    Rows are dealt to the buckets first, so that each bucket is one file.
+    """
     (
-        df.write.mode("overwrite")
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
         .format("parquet")
         .bucketBy(buckets, key)
         .sortBy(key)
@@ -80,6 +148,19 @@ def save_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
     )
 
 
+def read_bucketed(
+    spark: SparkSession, table: str, path: str, schema: T.StructType, key: str, buckets: int
+) -> DataFrame:
+    """Scan of what ``save_bucketed`` stored, in any session: its catalogue learns the layout first."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    location = path.replace("'", "\\'")
+    spark.sql(
+        f"create table if not exists `{table}` ({columns}) using parquet"
+        f" clustered by (`{key}`) sorted by (`{key}`) into {buckets} buckets location '{location}'"
+    )
+    return spark.table(f"`{table}`")
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
@@ -142,16 +223,28 @@ def load_raw(
     odd = set(files.columns) ^ set(schema.fieldNames())
     if odd:
         raise SchemaMismatch(f"{source}: columns on one side only: {sorted(odd)}")
+    write_table(decoded(files, schema, decode, source), target)
+    return read_table(spark, target, schema)
+
+
+def decoded(
+    df: DataFrame,
+    schema: T.StructType,
+    decode: Mapping[str, Callable[[str], Column]] | None = None,
+    what: str = "rows",
+) -> DataFrame:
+    """Rows in the layout of a table; integers that ``decode`` has a function for become its type.
+
+    Any other column of another type than the table's is refused.
+    """
     wanted = {f.name: f.dataType for f in schema}
-    differ = {f.name: f.dataType for f in files.schema if f.dataType != wanted[f.name]}
-    decoded = {
+    differ = {f.name: f.dataType for f in df.schema if f.dataType != wanted[f.name]}
+    columns = {
         c: function(c)
         for c, function in (decode or {}).items()
         if isinstance(differ.get(c), T.LongType | T.IntegerType)
     }
-    refused = [f"{c} is {t.simpleString()}" for c, t in sorted(differ.items()) if c not in decoded]
+    refused = [f"{c} is {t.simpleString()}" for c, t in sorted(differ.items()) if c not in columns]
     if refused:
-        raise SchemaMismatch(f"{source}: other types than the table's: {', '.join(refused)}")
-    files = files.withColumns(decoded) if decoded else files
-    write_table(conform(files, schema), target)
-    return read_table(spark, target, schema)
+        raise SchemaMismatch(f"{what}: other types than the table's: {', '.join(refused)}")
+    return conform(df.withColumns(columns) if columns else df, schema)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from lamina.sources.schemas import DETAIL
 from testbed.bindings import BINDINGS, raw_sql
 
 # "key(...)" stands for a dense surrogate key in the given order, NULLs last.
@@ -730,6 +731,79 @@ def _row_counts(prefix: str) -> str:
     )
 
 
+def _range_counts(tables: dict[str, str], changed: str = "false") -> str:
+    """Rows per table and thousand record numbers; ranges with a row that ``changed`` holds for differ."""
+    return " union all ".join(
+        f"select '{t}' as table_name, left({c}, len({c}) - 3) as key_range, count(*) as src_cnt,"
+        f" count(*) as dst_cnt, not bool_or({changed if t.startswith('access_login') else 'false'}) as ok"
+        f" from {t} group by all"
+        for t, c in tables.items()
+    )
+
+
+# Foreign keys and codes that a layout requires and kept records may lack.
+OPTIONAL = {
+    "dim_position": ["position_code"],
+    "fct_position_history": ["employee_id"],
+    "fct_absence": ["employee_id"],
+    "signals_hr": ["employee_id"],
+    "fct_risk_event": ["employee_id", "risk_event_type_id"],
+    "factors_long": ["employee_id"],
+    "fct_account": ["employee_id"],
+    "fct_role_assignment": ["employee_id"],
+    "fct_login_event": ["employee_id"],
+    "signals_access": ["employee_id"],
+}
+
+
+# The expression above that holds each detail table.
+DETAIL_KEYS = {
+    "dim_department_hr": "hr.dim_hr_department",
+    "dim_position": "hr.dim_position",
+    "dim_employee_hr": "hr.dim_hr_employee",
+    "fct_position_history": "hr.fct_employee_position_history",
+    "fct_absence": "hr.fct_employee_absence",
+    "signals_hr": "hr.fct_employee_activity_signal",
+    "snapshot_hr": "hr.fct_employee_hr_snapshot",
+    "dim_department_risk": "risk.dim_department",
+    "dim_employee_risk": "risk.dim_employee",
+    "dim_risk_event_type": "risk.dim_risk_event_type",
+    "fct_risk_event": "risk.fct_risk_event",
+    "factors_long": "risk.fct_employee_risk_factor",
+    "snapshot_risk": "risk.fct_employee_risk_snapshot",
+    "dim_system": "access.dim_access_system",
+    "dim_access_role": "access.dim_access_role",
+    "fct_account": "access.fct_employee_account",
+    "fct_role_assignment": "access.fct_employee_role_assignment",
+    "fct_login_event": "access.fct_employee_login_event",
+    "signals_access": "access.fct_employee_access_signal",
+    "snapshot_access": "access.fct_employee_access_snapshot",
+    "dim_cost_center": "finance.dim_finance_cost_center",
+    "dim_vendor": "finance.dim_finance_vendor",
+    "fct_expense": "finance.fct_employee_expense",
+    "fct_card": "finance.fct_employee_card_transaction",
+    "fct_advance": "finance.fct_employee_advance_report",
+    "signals_finance": "finance.fct_employee_finance_signal",
+    "snapshot_finance": "finance.fct_employee_finance_snapshot",
+}
+
+
+def _required_counts(tables: dict[str, str]) -> str:
+    """NULLs in each column that the layout of a detail table requires."""
+    parts = []
+    for key, name in tables.items():
+        columns = re.findall(r"(\w+) [\w(), ]+? NOT NULL", DETAIL[name])
+        lines = ", ".join(
+            f"{{'c': '{c}', 'o': {str(c in OPTIONAL.get(key, [])).lower()}, 'n': count(*) - count({c})}}"
+            for c in columns
+        )
+        parts.append(f"select '{name}' as table_name, unnest([{lines}]) as l from {key}")
+    return (
+        "select table_name, l.c as column_name, l.o as is_optional, l.n as null_cnt, l.o or l.n = 0 as ok"
+        f" from ({' union all '.join(parts)})"
+    )
+
+
 _TWO_SEVERITIES = {
     "two_severities": """
         select 'ib_incidents' as source_system_name, incident_code as source_event_code,
@@ -889,6 +963,36 @@ _OTHER = {
     """
     % _row_counts("risk_"),
     "published_mart_hr": "select * from mart_hr",
+    "published_mart_hr_bucketed": "select * from mart_hr",
+    "src_csv_rejects": """
+        with broken as (
+            select src_advance_report_id from finance_advance_report_raw
+            where src_advance_report_id like '%07'
+        )
+        select src_advance_report_id, 'loaded' as reason from finance_advance_report_raw
+        union all select *, 'overdue_days is no int: n/a' from broken
+        union all select *, '13 values instead of 12' from broken
+        union all select *, 'overdue_days is no int: ?' from broken
+        union all select *, '2 values instead of 12' from broken
+    """,
+    "dq_content_parity": _range_counts(
+        {
+            "finance_employee_expense_raw": "src_expense_id",
+            "finance_corporate_card_txn_raw": "src_card_txn_id",
+            "finance_advance_report_raw": "src_advance_report_id",
+            "finance_payroll_adjustment_raw": "src_payroll_adj_id",
+            "finance_vendor_payment_raw": "src_vendor_payment_id",
+            "finance_budget_limit_raw": "src_budget_limit_id",
+        }
+    ),
+    "dq_content_parity_changed": _range_counts(
+        {
+            "access_system_accounts_raw": "src_account_id",
+            "access_login_events_raw": "src_login_event_id",
+        },
+        "src_login_event_id like '%0042' or src_login_event_id like '%5042'",
+    ),
+    "dq_required_detail": _required_counts(DETAIL_KEYS),
     "sink_full_refresh": "select * from fct_position_history",
     "dq_row_parity": _row_counts(""),
     "dq_not_empty": " union all ".join(

@@ -21,15 +21,38 @@ from lamina.functions import (
 from lamina.operators.dimensions import catalog_dim
 from lamina.operators.keys import dense_key, tag_rows
 from lamina.operators.lookups import lookup
-from lamina.operators.quality import duplicate_keys, not_empty, required_nulls, row_parity
+from lamina.operators.quality import (
+    content_parity,
+    duplicate_keys,
+    not_empty,
+    required_nulls,
+    row_parity,
+)
 from lamina.operators.staging import new_path
 from lamina.plans.access import ACCESS, LOGIN_METRICS
 from lamina.plans.base import Warehouse
-from lamina.plans.build import build_all, migrate, read_published, stored_raw, warehouse
+from lamina.plans.build import (
+    build_all,
+    entity_buckets,
+    migrate,
+    read_checks,
+    read_published,
+    stored_raw,
+    warehouse,
+)
 from lamina.plans.finance import FINANCE
 from lamina.plans.hr import INSTABILITY, LOAD
 from lamina.plans.risk import EVENT_SOURCES, RISK
-from lamina.sources.files import export_raw, load_raw, read_raw, read_table, write_csv, write_table
+from lamina.sources.files import (
+    TIMESTAMP_WRITE_FORMAT,
+    export_raw,
+    load_csv,
+    load_raw,
+    read_raw,
+    read_table,
+    write_csv,
+    write_table,
+)
 from lamina.sources.schemas import RAW, conform, raw_schema, raw_tables, required, table_schema
 from testbed.bindings import bind, stored_raw_table
 
@@ -354,15 +377,16 @@ _PUBLISHED: dict[tuple[str, str], str] = {}
 def _published(name: str) -> Query:
     """A mart of one full build, which all these queries of an application share."""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        slot = (spark.sparkContext.applicationId, sf_dir)
-        if slot not in _PUBLISHED:
-            root = new_path(spark, "warehouse")
-            build_all(spark, lambda t: stored_raw_table(spark, sf_dir, t), root, "all")
-            _PUBLISHED[slot] = root
-        return read_published(spark, _PUBLISHED[slot], name)
+    return lambda spark, sf_dir: read_published(spark, _published_root(spark, sf_dir), name)
 
-    return run
+
+def _published_root(spark: SparkSession, sf_dir: str) -> str:
+    slot = (spark.sparkContext.applicationId, sf_dir)
+    if slot not in _PUBLISHED:
+        root = new_path(spark, "warehouse")
+        build_all(spark, lambda t: stored_raw_table(spark, sf_dir, t), root, "all")
+        _PUBLISHED[slot] = root
+    return _PUBLISHED[slot]
 
 
 def published_mart_hr(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,6 +395,14 @@ def published_mart_hr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_published(spark, root, "hr.employee_hr_profile_report")
 
 
+def published_mart_hr_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, buckets = new_path(spark, "warehouse"), entity_buckets(8, ["hr"])
+    build_all(
+        spark, lambda t: stored_raw_table(spark, sf_dir, t), root, "run", subjects=["hr"], buckets=buckets
+    )
+    return read_published(spark, root, "hr.employee_hr_profile_report")
+
+
 def sink_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table_schema("hr.fct_employee_position_history")
     facts = open_warehouse(spark, sf_dir).table("hr.fct_employee_position_history")
@@ -380,6 +412,35 @@ def sink_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, schema)
 
 
+def src_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which lines load and why the others do not; three lines in a hundred records are broken."""
+    table = "finance_advance_report_raw"
+    schema = raw_schema(table)
+    stored, path = stored_raw_table(spark, sf_dir, table), new_path(spark, "csv")
+    write_csv(stored, f"{path}/good")
+    times = [f.name for f in schema if isinstance(f.dataType, T.TimestampNTZType)]
+    texts = {c: F.col(c).cast("string") for c in schema.names if c not in times}
+    texts |= {c: F.date_format(c, TIMESTAMP_WRITE_FORMAT) for c in times}
+    broken = stored.where("src_advance_report_id like '%07'").withColumns(texts)
+    variants = {
+        "type": {"overdue_days": F.lit("n/a")},
+        "more": {"batch_id": F.concat("batch_id", F.lit(",extra"))},
+        # A second, short line after a whole one, which is broken as well.
+        "fewer": {
+            "overdue_days": F.lit("?"),
+            "batch_id": F.concat("batch_id", F.lit("\n"), "src_advance_report_id", F.lit(","), "employee_src_id"),
+        },
+    }
+    for name, columns in variants.items():
+        broken.withColumns(columns).write.options(header="true", quote="").csv(f"{path}/{name}")
+    target, rejects = new_path(spark, "loaded"), new_path(spark, "rejects")
+    loaded = load_csv(spark, f"{path}/*", target, rejects, schema)
+    lines = spark.read.parquet(rejects).selectExpr(
+        "substring_index(line, ',', 1) as src_advance_report_id", "reason"
+    )
+    return loaded.selectExpr("src_advance_report_id", "'loaded' as reason").unionByName(lines)
+
+
 # ---- quality checks
 
 
@@ -394,6 +455,35 @@ def dq_row_parity_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_parity(source, {**source, "risk_ib_incidents_raw": lost["risk_ib_incidents_raw"]})
 
 
+#: Ranges of the contents that are compared: a thousand record numbers each.
+_THOUSANDS = "substr({0}, 1, length({0}) - 3)"
+
+
+def _ranges(tables: list[str]) -> dict[str, str]:
+    return {table: _THOUSANDS.format(raw_schema(table).names[0]) for table in tables}
+
+
+def dq_content_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = raw_tables("finance")
+    source = {table: bind(spark, sf_dir, table) for table in tables}
+    target = {table: stored_raw_table(spark, sf_dir, table) for table in tables}
+    return content_parity(source, target, _ranges(tables))
+
+
+def dq_content_parity_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One value in five thousand records is another one on the target's side, none is lost."""
+    tables = ["access_system_accounts_raw", "access_login_events_raw"]
+    source = {table: stored_raw_table(spark, sf_dir, table) for table in tables}
+    changed = source["access_login_events_raw"].withColumn(
+        "device_id", F.expr("if(right(src_login_event_id, 4) in ('0042', '5042'), 'changed', device_id)")
+    )
+    return content_parity(source, {**source, "access_login_events_raw": changed}, _ranges(tables))
+
+
+def dq_required_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_checks(spark, _published_root(spark, sf_dir))
+
+
 def dq_not_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {table: stored_raw_table(spark, sf_dir, table) for table in raw_tables("access")}
     untyped = tables["access_login_events_raw"].where("auth_method is null")
@@ -457,6 +547,7 @@ QUERIES: dict[str, Query] = {
     "schema_conform": schema_conform,
     "src_csv_roundtrip": src_csv_roundtrip,
     "src_csv_money": src_csv_money,
+    "src_csv_rejects": src_csv_rejects,
     "src_parquet_roundtrip": src_parquet_roundtrip,
     "src_parquet_epochs": src_parquet_epochs,
     "src_parquet_epoch_range": src_parquet_epoch_range,
@@ -467,9 +558,13 @@ QUERIES: dict[str, Query] = {
     "published_mart_risk": _published("risk.employee_operational_risk_report"),
     "published_mart_access": _published("access.employee_access_control_report"),
     "published_mart_finance": _published("finance.employee_finance_control_report"),
+    "published_mart_hr_bucketed": published_mart_hr_bucketed,
     "sink_full_refresh": sink_full_refresh,
     "dq_row_parity": dq_row_parity,
     "dq_row_parity_lost": dq_row_parity_lost,
+    "dq_content_parity": dq_content_parity,
+    "dq_content_parity_changed": dq_content_parity_changed,
+    "dq_required_detail": dq_required_detail,
     "dq_not_empty": dq_not_empty,
     "dq_required": dq_required,
     "dq_unique_key": dq_unique_key,

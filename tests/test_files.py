@@ -13,7 +13,9 @@ from lamina.sources.files import (
     SchemaMismatch,
     epoch_decoders,
     export_raw,
+    load_csv,
     load_raw,
+    read_bucketed,
     read_jdbc,
     read_raw,
     read_table,
@@ -182,3 +184,65 @@ def test_every_time_of_the_raw_tables_has_a_decoder(spark):
     for table in RAW:
         times = {f.name for f in raw_schema(table) if f.dataType.typeName() in ("date", "timestamp_ntz")}
         assert set(epoch_decoders(table)) == times
+
+
+BROKEN = BUDGETS + """BL-3,CC_3,"Quoted, name",2024-13-41,1.00,,N,budget,2024-12-31 12:00:00,b1
+BL-4,CC_4,Two faults,2024-01-01,one,,N,budget,yesterday,b1
+BL-5,CC_5,"Quoted, name",2024-01-01,1.00,,N,budget,2024-12-31 12:00:00,b1,more
+BL-6,CC_6
+BL-7,CC_7,Whole,2024-01-01,1.00,,N,budget,2024-12-31 12:00:00,b1
+"""
+
+
+def test_lines_that_do_not_parse_are_kept_apart(spark, tmp_path):
+    schema = raw_schema("finance_budget_limit_raw")
+    path, target, rejects = (str(tmp_path / n) for n in ("broken.csv", "loaded", "rejects"))
+    (tmp_path / "broken.csv").write_text(BROKEN, encoding="utf-8")
+    loaded = load_csv(spark, path, target, rejects, schema)
+    assert sorted(r.src_budget_limit_id for r in loaded.collect()) == ["BL-1", "BL-2", "BL-7"]
+    assert loaded.where("src_budget_limit_id <> 'BL-7'").exceptAll(_good(spark, tmp_path, schema)).isEmpty()
+    found = {r.line[:4]: r for r in spark.read.parquet(rejects).collect()}
+    assert {k: r.reason for k, r in found.items()} == {
+        "BL-3": "budget_period is no date: 2024-13-41",
+        "BL-4": "budget_amount_rub is no decimal(18,2): one; load_dttm is no timestamp_ntz: yesterday",
+        "BL-5": "11 values instead of 10",
+        "BL-6": "2 values instead of 10",
+    }
+    assert all(r.line in BROKEN.splitlines() and r.file.endswith("broken.csv") for r in found.values())
+
+
+def _good(spark, tmp_path, schema):
+    (tmp_path / "good.csv").write_text(BUDGETS, encoding="utf-8")
+    return read_raw(spark, str(tmp_path / "good.csv"), schema)
+
+
+def test_files_without_broken_lines_leave_an_empty_reject_table(spark, tmp_path):
+    schema = raw_schema("finance_budget_limit_raw")
+    target, rejects = str(tmp_path / "loaded"), str(tmp_path / "rejects")
+    good = _good(spark, tmp_path, schema)
+    for _ in range(2):  # a second load replaces both tables
+        loaded = load_csv(spark, str(tmp_path / "good.csv"), target, rejects, schema)
+        assert loaded.exceptAll(good).isEmpty() and good.exceptAll(loaded).isEmpty()
+        left = spark.read.parquet(rejects)
+        assert left.columns == ["line", "reason", "file"] and left.isEmpty()
+
+
+def test_line_breaks_in_values_load_with_multiline(spark, tmp_path):
+    schema = raw_schema("finance_budget_limit_raw")
+    text = BUDGETS.replace("Центр", '"two\nlines"') + "BL-9,short\n"
+    (tmp_path / "multi.csv").write_text(text, encoding="utf-8")
+    loaded = load_csv(spark, str(tmp_path / "multi.csv"), str(tmp_path / "t"), str(tmp_path / "r"), schema, multiline=True)
+    assert {r.cost_center_name for r in loaded.collect()} == {'Centre "A", north', "two\nlines"}
+    assert [r.reason for r in spark.read.parquet(str(tmp_path / "r")).collect()] == ["2 values instead of 10"]
+
+
+def test_bucketed_tables_are_read_with_their_layout(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id % 100 as k", "cast(id as string) as v")
+    path = str(tmp_path / "bucketed")
+    save_bucketed(rows, "files_bucketed_once", path, "k", 4)
+    spark.sql("drop table files_bucketed_once")  # as a new session, which only knows the path
+    again = read_bucketed(spark, "files_bucketed_twice", path, rows.schema, "k", 4)
+    assert again.exceptAll(rows).isEmpty() and again.count() == 1000
+    plan = again.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert len(again.inputFiles()) == 4

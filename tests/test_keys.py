@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from lamina.operators import keys
@@ -20,7 +23,7 @@ def test_matches_a_global_sort_over_many_slices(spark, confs, sf_dir):
     many_slices(confs)
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     names = ["l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    keyed = dense_key(lines, "id", names, keep=names)
+    keyed = dense_key(lines, "id", names, keep=names, slices=8)
     found = numbered(keyed)
     expected = sorted(tuple(row) for row in lines.select(*names).collect())
     assert [row[0] for row in found] == list(range(1, len(expected) + 1))
@@ -34,7 +37,7 @@ def test_hot_leading_value_spreads_over_slices(spark, confs, monkeypatch):
     monkeypatch.setattr(keys, "stage", lambda df, label: staged.append(stage(df, label)) or staged[-1])
     # Every second row has the same leading value.
     rows = spark.range(8000).selectExpr("if(id % 2 = 0, 'hot', concat('k', id)) as code", "id as n")
-    found = numbered(dense_key(rows, "key", ["code", "n"]), "key")
+    found = numbered(dense_key(rows, "key", ["code", "n"], slices=8), "key")
     assert [row[1:] for row in found] == sorted(row[1:] for row in found)
     per_slice = staged[0].groupBy(F.expr("_pos >> 33")).count().collect()
     assert len(per_slice) == 8
@@ -48,7 +51,7 @@ def test_copies_of_one_row_spread_over_slices(spark, confs, monkeypatch):
     stored = stage(
         spark.range(9000).selectExpr("if(id % 3 = 0, 'copy', concat('k', id)) as code"), "copies"
     )
-    keyed = dense_key(tag_rows(stored), "key", ["code"])
+    keyed = dense_key(tag_rows(stored), "key", ["code"], slices=8)
     assert keyed.columns == ["key", "code"]
     found = numbered(keyed, "key")
     assert [row[0] for row in found] == list(range(1, 9001))
@@ -71,9 +74,10 @@ def test_expressions_order_and_need_not_be_kept(spark):
 def test_equal_positions_get_the_same_keys_every_time(spark, confs):
     many_slices(confs)
     rows = spark.range(2000).selectExpr("id % 7 as code", "id as payload")
-    first = numbered(dense_key(rows.repartition(3), "key", ["code"]), "key")
-    second = numbered(dense_key(rows.repartition(5), "key", ["code"]), "key")
-    assert first == second
+    first = numbered(dense_key(rows.repartition(3), "key", ["code"], slices=8), "key")
+    second = numbered(dense_key(rows.repartition(5), "key", ["code"], slices=5), "key")
+    third = numbered(dense_key(rows.repartition(2), "key", ["code"]), "key")
+    assert first == second == third
 
 
 def test_empty_input(spark):
@@ -92,13 +96,81 @@ def test_no_single_task_sees_the_table(spark, sf_dir, monkeypatch):
 
     monkeypatch.setattr(keys, "stage", spying)
     lines = tag_rows(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
-    dense_key(lines, "id", ["l_returnflag", "l_orderkey"], keep=["l_orderkey"])
-    assert "rangepartitioning(l_returnflag" in plans[0]
+    dense_key(lines, "id", ["l_returnflag", "l_orderkey"], keep=["l_orderkey"], slices=8)
+    assert "shufflepartitionidpassthrough" in plans[0].lower()
     assert ROW in plans[0]
+    assert "rangepartitioning" not in plans[0]  # its bounds would cost a pass of their own
     assert "SinglePartition" not in plans[0]
     assert "Window" not in plans[0]
 
 
+def counting(df, seen):
+    """``df`` whose every computed row adds one to the accumulator ``seen``."""
+
+    def run(parts):
+        for part in parts:
+            seen.add(part.num_rows)
+            yield part
+
+    return df.mapInArrow(run, df.schema)
+
+
+@pytest.mark.parametrize("slices", [None, 8])
+def test_rows_are_computed_once(spark, sf_dir, slices):
+    seen = spark.sparkContext.accumulator(0)
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_shipdate")
+    keyed = dense_key(counting(lines, seen), "id", ["l_orderkey"], slices=slices)
+    assert keyed.count() == lines.count() == seen.value
+    keyed.agg(F.max("id")).collect()
+    assert seen.value == lines.count()
+
+
+def test_slices_follow_the_staged_bytes(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(keys, "stage", lambda df, label: staged.append(stage(df, label)) or staged[-1])
+    numbers = []
+    for n in (20_000, 200_000):
+        rows = spark.range(n).selectExpr("sha2(cast(id as string), 256) as code")
+        found = dense_key(rows, "key", ["code"], slice_bytes=300_000)
+        assert found.agg(F.max("key"), F.count("*")).first()[:] == (n, n)
+        per_slice = [r["count"] for r in staged[-1].groupBy(F.expr("_pos >> 33")).count().collect()]
+        assert max(per_slice) < 2 * n / len(per_slice)
+        numbers.append(len(per_slice))
+    assert 8 <= numbers[1] / numbers[0] <= 12
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_levels_are_samples_in_files_of_their_own(spark):
+    rows = spark.range(80_000).selectExpr("id", "monotonically_increasing_id() as _place")
+    staged, path, counts = keys._stage_levels(rows, "levels")
+    assert counts[0] == 80_000
+    for above, below in zip(counts[1:4], counts[:3], strict=True):
+        assert 0.5 < 8 * above / below < 2
+    sample = staged.where("_level >= 2")
+    assert sample.count() == counts[2]
+    plan = sample._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*_level#\d+ >= 2", plan)
+    assert keys.stored_bytes(spark, path) > 80_000
+
+
+def test_bounds_keep_the_order_of_every_type(spark):
+    rows = spark.range(3000).selectExpr(
+        "if(id % 7 = 0, null, date_add(date'0001-01-01', cast(id * 1000 as int))) as d",
+        "if(id % 5 = 0, null, timestampadd(MICROSECOND, id * 12345678901, timestamp_ntz'1969-12-31 23:59:59.000001')) as t",
+        "if(id % 3 = 0, null, cast((id - 1500) * 0.37 as decimal(38,18))) as x",
+        "if(id % 11 = 0, null, concat('\"\\\\,\n', char(0xE9 + id % 50), id)) as s",
+        "id % 2 = 0 as b",
+        "cast(id as binary) as raw",
+        "if(id % 13 = 0, double('NaN'), (1500 - id) / 7) as f",
+    )
+    for order in (["d", "s"], ["t"], ["x", "t"], ["s"], ["b", "raw"], ["f", "s"], ["coalesce(x, 0)", "raw"]):
+        keyed = dense_key(rows, "key", order, slices=16)
+        sort = [F.expr(o).asc_nulls_last() for o in order]
+        want = [r[0] for r in rows.orderBy(*sort, "raw").select(F.struct(*[F.expr(o) for o in order])).collect()]
+        found = [r[0] for r in keyed.orderBy("key").select(F.struct(*[F.expr(o) for o in order])).collect()]
+        assert str(found) == str(want)
+
+
 def test_nulls_tell_rows_apart(spark, confs):
     """Rows that differ only in where a NULL stands are ordered alike in every build."""
     many_slices(confs)
