@@ -7,7 +7,9 @@ pair of languages has its own machine and the language with most votes wins.
 
 The machines are trained from at most about ``SAMPLE`` labelled documents per language, chosen by a
 hash of their id and text, all their text counted; each machine trains in a task of its own on
-``ROWS`` rows at most. The model has one vector per family and pair and is sent to every task.
+``ROWS`` rows at most, with many languages the first of each by that hash. The ``LANGUAGES`` codes
+with most labels are learnt, so that misspelt codes stay bounded. The model has one vector per family
+and pair and is sent to every task.
 
 Defined results: ``und`` with score 0 if the text is null or has no letter, or if nothing was
 learnt; a language missing from the table of families is a family of its own; a null ``doc_id`` is
@@ -22,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.llm.common import fold, pin
@@ -31,7 +33,7 @@ from lamina.llm.textops import batches, mix
 FOLD = (4, 2)
 #: Length of a vector, runs counted in it, documents per language and rows per machine.
 CELLS, RUNS = 1 << 12, (1, 2, 3, 4)
-SAMPLE, ROWS = 600, 4_000
+SAMPLE, ROWS, LANGUAGES = 600, 4_000, 200
 PASSES, COST, SHARPNESS = 30, 10.0, 4.0
 UNKNOWN = "und"
 #: Families of language codes (fixed values).
@@ -149,37 +151,45 @@ def predict(texts: list[str | None], model: Model) -> tuple[list[str], list[floa
 
 
 def _sampled(docs: DataFrame) -> DataFrame:
-    """About ``SAMPLE`` training documents per language, all where there are fewer."""
+    """About ``SAMPLE`` training documents per language, all where there are fewer, with their draw."""
     given = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(
         ~fold(F.col("doc_id"), *FOLD)
     )
-    sizes = {r["lang"]: r["n"] for r in given.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    rate = F.lit(1.0)
+    counts = given.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = {r["lang"]: r["n"] for r in counts.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    rate = F.lit(0.0)
     for lang, n in sizes.items():
-        if n > SAMPLE:
-            rate = F.when(F.col("lang") == lang, F.lit(SAMPLE / n)).otherwise(rate)
+        rate = F.when(F.col("lang") == lang, F.lit(min(1.0, SAMPLE / n))).otherwise(rate)
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    return given.where(draw < rate).select("lang", "text")
+    return given.select("lang", "text", draw.alias("draw")).where(F.col("draw") < rate)
 
 
 def _featured(sample: DataFrame) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             plain = [letters(t) for t in part.column("text").to_pylist()]
-            rows = [(lang, t) for lang, t in zip(part.column("lang").to_pylist(), plain, strict=True) if t]
+            known = zip(part.column("lang").to_pylist(), part.column("draw").to_pylist(), strict=True)
+            rows = [(k, t) for k, t in zip(known, plain, strict=True) if t]
             for group in batches(iter(rows)):
                 x = vectors([t for _, t in group])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang for lang, _ in group]), pa.array([v.tobytes() for v in x], pa.binary())],
-                    ["lang", "x"],
+                    [
+                        pa.array([lang for (lang, _), _ in group], pa.string()),
+                        pa.array([draw for (_, draw), _ in group], pa.float64()),
+                        pa.array([v.tobytes() for v in x], pa.binary()),
+                    ],
+                    ["lang", "draw", "x"],
                 )
 
-    return sample.mapInArrow(run, "lang string, x binary")
+    return sample.mapInArrow(run, "lang string, draw double, x binary")
 
 
 def train(docs: DataFrame) -> Model:
     """The machines of the languages of ``docs`` (``doc_id, text, lang``) outside the fold."""
-    rows = pin(_featured(_sampled(docs)), "language-sample")
+    drawn = _featured(_sampled(docs))
+    # About ``SAMPLE`` rows a language, numbered by their draw.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "x")).alias("place")
+    rows = pin(drawn.select("lang", "x", place), "language-sample")
     langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
     names = sorted({family_of(c) for c in langs})
     families = tuple(tuple(c for c in langs if family_of(c) == f) for f in names)
@@ -202,8 +212,14 @@ def train(docs: DataFrame) -> Model:
 
     def spread(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            lang, x = part.column("lang").to_pylist(), part.column("x").to_pylist()
-            made = [(m, y, c, v) for c, v in zip(lang, x, strict=True) for m, y in uses[c]]
+            columns = (part.column(c).to_pylist() for c in ("lang", "x", "place"))
+            # All languages meet in the machines of families: fewer rows of each.
+            made = [
+                (m, y, c, v)
+                for c, v, k in zip(*columns, strict=True)
+                for m, y in uses[c]
+                if m >= len(families) or k <= per_language
+            ]
             if made:
                 columns = list(zip(*made, strict=True))
                 yield pa.RecordBatch.from_arrays(
@@ -219,14 +235,6 @@ def train(docs: DataFrame) -> Model:
     def fit(table: pa.Table) -> pa.Table:
         rows = sorted(zip(*(table[c].to_pylist() for c in ("lang", "x", "y")), strict=True))
         machine = table["machine"][0].as_py()
-        if machine < len(families):  # all languages meet here: fewer rows of each
-            held: dict[str, int] = {}
-            kept = []
-            for row in rows:
-                held[row[0]] = held.get(row[0], 0) + 1
-                if held[row[0]] <= per_language:
-                    kept.append(row)
-            rows = kept
         x = np.array([np.frombuffer(v, dtype=np.float32) for _, v, _ in rows])
         y = np.array([float(v) for _, _, v in rows])
         return pa.table(

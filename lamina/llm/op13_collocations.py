@@ -44,7 +44,8 @@ COMBINE_BYTES = 12_000_000
 #: Ends of pieces become newlines, tabs become spaces; a byte that UTF-8 never uses marks an end.
 _PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\x0d\x09", b"\n" * 9 + b" ")
 _END = b"\xff"
-_COUNTED = "lang string, words int, phrase binary, n long"
+#: Phrases are counted under one key, the phrase and after a newline the language.
+_COUNTED = "key binary, n long"
 _WALKED = "lang string, phrase binary, own boolean, parts array<long>, longer long"
 
 
@@ -114,17 +115,10 @@ def _grouped(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]
     yield from held.items()
 
 
-def _batch(lang: str, size: int, names: list, counts: np.ndarray) -> pa.RecordBatch:
-    n = len(names)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([lang] * n, pa.string()),
-            pa.array(np.full(n, size), pa.int32()),
-            pa.array(names, pa.binary()),
-            pa.array(counts, pa.int64()),
-        ],
-        ["lang", "words", "phrase", "n"],
-    )
+def _batch(lang: str, names: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
+    tail = b"\n" + lang.encode()
+    keys = pa.array([name + tail for name in names], pa.binary())
+    return pa.RecordBatch.from_arrays([keys, pa.array(counts, pa.int64())], ["key", "n"])
 
 
 def _cell() -> Column:
@@ -157,8 +151,21 @@ def _marked(lang: str, names: list[bytes], bits: np.ndarray) -> np.ndarray:
     return (bits[cells >> np.uint64(3)] >> (cells & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _summed(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+def _summed(rows: DataFrame, least: int = 1) -> DataFrame:
+    """``lang, words, phrase, n`` of the phrases that occur ``least`` times."""
+    text = F.col("key").cast("string")
+    phrase = F.substring_index(text, "\n", 1)
+    return (
+        rows.groupBy("key")
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= least)
+        .select(
+            F.substr(text, F.char_length(phrase) + 2).alias("lang"),
+            (F.char_length(phrase) - F.char_length(F.replace(phrase, F.lit(" "), F.lit(""))) + 1).alias("words"),
+            phrase.cast("binary").alias("phrase"),
+            "n",
+        )
+    )
 
 
 def phrase_counts(
@@ -177,7 +184,7 @@ def phrase_counts(
     def single(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, raw in _grouped(parts):
             names, counts = _Words(raw).single()
-            yield _batch(lang, 1, names, counts)
+            yield _batch(lang, names, counts)
 
     words = pin(_summed(texts.mapInArrow(single, _COUNTED)), "words")
     total = words.groupBy("lang").agg(F.sum("n").alias("total"))
@@ -200,9 +207,9 @@ def phrase_counts(
                 found = _Words(raw).longer(lambda size, names, lang=lang: allowed(lang, size, names))
                 for size, names, counts in found:
                     if size >= first:
-                        yield _batch(lang, size, names, counts)
+                        yield _batch(lang, names, counts)
 
-        return _summed(texts.mapInArrow(run, _COUNTED)).where(F.col("n") >= least)
+        return _summed(texts.mapInArrow(run, _COUNTED), least)
 
     bits = _bitmap(frequent)
     streams = [frequent]

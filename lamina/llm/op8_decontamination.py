@@ -173,11 +173,23 @@ class _Side:
 
 
 def tile(item: np.ndarray, words: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int]]:
-    """Tiles ``(place in the item, index in the text, words)``, longest first, then leftmost."""
+    """Tiles ``(place in the item, index in the text, words)``, longest first, then leftmost.
+
+    A common run holds common runs of every smaller size, so the size of the next tile is found by
+    halves, and the passes over both sides grow with the number of tiles and not with the item.
+    """
     left, right = _Side(item, np.arange(len(item))), _Side(words, at)
     tiles = []
-    size = min(len(item), right.longest())
-    while size >= min(LEAST_TILE, len(item)):
+    least, size = min(LEAST_TILE, len(item)), min(len(item), right.longest())
+
+    def common(size: int) -> bool:
+        return bool(np.isin(left.runs(size)[1], right.runs(size)[1]).any())
+
+    while size >= least and common(least):
+        low = least
+        while low < size:
+            middle = (low + size + 1) // 2
+            low, size = (middle, size) if common(middle) else (low, middle - 1)
         places, hashes = left.runs(size)
         spots, found = right.runs(size)
         order = np.argsort(hashes, kind="stable")
@@ -261,7 +273,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without those that hold a benchmark item."""
-    found = pin(contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
+def decontaminated(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_TILE) -> DataFrame:
+    """``docs`` without those that hold a benchmark item of ``least_words`` words or more.
+
+    Shorter items are reported by ``contaminated``, but a word or two prove nothing and would take
+    every document that holds them.
+    """
+    found = contaminated(docs, benchmark).where(F.col("item_words") >= least_words)
+    found = pin(found.select("doc_id").distinct(), "contaminated")
     return docs.join(if_small(found, IDS_SENT), "doc_id", "left_anti").select(docs.columns)
