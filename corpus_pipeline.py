@@ -18,30 +18,46 @@ from lamina.llm import (
 )
 from lamina.llm.common import pin, read
 from lamina.llm.queries import TOKENIZER
+from lamina.operators.staging import noting_staged, release
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; the cutoffs come from the labels."""
+    """Documents that the quality rules keep; the cutoffs come from the labels.
+
+    Documents without words go, as they break the base rule; without labels only that rule acts. Rows
+    are judged one by one, so repeated rows and null ids are kept or not as their text is; an empty
+    table stays empty.
+    """
     return op7_quality_rules.accepted(docs, read(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates.
+
+    Of rows equal in id and text one stays; empty and null texts are near to nothing and all stay.
+    """
     return op2_minhash.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the byte strings that also stand elsewhere."""
+    """Documents without the passages of about 50 words, 200 bytes, that also stand elsewhere.
+
+    A document of which nothing is left goes, one that had no text stays; a letter that a cut splits
+    goes as a whole; null ids are documents like any other.
+    """
     return op5_suffix_dedup.cleaned(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark items."""
+    """Documents without benchmark items of five words or more.
+
+    Null ids and null texts are never contaminated; an empty benchmark takes nothing.
+    """
     return op8_decontamination.decontaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of what is left."""
+    """Token counts and digests of what is left, one row per row; a null text is empty."""
     return op4_bpe_automaton.digest(docs, TOKENIZER)
 
 
@@ -57,8 +73,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other, each written once and read again."""
-    docs = read(spark, sf_dir, "documents")
+    """The stages one after the other, each written once and read again.
+
+    What a stage staged for itself, and the rows it read, are deleted once its own rows are written;
+    only those that the last stage reads are left.
+    """
+    docs, read_from = read(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = pin(stage(spark, docs, sf_dir), name)
+        with noting_staged() as paths:
+            docs = pin(stage(spark, docs, sf_dir), name)
+        release(spark, [*read_from, *paths[:-1]])
+        read_from = paths[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
