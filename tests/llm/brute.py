@@ -371,3 +371,113 @@ def collocations(rows, least=100, top=2000, longest=5):
         for lang in sorted(found)
         for rank, (score, a, p, l, r, n) in enumerate(sorted(found[lang])[:top], 1)
     ]
+
+
+# 3: the whole query: log-odds, calibration, curve
+
+def toxicity(rows, labels, drift=0.5, prior_share=0.01, chance=0.05, low=-8.0, high=60.0):
+    """``doc_id, held_out, score`` from ``(doc_id, text)`` and ``{doc_id: toxic}``."""
+    tokens = {i: benchmark_words(t) for i, t in rows}
+    seen, train = set(), []
+    for i, text in sorted(rows, key=lambda r: r[0]):
+        if i in labels and not fold(i, 3, 1) and (text, labels[i]) not in seen:
+            seen.add((text, labels[i]))
+            train.append(i)
+    counts = {y: Counter(w for i in train if labels[i] == y for w in tokens[i]) for y in (0, 1)}
+    total = {y: sum(counts[y].values()) for y in (0, 1)}
+    prior = prior_share * (total[0] + total[1])
+    gain = {}
+    for w in {*counts[0], *counts[1]}:
+        own = prior * (counts[0][w] + counts[1][w]) / (total[0] + total[1])
+        odds = [math.log((counts[y][w] + own) / (total[y] + prior - counts[y][w] - own)) for y in (0, 1)]
+        delta = odds[1] - odds[0]
+        width = math.sqrt(1 / (counts[1][w] + own) + 1 / (counts[0][w] + own))
+        gain[w] = max(0.0, delta - width) + min(0.0, delta + width) - drift
+    share = {w: counts[0][w] / total[0] for w in gain if gain[w] != -drift}
+    rest = 1 - sum(share.values())
+
+    def moment(r):
+        return sum(p * math.exp(min(r * gain[w], 700)) for w, p in share.items()) + rest * math.exp(-r * drift)
+
+    below, above = 1e-3, 1e-3
+    while moment(above) < 1 and above < 64:
+        below, above = above, above * 2
+    for _ in range(60):
+        mid = (below + above) / 2
+        below, above = (mid, above) if moment(mid) < 1 else (below, mid)
+    decay = below
+    found = {}
+    for i, own in tokens.items():
+        scores = [gain.get(w, -drift) for w in own]
+        found[i] = [sum(scores[a : b + 1]) for a, b in segments(scores)]
+    clean = [i for i in train if labels[i] == 0]
+    tops = sorted(decay * max(found[i]) - math.log(max(len(tokens[i]), 1)) for i in clean if found[i])
+    level = max(0.0, 1 - chance * len(clean) / len(tops)) if tops else 0.0
+    log_k = tops[max(math.ceil(level * len(tops)) - 1, 0)] + math.log(-math.log(1 - chance)) if tops else 0.0
+    evidence = {}
+    for i, own in found.items():
+        normal = [decay * s - log_k - math.log(max(len(tokens[i]), 1)) for s in own]
+        held = [v for v in normal if v >= -math.log(chance)]
+        value = sum(held) if held else max(normal, default=low)
+        evidence[i] = max(low, min(high, value))
+    bins = defaultdict(lambda: [0, 0])
+    for i in train:
+        bins[math.copysign(math.floor(abs(evidence[i] * 4) + 0.5), evidence[i]) / 4][labels[i]] += 1
+    n1, n0 = sum(b[1] for b in bins.values()), sum(b[0] for b in bins.values())
+    goals = (1 / (n0 + 2), (n1 + 1) / (n1 + 2))
+
+    def loss(a, b):
+        out = 1e-6 * a * a
+        for x, n in bins.items():
+            z = a * x + b
+            out += sum(n) * (max(z, 0) + math.log1p(math.exp(-abs(z)))) - z * (n[1] * goals[1] + n[0] * goals[0])
+        return out
+
+    a, b, step = 0.0, math.log((n1 + 1) / (n0 + 1)), 1.0
+    while step > 1e-9:  # pattern search: no derivative to get wrong
+        here = loss(a, b)
+        tries = [(a + i * step, b + j * step) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+        best = min(tries, key=lambda p: loss(*p))
+        a, b, step = (*best, step) if loss(*best) < here else (a, b, step / 2)
+    return [(i, fold(i, 3, 1), 1 / (1 + math.exp(-(a * evidence[i] + b)))) for i, _ in rows]
+
+
+# 10: vectors, machines and votes
+
+def letter_runs(text, cells=4096):
+    """Shares of the hashed letter runs of one to four bytes, square-rooted."""
+    words_of = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+    if not words_of:
+        return None
+    raw = (" " + " ".join(words_of) + " ").encode("utf-8", "replace")
+    full, counts = 2**64 - 1, Counter()
+    for n in (1, 2, 3, 4):
+        for k in range(len(raw) - n + 1):
+            v = int.from_bytes(raw[k : k + n], "big") + (n << 40)
+            v ^= v >> 33
+            v = v * 0xFF51AFD7ED558CCD & full
+            v ^= v >> 33
+            v = v * 0xC4CEB9FE1A85EC53 & full
+            v ^= v >> 33
+            counts[v >> 52] += 1
+    total = sum(counts.values())
+    return [math.sqrt(counts[c] / total) for c in range(cells)]
+
+
+def language(text, families, pairs, weights, sharpness=4.0):
+    """Predicted language and score of one text from the machines' weights, offset last."""
+    x = letter_runs(text)
+    if x is None:
+        return "und", 0.0
+    value = [sum(a * b for a, b in zip(w, x)) + w[-1] for w in weights]
+    ranks = value[: len(families)]
+    family = ranks.index(max(ranks))
+    chance = 1 / sum(math.exp(sharpness * (v - max(ranks))) for v in ranks)
+    votes, sure = Counter(), {c: 1.0 for c in families[family]}
+    for (f, a, b), v in zip(pairs, value[len(families) :]):
+        if f == family:
+            p = 1 / (1 + math.exp(-sharpness * v))
+            votes[a if p >= 0.5 else b] += 1
+            sure[a], sure[b] = min(sure[a], p), min(sure[b], 1 - p)
+    lang = max(families[family], key=lambda c: (votes[c], sure[c]))
+    return lang, min(1.0, chance * sure[lang])

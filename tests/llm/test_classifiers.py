@@ -149,3 +149,71 @@ def test_sample_is_bounded_per_language(spark, monkeypatch):
     docs = spark.createDataFrame(language_rows(100), "doc_id long, text string, lang string")
     sizes = op10_language_id._sampled(docs).groupBy("lang").count().collect()
     assert len(sizes) == 4 and all(5 <= r["count"] <= 40 for r in sizes)
+
+
+def test_toxicity_query_against_a_plain_version(spark):
+    docs, labels = toxic_table(spark, 160)
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(900, ""), (901, None), (902, "scum! " * 40), (903, "?!")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    known = {}
+    for r in labels.where("toxic is not null and doc_id is not null").collect():
+        known[r.doc_id] = max(r.toxic, known.get(r.doc_id, 0))
+    known = {i: y for i, y in known.items() if i in dict(rows)}
+    model = op3_toxicity.train(table, labels)
+    got = {r.doc_id: r for r in op3_toxicity.digest(op3_toxicity.detect(table, model)).collect()}
+    want = brute.toxicity(rows, known)
+    assert len(want) == len(got)
+    for i, held_out, score in want:
+        assert got[i].held_out == held_out
+        assert got[i].score == pytest.approx(score, abs=2e-3), i
+        assert abs(score - 0.7) < 2e-3 or got[i].predicted == (score >= 0.7)
+    assert {got[902].predicted, got[900].predicted, got[901].predicted} == {0, 1}
+
+
+def test_words_of_clean_text_count_against_a_passage(spark):
+    docs, labels = toxic_table(spark)
+    model = op3_toxicity.train(docs, labels)
+    assert (model.scores < -op3_toxicity.DRIFT).any() and (model.scores > 0).any()
+
+
+def test_language_vectors_and_votes_against_a_plain_version(spark):
+    rows = language_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = op10_language_id.train(docs)
+    given = [(k, t) for k, t, _ in rows[:40]] + [(1000 + k, t) for k, (_, t) in enumerate(texts()) if len(t or "") < 1000]
+    table = spark.createDataFrame(given, "doc_id long, text string")
+    got = {r.doc_id: r for r in op10_language_id.identify(table, model).collect()}
+    for k, text in given:
+        lang, score = brute.language(text, model.families, model.pairs, model.weights.tolist())
+        assert got[k].score == pytest.approx(score, abs=1e-4)
+        assert got[k].lang_pred == lang
+
+
+def test_machines_reach_the_least_loss():
+    """Against Newton's method on the loss itself: rows of length one in many cells, as texts are."""
+    draw = np.random.default_rng(3)
+    x = np.abs(draw.normal(size=(120, 400)))
+    y = np.where(np.arange(120) % 3 == 0, 1.0, -1.0)
+    x[y > 0, :40] *= 2
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = np.hstack([x, np.ones((120, 1))])
+    cost = op10_language_id.COST * 120 / (2 * np.where(y > 0, (y > 0).sum(), (y < 0).sum()))
+
+    def loss(w):
+        return 0.5 * w @ w + np.sum(cost * np.maximum(0, 1 - y * (rows @ w)) ** 2)
+
+    best = np.zeros(401)
+    for _ in range(100):
+        on = y * (rows @ best) < 1
+        bent = np.eye(401) + 2 * (rows[on].T * cost[on]) @ rows[on]
+        best = 0.5 * best + 0.5 * np.linalg.solve(bent, 2 * (rows[on].T * cost[on]) @ y[on])
+    found = op10_language_id.train_machine(x, y)
+    assert loss(best) - 1e-6 <= loss(found) < 1.05 * loss(best) < loss(np.zeros(401))
+
+
+def test_of_many_codes_the_ones_with_most_labels_are_learnt(spark, monkeypatch):
+    monkeypatch.setattr(op10_language_id, "LANGUAGES", 3)
+    rows = language_rows() + [(5000 + k, "αβ γδ", f"odd-{k}") for k in range(30)]
+    model = op10_language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sum(map(len, model.families)) == 3
+    assert not [c for own in model.families for c in own if c.startswith("odd")]

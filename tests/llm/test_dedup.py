@@ -7,6 +7,7 @@ from collections import Counter
 import brute
 import pytest
 from corpora import documents, plain, texts
+from pyspark.sql import functions as F
 
 from lamina.llm import exchange, op2_minhash, op5_suffix_dedup, op6_substring_dedup
 from lamina.llm.components import connected
@@ -192,3 +193,20 @@ def test_packed_keys_and_bits_come_back():
     assert len(exchange.unpack_keys(exchange.pack_keys(keys[:0]))) == 0
     flags = keys % np.uint64(3) == 0
     assert (exchange.unpack_bits(exchange.pack_bits(flags)) == flags).all()
+
+
+def test_equal_rows_spread_over_buckets(spark, tmp_path, monkeypatch):
+    """A third of all rows are copies of one row, id and text."""
+    monkeypatch.setattr(exchange, "BUCKET_BYTES", (100_000, 100_000))
+    rows = spark.range(9000).selectExpr(
+        "if(id % 3 = 0, 7, id) as doc_id", "if(id % 3 = 0, repeat('same ', 40), repeat(sha2(cast(id as string), 256), 3)) as text"
+    )
+    rows.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    dealt = exchange.deal(docs)
+    sizes = [r.n for r in dealt.rows.groupBy("bucket").agg(F.sum(F.octet_length("text")).alias("n")).collect()]
+    assert len(sizes) == dealt.buckets > 10
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)
+    removed = op5_suffix_dedup.digest(op5_suffix_dedup.remove_repeats(docs, length=150))
+    assert removed.where("doc_id = 7 and n_removed = 200").count() == 3000
+    assert removed.where("doc_id <> 7 and n_removed > 0").count() == 0

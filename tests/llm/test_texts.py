@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+import time
 
 import brute
+import numpy as np
 import public_tokenizers
 import pytest
 from corpora import documents, plain, prose, texts
@@ -210,6 +212,27 @@ def test_contamination_of_the_given_table(spark, sf_dir):
     assert contaminated_rows(spark, docs, items) == brute.contaminated(docs, items)
 
 
+def test_short_items_take_no_document(spark):
+    items = spark.createDataFrame([(1, "paris"), (2, "forty two")], "item_id long, text string")
+    docs = documents(spark, [(1, "it is paris"), (2, "forty two"), (3, "rome")])
+    assert decontamination.decontaminated(docs, items).count() == 3
+    assert decontamination.decontaminated(docs, items, least_words=2).count() == 2
+    assert decontamination.decontaminated(docs, items, least_words=1).count() == 1
+    assert decontamination.decontaminated(documents(spark, []), items).count() == 0
+    assert decontamination.decontaminated(docs, items.limit(0)).count() == 3
+
+
+def test_tiling_grows_with_the_tiles_and_not_with_the_size():
+    draw, seconds = random.Random(1), []
+    for n in (1000, 4000):
+        words = np.array([draw.getrandbits(60) for _ in range(n)], dtype=np.uint64)
+        start = time.perf_counter()
+        tiles = decontamination.tile(words, np.roll(words, n // 3), np.arange(n))
+        seconds.append(time.perf_counter() - start)
+        assert sorted(size for _, _, size in tiles) == sorted([n // 3, n - n // 3])
+    assert seconds[1] < 1
+
+
 def test_decontaminated_returns_the_columns(spark):
     docs, items = leaky_rows()
     table = documents(spark, docs)
