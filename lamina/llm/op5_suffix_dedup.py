@@ -38,8 +38,8 @@ from lamina.llm import exchange as x
 from lamina.llm.textops import Block, ByteSums, batches, covered
 
 LENGTH = 400
-#: Bytes of a passage of about 50 words, as short words as there are.
-PASSAGE = 200
+#: Bytes of a passage of 50 short words.
+PASSAGE = 240
 RANKS, SUFFIXES, AHEAD, TWICE = 0, 1, 2, 3
 
 

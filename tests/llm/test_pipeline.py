@@ -10,6 +10,7 @@ import corpus_pipeline
 import pytest
 from corpora import plain
 
+from lamina.llm.op5_suffix_dedup import PASSAGE
 from lamina.llm.oracle import ORACLE
 from lamina.llm.queries import QUERIES
 from lamina.operators.staging import staging_folder
@@ -61,7 +62,7 @@ def test_stages_against_brute_force(spark, sf_dir):
     assert set(left) == {i for i, _, _, kept in brute.near_duplicates(rows) if kept}
     assert docs.dtypes == columns
     rows, left = step("repeated_passages")
-    cut = {i: (n, gone) for i, n, gone, _, _ in brute.suffix_dedup(rows, 200)}
+    cut = {i: (n, gone) for i, n, gone, _, _ in brute.suffix_dedup(rows, PASSAGE)}
     assert set(left) == {i for i, (n, gone) in cut.items() if gone < n or not n}
     text = dict(rows)
     for i, r in left.items():
