@@ -40,7 +40,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of about 50 words, 200 bytes, that also stand elsewhere.
+    """Documents without the passages of 50 short words, 240 bytes, that also stand elsewhere.
 
     A document of which nothing is left goes, one that had no text stays; a letter that a cut splits
     goes as a whole; null ids are documents like any other.
