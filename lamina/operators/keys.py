@@ -22,8 +22,10 @@ _BEFORE = "_before"
 _SLICE_SHIFT = 33
 _POS_MASK = (1 << _SLICE_SHIFT) - 1
 
-#: Stored bytes of the rows that one task sorts.
-SLICE_BYTES = 64 * 1024 * 1024
+#: Stored bytes of the rows that one task sorts: the first number up to ``SLICES`` tasks, then more,
+#: so that large tables keep their number of tasks, up to the second.
+SLICE_BYTES = (16 * 1024 * 1024, 256 * 1024 * 1024)
+SLICES = 4000
 #: Each level of the sample holds one row in eight of the level below; level 0 is the table.
 LEVELS, LEVEL_BITS = 6, 3
 #: Rows that place the bounds of one slice: the sample used holds so many a slice, or up to eight times that.
@@ -50,7 +52,7 @@ def dense_key(
     order_by: Sequence[str],
     keep: Sequence[str] | None = None,
     slices: int | None = None,
-    slice_bytes: int = SLICE_BYTES,
+    slice_bytes: int | None = None,
 ) -> DataFrame:
     """``key`` = 1..N in the order of ``order_by`` (SQL expressions, NULLs last), then ``keep``.
 
@@ -61,7 +63,7 @@ def dense_key(
     that the rows of level j and above are a sample of one in 8^j, in files of their own. The sample
     of the right size places the bounds of the slices, and the staged rows are dealt to their slices,
     sorted and numbered while they are staged again in order. The number of slices follows from the
-    bytes that were staged, ``slice_bytes`` each, unless ``slices`` says it.
+    bytes that were staged (``SLICE_BYTES``, or ``slice_bytes`` each), unless ``slices`` says it.
 
     The bounds are on the whole sort list, which ends with the place of the row in the staged table.
     So a value that fills a third of the table, or a third of the table being copies of one row,
@@ -81,7 +83,7 @@ def dense_key(
     )
     rows, path, counts = _stage_levels(tied, f"rows-{key}")
     if slices is None:
-        slices = max(1, math.ceil(stored_bytes(spark, path) / slice_bytes))
+        slices = slices_for(stored_bytes(spark, path), slice_bytes)
     sort = [F.expr(expression).asc_nulls_last() for expression in ordering]
     if slices == 1:
         dealt = rows.coalesce(1)
@@ -94,6 +96,8 @@ def dense_key(
     in_order = dealt.sortWithinPartitions(*sort)
     staged = stage(in_order.selectExpr(*kept, f"monotonically_increasing_id() as {_POS}"), f"key-{key}")
     delete(spark, path)
+    if slices == 1:
+        return staged.selectExpr(f"{_POS} + 1 as {key}", *kept)
     within = f"({_POS} & {_POS_MASK}) + 1"
     before = F.broadcast(_rows_before(staged))
     return (
@@ -103,6 +107,12 @@ def dense_key(
     )
 
 
+def slices_for(stored: int, slice_bytes: int | None = None) -> int:
+    """How many tasks sort a table of so many stored bytes."""
+    least, most = SLICE_BYTES
+    return max(1, math.ceil(stored / (slice_bytes or min(most, max(least, stored / SLICES)))))
+
+
 def _stage_levels(df: DataFrame, label: str) -> tuple[DataFrame, str, list[int]]:
     """The rows staged with their level, where they are, and how many have each level or a higher one."""
     spark = df.sparkSession
