@@ -16,9 +16,9 @@ from testbed.bindings import BINDINGS, raw_sql
 CTES: dict[str, str] = {
     # ---- hr
     "hr_dept_rows": """
-        from hr_department_history_raw
         select distinct * exclude (src_department_event_id, manager_src_id),
             manager_src_id as manager_employee_src_id, effective_to is null as is_current_flag
+        from hr_department_history_raw
     """,
     "hr_dept_keyed": """
         select key(department_src_id, effective_from, ifnull(effective_to, '2999-12-31'::date))
@@ -126,7 +126,7 @@ CTES: dict[str, str] = {
             * exclude (points, overtime_hours_total),
             overtime_hours_total::decimal(18,2) as overtime_hours_total,
             '2024-12-31'::date as report_date, points::decimal(18,4) as instability_score,
-            if(points < 5, 'LOW', if(points < 12, 'MEDIUM', 'HIGH')) as instability_level_code,
+            case when points >= 12 then 'HIGH' when points >= 5 then 'MEDIUM' else 'LOW' end as instability_level_code,
             '2024-12-31 23:00:00'::timestamp as calculation_dttm,
             '2024-12-31 23:00:00'::timestamp as load_dttm, 'hr_dds_build_001' as batch_id
         from scored
@@ -286,7 +286,7 @@ CTES: dict[str, str] = {
         )
         select key(employee_id) as employee_risk_snapshot_id, * exclude (points),
             '2024-12-31'::date as report_date, points::decimal(18,4) as risk_score_value,
-            if(points < 7, 'LOW', if(points < 15, 'MEDIUM', 'HIGH')) as risk_level_code,
+            case when points >= 15 then 'HIGH' when points >= 7 then 'MEDIUM' else 'LOW' end as risk_level_code,
             '2024-12-31 23:30:00'::timestamp as calculation_dttm,
             '2024-12-31 23:30:00'::timestamp as load_dttm, 'risk_dds_build_001' as batch_id
         from scored
@@ -471,7 +471,7 @@ CTES: dict[str, str] = {
         )
         select key(employee_id) as employee_access_snapshot_id, * exclude (points),
             '2024-12-31'::date as report_date, points::decimal(18,4) as access_risk_score,
-            if(points < 5, 'LOW', if(points < 12, 'MEDIUM', 'HIGH')) as access_risk_level_code,
+            case when points >= 12 then 'HIGH' when points >= 5 then 'MEDIUM' else 'LOW' end as access_risk_level_code,
             '2024-12-31 23:10:00'::timestamp as calculation_dttm,
             '2024-12-31 23:10:00'::timestamp as load_dttm, 'access_dds_build_001' as batch_id
         from scored
@@ -626,7 +626,7 @@ CTES: dict[str, str] = {
         )
         select key(employee_id) as employee_finance_snapshot_id, * exclude (points),
             '2024-12-31'::date as report_date, points::decimal(18,4) as finance_risk_score,
-            if(points < 4, 'LOW', if(points < 10, 'MEDIUM', 'HIGH')) as finance_risk_level_code,
+            case when points >= 10 then 'HIGH' when points >= 4 then 'MEDIUM' else 'LOW' end as finance_risk_level_code,
             '2024-12-31 23:20:00'::timestamp as calculation_dttm,
             '2024-12-31 23:20:00'::timestamp as load_dttm, 'finance_dds_build_001' as batch_id
         from scored
@@ -891,10 +891,10 @@ _OTHER = {
             select o_orderkey, ((o_orderkey % 1601) * 1000 - (o_custkey % 2) * 4) as units from orders
         )
         select o_orderkey, (units::decimal(18,0) * 0.00001)::decimal(18,4) as points,
-            if(units < 500000, 'LOW', if(units < 1200000, 'MEDIUM', 'HIGH')) as hr_level,
-            if(units < 700000, 'LOW', if(units < 1500000, 'MEDIUM', 'HIGH')) as risk_level,
-            if(units < 500000, 'LOW', if(units < 1200000, 'MEDIUM', 'HIGH')) as access_level,
-            if(units < 400000, 'LOW', if(units < 1000000, 'MEDIUM', 'HIGH')) as finance_level
+            case when units >= 1200000 then 'HIGH' when units >= 500000 then 'MEDIUM' else 'LOW' end as hr_level,
+            case when units >= 1500000 then 'HIGH' when units >= 700000 then 'MEDIUM' else 'LOW' end as risk_level,
+            case when units >= 1200000 then 'HIGH' when units >= 500000 then 'MEDIUM' else 'LOW' end as access_level,
+            case when units >= 1000000 then 'HIGH' when units >= 400000 then 'MEDIUM' else 'LOW' end as finance_level
         from t
     """,
     "surrogate_key": """
