@@ -208,11 +208,13 @@ def tiles(item, text, least=5):
 
 def contaminated(docs, items, coverage=0.5):
     best = {}
+    words_of = [(j, benchmark_words(item)) for j, item in items]
     for i, text in docs:
         t = benchmark_words(text)
-        for j, item in items:
-            w = benchmark_words(item)
-            if i is None or j is None or len(w) < 5:
+        runs = {tuple(t[k : k + 5]) for k in range(len(t) - 4)}
+        for j, w in words_of:
+            # Without a common run of five words there is no tile.
+            if i is None or j is None or not any(tuple(w[k : k + 5]) in runs for k in range(len(w) - 4)):
                 continue
             covered, n = tiles(w, t)
             if covered >= coverage * len(w):
