@@ -195,3 +195,40 @@ def test_slices_are_as_many_as_asked_for(spark, confs, monkeypatch):
     found = numbered(dense_key(spark.range(5000).toDF("n"), "id", ["n"], slices=16))
     assert found == [(n + 1, n) for n in range(5000)]
     assert staged[0].groupBy(F.expr("_pos >> 33")).count().count() == 16
+
+
+def test_rows_are_dealt_by_compiled_halving(spark, sf_dir, monkeypatch):
+    plans = []
+
+    def spying(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, label)
+
+    monkeypatch.setattr(keys, "stage", spying)
+    lines = tag_rows(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    order = ["cast(l_orderkey as string)", "cast(l_partkey as string)"]
+    dense_key(lines, "id", order, keep=["l_orderkey"], slices=40)
+    assert "lambda" not in plans[0]  # a function over the array of bounds is interpreted, row by row
+
+
+@pytest.mark.parametrize("slices", [2, 3, 8, 9, 40])
+def test_a_row_is_in_the_slice_of_the_last_bound_it_reached(spark, slices):
+    rows = spark.range(100).selectExpr("if(id % 10 = 9, null, id) as n")
+    whole = keys._order_key(["n"])
+    bounds = keys._bounds(rows, whole, slices)
+    dealt = keys._with_slice(rows, whole, bounds, slices)
+    assert dealt.columns == ["n", "_slice"]
+    reached = F.size(F.filter(bounds, lambda b: b <= whole))
+    assert dealt.where(F.col("_slice") != reached).count() == 0
+    assert dealt.select("_slice").distinct().count() > slices // 2  # rows that are equal share theirs
+
+
+def test_levels_are_written_without_a_sort_and_the_option_is_put_back(spark):
+    asked = spark.conf.get(keys.OPEN_FILES)
+    seen = []
+    with keys._open_files(spark, 7):
+        with keys._open_files(spark, 7):
+            seen.append(spark.conf.get(keys.OPEN_FILES))
+        seen.append(spark.conf.get(keys.OPEN_FILES))
+    assert seen == ["7", "7"]
+    assert spark.conf.get(keys.OPEN_FILES) == asked
