@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lamina.operators import keys
 from lamina.operators.keys import ROW, dense_key, slices_for, tag_rows
 from lamina.operators.staging import stage
+from lamina.sources.files import write_table
 
 
 def many_slices(confs):
@@ -232,3 +233,22 @@ def test_levels_are_written_without_a_sort_and_the_option_is_put_back(spark):
         seen.append(spark.conf.get(keys.OPEN_FILES))
     assert seen == ["7", "7"]
     assert spark.conf.get(keys.OPEN_FILES) == asked
+
+
+def test_staged_rows_carry_no_hash_and_no_second_number(spark, monkeypatch):
+    schemas = []
+    staging = keys._stage_levels
+    monkeypatch.setattr(keys, "_stage_levels", lambda df, *more: schemas.append(df.columns) or staging(df, *more))
+    stored = stage(spark.range(50).selectExpr("id % 5 as code", "id as n"), "few")
+    found = numbered(dense_key(tag_rows(stored), "key", ["code"]), "key")
+    assert numbered(dense_key(stored, "key", ["code"]), "key") == found
+    assert [row[:2] for row in found] == [(k + 1, k // 10) for k in range(50)]
+    assert schemas == [["code", "n", ROW], ["code", "n", "_place"]]
+
+
+def test_stored_tables_are_compressed_for_size(spark, tmp_path):
+    rows = spark.range(50_000).selectExpr("concat('E', lpad(cast(id * 7919 % 50000 as string), 7, '0')) as code")
+    rows.write.option("compression", "snappy").parquet(f"{tmp_path}/plain")
+    write_table(rows, f"{tmp_path}/stored")
+    plain, stored = (keys.stored_bytes(spark, f"{tmp_path}/{name}") for name in ("plain", "stored"))
+    assert stored < 0.8 * plain
