@@ -252,3 +252,25 @@ def test_stored_tables_are_compressed_for_size(spark, tmp_path):
     write_table(rows, f"{tmp_path}/stored")
     plain, stored = (keys.stored_bytes(spark, f"{tmp_path}/{name}") for name in ("plain", "stored"))
     assert stored < 0.8 * plain
+
+
+@pytest.mark.parametrize("column", ["n", "n % 3", "null"])
+def test_a_result_read_once_is_numbered_without_staging_it_again(spark, monkeypatch, column):
+    """Adaptive execution is free to merge small partitions here; the slices must stay apart."""
+    source = spark.range(6000).selectExpr("id as n", "'x' as same").selectExpr(f"cast({column} as bigint) as c", "n")
+    expected = numbered(dense_key(source, "key", ["c"], slices=8), "key")
+    monkeypatch.setattr(keys, "stage", lambda df, label: pytest.fail("staged again"))
+    for slices in (8, 1):
+        found = dense_key(source, "key", ["c"], slices=slices, pinned=False)
+        assert numbered(found, "key") == expected
+        assert found.where("key > 5990").count() == 10
+        assert found.agg(F.max("key")).first()[0] == 6000
+
+
+def test_rows_are_dealt_without_their_hash_unless_a_value_fills_a_slice(spark, monkeypatch):
+    dealt, deal = [], keys._with_slice
+    monkeypatch.setattr(keys, "_with_slice", lambda *given: dealt.append(deal(*given)) or dealt[-1])
+    for column in ("n", "n % 3"):
+        dense_key(spark.range(6000).selectExpr(f"{column.replace('n', 'id')} as c", "id as n"), "key", ["c"], slices=8)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in dealt]
+    assert ["xxhash64" in plan for plan in plans] == [False, True]
