@@ -6,8 +6,10 @@ import re
 
 import pytest
 
-from lamina.plans.build import MARTS, TABLES, VIEWS
-from testbed.bindings import store_raw_layer
+from lamina.operators.metrics import activity
+from lamina.plans.access import LOGIN_METRICS, ROLE_METRICS
+from lamina.plans.build import MARTS, TABLES, VIEWS, warehouse
+from testbed.bindings import store_raw_layer, stored_raw_table
 from testbed.queries import open_warehouse
 
 
@@ -104,3 +106,28 @@ def _above(lines: list[str], at: int):
 
 def _depth(line: str) -> int:
     return re.search(r"[A-Za-z*]", line).start()
+
+
+COUNTED = {
+    "access.fct_employee_role_assignment": ROLE_METRICS,
+    "access.fct_employee_login_event": LOGIN_METRICS,
+}
+
+
+@pytest.mark.parametrize("name", COUNTED)
+def test_counts_need_no_keys_of_tables_they_take_nothing_from(spark, sf_dir, name):
+    """An account held twice still counts its assignments and logins twice."""
+    store_raw_layer(spark, sf_dir)
+
+    def raw(table):
+        df = stored_raw_table(spark, sf_dir, table)
+        twice = table == "access_system_accounts_raw"
+        return df.unionByName(df.where("src_account_id like '%7'")) if twice else df
+
+    wh, whole = warehouse(raw), warehouse(raw)
+    found = wh.measured(name, "employee_id", COUNTED[name])
+    assert not [t for t in wh._tables if t.startswith("access.")]
+    expected = activity(whole.rows(name), "employee_id", COUNTED[name])
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    single = open_warehouse(spark, sf_dir).measured(name, "employee_id", COUNTED[name])
+    assert sorted(map(str, found.collect())) != sorted(map(str, single.collect()))
