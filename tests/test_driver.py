@@ -7,13 +7,15 @@ from time import sleep
 
 import pytest
 
-from lamina.operators import parallel
+from lamina.operators import lookups, parallel
+from lamina.operators.lookups import lookup
 from lamina.operators.parallel import side_by_side
 from lamina.operators.staging import KEPT_LISTS, new_path, stage
 from lamina.plans import base
 from lamina.plans.build import warehouse
 from lamina.sources.files import read_table, write_table
 from testbed.bindings import stored_raw_table
+from testbed.queries import open_warehouse
 
 
 def test_nested_work_holds_few_threads_at_once(spark):
@@ -52,6 +54,10 @@ def test_the_first_failure_is_raised_and_nothing_begins_after_it(spark):
     assert side_by_side(str, range(5)) == ["0", "1", "2", "3", "4"]
 
 
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def keeps_file_list(df) -> bool:
     """Whether the list of the files that the scan reads stays in Spark's cache after it."""
     index = df._jdf.queryExecution().analyzed().collectLeaves().head().relation().location()
@@ -86,3 +92,28 @@ def test_a_stored_table_leaves_no_plan_of_its_rows(spark, sf_dir, tmp_path, monk
     assert wh.table("hr.dim_hr_department") is keyed
     assert wh.rows("hr.dim_hr_department") is keyed
     assert keyed.count() == keyed.select("department_id").distinct().count() > 0
+
+
+def test_a_dimension_that_only_its_files_make_small_is_not_broadcast(spark, confs):
+    """Small files hold 1.4 million rows, which take more than the driver should collect."""
+    confs(autoBroadcastJoinThreshold="10MB")
+    n = lookups.BROADCAST_BYTES // 24 + 1
+    dim = stage(spark.range(n).selectExpr("id div 1000 as code", "id as key", "repeat('x', 50) as a", "'y' as b"), "dim")
+    facts = spark.range(3).selectExpr("id * 1150 as code")
+    taken = lookup(facts, dim, {"code": "code"}, {"key": "key"}, rows=n)
+    assert "SortMergeJoin" in plan_of(taken) and "BroadcastHashJoin" not in plan_of(taken)
+    few = lookup(facts, dim.where("code = 1150"), {"code": "code"}, {"key": "key"}, rows=1000)
+    assert "BroadcastHashJoin" in plan_of(few)
+    assert "BroadcastHashJoin" in plan_of(lookup(facts, dim, {"code": "code"}, {"key": "key"}))
+    found = taken.groupBy("code").agg({"key": "count"}).collect()
+    assert sorted(map(tuple, found)) == [(0, 1000), (1150, 1000), (2300, 0)]
+
+
+def test_lookups_of_a_warehouse_know_the_rows_of_their_dimensions(spark, sf_dir, monkeypatch, confs):
+    confs(autoBroadcastJoinThreshold="10MB")
+    name = "hr.fct_employee_absence"
+    assert "SortMergeJoin" not in plan_of(open_warehouse(spark, sf_dir).rows(name))
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 0)
+    wh = open_warehouse(spark, sf_dir)
+    assert "BroadcastHashJoin" not in plan_of(wh.rows(name))
+    assert wh._counts["hr.dim_hr_employee"] == wh.table("hr.dim_hr_employee").count()
